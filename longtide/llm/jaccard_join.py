@@ -37,6 +37,8 @@ PERCENT = 80
 #: Frequent shingles whose place in the order is known; the others count as rare.
 #: At most so many of the most frequent are broadcast, 12 bytes each.
 FREQUENT, FREQUENT_FROM = 65_536, 16
+#: Shingles that a task counts at once, 8 bytes each.
+COUNTED_AT_ONCE = 1_000_000
 MOST_MATCHES = 4
 #: Cost of intersecting a candidate's sets, against that of one posting.
 VERIFY_COST = 8.0
@@ -51,15 +53,25 @@ FILTER_BITS = 25
 def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT, least: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (sorted) and their number of documents, from all documents.
 
-    Each slice of a partition counts its own shingles and passes on those that it
-    has seen twice; sums of these are lower bounds. They only order shingles.
+    Each task counts a bounded number of shingles at a time and passes on those
+    that it has seen twice; sums of these are lower bounds. They only order shingles.
     """
 
+    def counted(sets):
+        tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+        return pa.record_batch([pa.array(tokens[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
+
     def count(batches):
+        held, size = [], 0
         for batch in text_batches(batches, "text"):
-            sets = shingle_sets(batch.column("text"), words)
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            yield pa.record_batch([pa.array(tokens[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
+            for own in shingle_sets(batch.column("text"), words):
+                held.append(own)
+                size += len(own)
+                if size >= COUNTED_AT_ONCE:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
 
     counts = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     found = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(most).toArrow()

@@ -27,7 +27,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about most_bytes of text, so that few long texts do not meet in one."""
     for batch in batches:
         if not batch.num_rows:
