@@ -19,7 +19,7 @@ import hashlib
 import heapq
 import re
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ N_BEST = 4
 #: No piece has a line feed, nor U+2581 after another character.
 _PART = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 #: Parts kept by a worker, under 400 bytes each.
-MOST_PARTS = 500_000
+MOST_PARTS = 900_000
 #: A part longer than this is not kept.
 LONG_PART = 64
 
@@ -52,6 +52,18 @@ class Vocabulary:
         self.byte_score = min((s for _, s in pieces.values() if s > -1e8), default=0.0) - 10.0
         self.bytes_of = {i: p.replace(SPACE, " ").encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
 
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys (node << 21 | character), the node each leads to, and of each node its piece's id (-1: none) and score."""
+        nodes = {"": 0} | {b: k + 1 for k, b in enumerate(sorted(self.beginnings))}
+        keys = np.array([nodes[b[:-1]] << 21 | ord(b[-1]) for b in self.beginnings], np.int64)
+        children = np.array([nodes[b] for b in self.beginnings], np.int64)
+        ids, scores = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -np.inf)
+        for piece, (i, score) in self.pieces.items():
+            ids[nodes[piece]], scores[nodes[piece]] = i, score
+        order = np.argsort(keys)
+        return keys[order], children[order], ids, scores
+
     def edges(self, text: str, start: int):
         """(end, score, ids) of the pieces of text at start; the bytes of its character if it has no piece."""
         single = False
@@ -115,6 +127,77 @@ def parts(text: str) -> list[str]:
     return _PART.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def best_and_second(parts: list[str], words: Vocabulary) -> list[tuple[float, float | None, bytes] | None]:
+    """For each part (best score, drop to the second best or None, ids of the best as bytes), all parts at once.
+
+    Forward and backward Viterbi scores of every position; the best path through
+    any edge that the best segmentation does not use is the second best. None for
+    parts with a character that has no piece.
+    """
+    keys, children, id_of, score_of = words.trie
+    chars = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.array([len(p) for p in parts])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    end_of = np.repeat(ends, sizes)
+    n = len(chars)
+    scores, nodes = [np.full(n, -np.inf)], [np.zeros(n, np.int64)]  # by length, then by start
+    at, node = np.arange(n), np.zeros(n, np.int64)
+    while len(at):
+        step = len(scores) - 1
+        key = node << 21 | chars[at + step]
+        found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = keys[found] == key
+        at, node = at[hit], children[found[hit]]
+        scores.append(np.full(n, -np.inf))
+        nodes.append(np.zeros(n, np.int64))
+        scores[-1][at], nodes[-1][at] = score_of[node], node
+        on = at + step + 1 < end_of[at]
+        at, node = at[on], node[on]
+    longest = len(scores) - 1
+    # positions: a part of k characters has k + 1, so that ends and starts of neighbours are apart
+    shift = np.repeat(np.arange(len(parts)), sizes)
+    first, last = starts + np.arange(len(parts)), ends + np.arange(len(parts))
+    forward, backward = np.full(n + len(parts), -np.inf), np.full(n + len(parts), -np.inf)
+    taken = np.zeros(n + len(parts), np.int64)
+    forward[first], backward[last] = 0.0, 0.0
+    order = np.argsort(-sizes, kind="stable")
+    alive = np.searchsorted(-sizes[order], -np.arange(sizes.max() + 1), side="right")  # parts of k characters or more
+    for t in range(1, int(sizes.max()) + 1):
+        own = order[: alive[t]]
+        to, back_to = first[own] + t, last[own] - t
+        for k in range(1, min(t, longest) + 1):
+            reach = forward[to - k] + scores[k][starts[own] + t - k]
+            better = reach > forward[to]
+            forward[to[better]], taken[to[better]] = reach[better], k
+            reach = backward[back_to + k] + scores[k][ends[own] - t]
+            better = reach > backward[back_to]
+            backward[back_to[better]] = reach[better]
+    path = np.zeros(n, np.int64)
+    of, to = np.flatnonzero(np.isfinite(forward[last])), last[np.isfinite(forward[last])]
+    while len(of):
+        k = taken[to]
+        path[to - k - of] = k
+        to = to - k
+        on = to > first[of]
+        of, to = of[on], to[on]
+    second = np.full(n, -np.inf)
+    where = np.arange(n) + shift
+    for k in range(1, longest + 1):
+        fits = np.flatnonzero(scores[k] > -np.inf)
+        fits = fits[path[fits] != k]
+        through = forward[where[fits]] + scores[k][fits] + backward[where[fits] + k]
+        second[fits] = np.maximum(second[fits], through)
+    second = np.maximum.reduceat(second, starts)
+    used = np.flatnonzero(path)
+    ids = id_of[np.stack(nodes)[path[used], used]].astype("<u4").tobytes()
+    cuts = np.searchsorted(used, np.append(starts, n)) * 4
+    out = []
+    for k, (best, other) in enumerate(zip(forward[last].tolist(), second.tolist(), strict=True)):
+        out.append((best, best - other if other > -np.inf else None, ids[cuts[k] : cuts[k + 1]]) if best > -np.inf else None)
+    return out
+
+
 class Lattices(dict):
     """part -> (best score, drop to the second best or None, ids of the best as bytes)."""
 
@@ -124,12 +207,19 @@ class Lattices(dict):
         #: part -> all its n best; asked for the few parts of a text that its own n best differ in.
         self.all = lru_cache(maxsize=20_000)(lambda part: n_best(part, words, n))
 
+    def learn(self, wanted: set[str]) -> None:
+        missing = [p for p in wanted if p not in self and len(p) <= LONG_PART]
+        if len(self) + len(missing) > self._most:
+            self.clear()
+            missing = [p for p in wanted if len(p) <= LONG_PART]
+        for k in range(0, len(missing), 10_000):
+            some = missing[k : k + 10_000]
+            self.update((p, x) for p, x in zip(some, best_and_second(some, self._words), strict=True) if x is not None)
+
     def __missing__(self, part: str):
         best, *second = n_best(part, self._words, 2)
         value = (best[0], best[0] - second[0][0] if second else None, np.array(best[1], "<u4").tobytes())
         if len(part) <= LONG_PART:
-            if len(self) >= self._most:
-                self.clear()
             self[part] = value
         return value
 
@@ -174,9 +264,10 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
         lattices, words = _lattices(path, n), vocabulary(path)
         for batch in text_batches(batches, "text"):
             rows = []
-            for t in batch.column("text").to_pylist():
-                t = t or ""
-                split = parts(t)
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            splits = [parts(t) for t in texts]
+            lattices.learn({p for split in splits for p in split})
+            for t, split in zip(texts, splits, strict=True):
                 found = list(map(lattices.__getitem__, split))
                 best = np.frombuffer(b"".join([e[2] for e in found]), "<u4")
                 total = sum([e[0] for e in found])
