@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import PieceCache, bpe, pieces, text_batches, tokenizer_path, worker_cache
+from .tokens import PieceCache, bpe, pieces, spelled, text_batches, tokenizer_path, worker_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
@@ -33,7 +33,7 @@ def frequent_lengths(docs: DataFrame, text: str, path: str) -> dict[str, int]:
     sample = docs.select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("t")).where(F.col("t").isNotNull()).limit(SAMPLE_DOCS)
     seen = Counter(p for row in sample.toLocalIterator() for p in pieces(row.t, SPECIAL) if len(p) <= 64)
     found = [p for p, n in seen.most_common(FREQUENT) if n > 1]
-    return dict(zip(found, (len(x) for x in bpe(path)(found)), strict=True)) if found else {}
+    return dict(zip(found, (len(x) for x in bpe(path)([spelled(p) for p in found])), strict=True)) if found else {}
 
 
 def token_counts(docs: DataFrame, text: str = "text", id: str = "doc_id", tokenizer: str = TOKENIZER, limit: int = LIMIT) -> DataFrame:
@@ -44,8 +44,8 @@ def token_counts(docs: DataFrame, text: str = "text", id: str = "doc_id", tokeni
     def count(batches):
         cache = worker_cache("lengths", path, _lengths, table.value)
         for batch in text_batches(batches, "text"):
-            split = [pieces(t, SPECIAL) if t else [] for t in batch.column("text").to_pylist()]
-            cache.learn({p for x in split for p in x})
+            split = [pieces(t or "", SPECIAL) for t in batch.column("text").to_pylist()]
+            cache.learn(split)
             tokens = [sum(map(cache.__getitem__, x)) for x in split]
             yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 

@@ -36,7 +36,7 @@ TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
 END_ID = 0
 BLOCK_BYTES = 64 << 10
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 MAGIC = b"LTS1"
 _ENTRY, _INDEX, _FOOTER = struct.Struct("<BBI"), struct.Struct("<9sQIQ"), struct.Struct("<QIQIQQI4s")
 
@@ -153,8 +153,8 @@ def encoded(docs: DataFrame, text: str, id: str, tokenizer: str, end_id: int) ->
     def encode(batches):
         cache = worker_cache("ids", path, _ids)
         for batch in text_batches(batches, "text"):
-            split = [pieces(t, SPECIAL) if t else [] for t in batch.column("text").to_pylist()]
-            cache.learn({p for x in split for p in x})
+            split = [pieces(t or "", SPECIAL) for t in batch.column("text").to_pylist()]
+            cache.learn(split)
             ids = [b"".join(map(cache.__getitem__, x)) + end for x in split]
             yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -169,7 +169,10 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", id: str = "do
     of up to 65,536 ids take two bytes an id.
     """
     parts = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = encoded(docs, text, id, tokenizer, end_id).repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    # ordered before it is encoded: the bounds of the ranges are sampled from ids, in a pass of their own
+    first = F.col("doc_id").asc_nulls_first()
+    own = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    ordered = encoded(own.repartitionByRange(parts, first).sortWithinPartitions(first, "text"), "text", "doc_id", tokenizer, end_id)
 
     def write(batches):
         from pyspark import TaskContext

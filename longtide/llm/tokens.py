@@ -12,7 +12,6 @@ import os
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -44,7 +43,31 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
 
 
 def pieces(text: str, special: str = "") -> list[str]:
-    """Parts of text whose encodings, one after the other, are that of the text."""
+    """Keys of parts of text whose encodings, one after the other, are that of the text.
+
+    A key is a word that a space leads, without the space; or a line feed and the
+    word after it; or NUL and any other part as it is. spelled() gives the part.
+    """
+    if not text:
+        return []
+    if (special and special in text) or "\0" in text or _RUN.search(text):
+        return ["\0" + part for part in _general(text, special)]
+    # no two white spaces in a row: only a line feed of the text can follow the space put before it
+    out = text.replace("\n", " \n").split(" ")
+    if out[0]:
+        out[0] = "\0" + out[0]
+        return out
+    return out[1:]
+
+
+def spelled(key: str) -> str:
+    """The part of a text that a key stands for."""
+    if not key:
+        return " "
+    return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
+
+
+def _general(text: str, special: str) -> list[str]:
     if special and special in text:
         # a special string is one id and splits the text around it
         out = []
@@ -52,58 +75,44 @@ def pieces(text: str, special: str = "") -> list[str]:
             if k:
                 out.append(special)
             if part:
-                out += pieces(part)
+                out += _general(part, "")
         return out
-    if _RUN.search(text):
-        first, *rest = _PIECE_START.split(text)
-        return [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
-    # no two white spaces in a row: a line feed stands alone as well
-    out = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        if first:
-            out.append(first)
-        out += [" " + x for x in rest]
-    return out
+    first, *rest = _PIECE_START.split(text)
+    return [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
 
 
 class PieceCache(dict):
-    """piece -> value: a table of frequent pieces, then whatever this worker met, up to a bound."""
+    """key -> value: a table of frequent pieces, then whatever this worker met, up to a bound.
+
+    encode gives the values of a list of parts; values of neighbouring parts add up.
+    """
 
-    def __init__(self, encode, frequent: dict | None = None, most: int = 700_000):
+    def __init__(self, encode, frequent: dict | None = None, most: int = 400_000):
         super().__init__(frequent or {})
         self._encode, self._frequent, self._most = encode, frequent or {}, most
 
-    def __missing__(self, piece: str):
-        value = self._encode([piece])[0]
-        if len(piece) <= 64:
-            self.make_room(1)
-            self[piece] = value
+    def __missing__(self, key: str):
+        value = self._encode([spelled(key)])[0]
+        if len(key) <= 64:
+            self[key] = value
         return value
 
-    def make_room(self, n: int) -> None:
-        if len(self) + n > self._most:
-            self.clear()
-            self.update(self._frequent)
-
-    def learn(self, wanted: set[str]) -> None:
-        """Encode what is missing of these pieces in one call.
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode what is missing of these keys in one call.
 
         A word before one full stop or comma is a part of its own for the tokenizer.
         """
-        missing = [p for p in wanted if p not in self and len(p) <= 64]
-        if not missing:
-            return
-        ended = [p for p in missing if p[-1] in ".," and p[:-1].lstrip(" ").isalpha()]
-        plain = set(missing).difference(ended)
-        plain.update(x for p in ended for x in (p[:-1], p[-1]) if x not in self)
-        self.make_room(len(plain) + len(ended))
-        plain.update(x for p in ended for x in (p[:-1], p[-1]) if x not in self)  # room may have been made
-        plain = list(plain)
-        self.update(zip(plain, self._encode(plain), strict=True))
-        self.update([(p, self[p[:-1]] + self[p[-1]]) for p in ended])
+        wanted = set().union(*texts)
+        missing = wanted.difference(self)
+        if len(self) + 2 * len(missing) > self._most:
+            self.clear()
+            self.update(self._frequent)
+            missing = wanted.difference(self)
+        missing = [k for k in missing if len(k) <= 64]
+        ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
+        plain = list(set(missing).difference(ended).union([k[:-1] for k in ended]).difference(self))
+        self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
+        self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
 
 
 _kept: dict = {}
@@ -125,18 +134,14 @@ def bpe(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    model = tokenizer.model
+    # printable bytes stand for themselves in the model's alphabet, the others, in order, for the characters from 256 on
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printable)}
 
     def encode(texts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(texts)
-        # words led by one space: a run of them is encoded at once, a word of it is a pre-token
-        words = [i for i, t in enumerate(texts) if t[0] == " " and t[1:].isalpha()] if len(texts) > 1 else []
-        if words:
-            found = tokenizer.encode("".join([texts[i] for i in words]), add_special_tokens=False)
-            ids, of = found.ids, np.array(found.word_ids)
-            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))).tolist()
-            if len(starts) == len(words):
-                for i, a, b in zip(words, starts, [*starts[1:], len(ids)], strict=True):
-                    out[i] = ids[a:b]
+        # a word led by a space is one pre-token: the model alone spells it
+        out = [[t.id for t in model.tokenize(x.encode().decode("latin-1").translate(letters))] if x[:1] == " " and x[1:].isalpha() else None for x in texts]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = e.ids
