@@ -84,15 +84,19 @@ def _general(text: str, special: str) -> list[str]:
 class PieceCache(dict):
     """key -> value: a table of frequent pieces, then whatever this worker met, up to a bound.
 
-    encode gives the values of a list of parts; values of neighbouring parts add up.
+    encode gives the values of a list of parts; values of neighbouring parts add
+    up. Two generations are kept: when the younger is full it becomes the older,
+    from which keys that are met again come back.
     """
 
-    def __init__(self, encode, frequent: dict | None = None, most: int = 400_000):
+    def __init__(self, encode, frequent: dict | None = None, most: int = 700_000):
         super().__init__(frequent or {})
-        self._encode, self._frequent, self._most = encode, frequent or {}, most
+        self._encode, self._frequent, self._half, self._older = encode, frequent or {}, most // 2, {}
 
     def __missing__(self, key: str):
-        value = self._encode([spelled(key)])[0]
+        value = self._older.get(key)
+        if value is None:
+            value = self._encode([spelled(key)])[0]
         if len(key) <= 64:
             self[key] = value
         return value
@@ -102,15 +106,18 @@ class PieceCache(dict):
 
         A word before one full stop or comma is a part of its own for the tokenizer.
         """
-        wanted = set().union(*texts)
-        missing = wanted.difference(self)
-        if len(self) + 2 * len(missing) > self._most:
+        if len(self) > self._half:
+            self._older = self.copy()
             self.clear()
             self.update(self._frequent)
-            missing = wanted.difference(self)
-        missing = [k for k in missing if len(k) <= 64]
+        missing = set().union(*texts).difference(self)
+        again = missing.intersection(self._older)
+        self.update([(k, self._older[k]) for k in again])
+        missing = [k for k in missing.difference(again) if len(k) <= 64]
         ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
-        plain = list(set(missing).difference(ended).union([k[:-1] for k in ended]).difference(self))
+        stems = {k[:-1] for k in ended}
+        self.update([(k, self._older[k]) for k in stems.difference(self).intersection(self._older)])
+        plain = list(set(missing).difference(ended).union(stems).difference(self))
         self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
         self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
 
