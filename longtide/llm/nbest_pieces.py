@@ -203,15 +203,19 @@ class Lattices(dict):
 
     def __init__(self, words: Vocabulary, n: int, most: int = MOST_PARTS):
         super().__init__()
-        self._words, self._most = words, most
+        self._words, self._half, self._older = words, most // 2, {}
         #: part -> all its n best; asked for the few parts of a text that its own n best differ in.
         self.all = lru_cache(maxsize=20_000)(lambda part: n_best(part, words, n))
 
     def learn(self, wanted: set[str]) -> None:
-        missing = [p for p in wanted if p not in self and len(p) <= LONG_PART]
-        if len(self) + len(missing) > self._most:
+        if len(self) > self._half:
+            # the younger generation becomes the older; parts that are met again come back
+            self._older = self.copy()
             self.clear()
-            missing = [p for p in wanted if len(p) <= LONG_PART]
+        missing = wanted.difference(self)
+        again = missing.intersection(self._older)
+        self.update([(p, self._older[p]) for p in again])
+        missing = [p for p in missing.difference(again) if len(p) <= LONG_PART]
         for k in range(0, len(missing), 10_000):
             some = missing[k : k + 10_000]
             self.update((p, x) for p, x in zip(some, best_and_second(some, self._words), strict=True) if x is not None)
@@ -266,7 +270,7 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
             rows = []
             texts = [t or "" for t in batch.column("text").to_pylist()]
             splits = [parts(t) for t in texts]
-            lattices.learn({p for split in splits for p in split})
+            lattices.learn(set().union(*splits))
             for t, split in zip(texts, splits, strict=True):
                 found = list(map(lattices.__getitem__, split))
                 best = np.frombuffer(b"".join([e[2] for e in found]), "<u4")
