@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import bbox, hilbert_key, wkb_point
@@ -28,26 +29,40 @@ def files_per_period(period_rows: DataFrame, bytes_per_row: float, target: int =
     return period_rows.select("period", F.greatest(F.lit(1), F.floor(F.col("rows") * float(bytes_per_row) / target)).cast("int").alias("files"))
 
 
+#: Quantiles of station_id that file bounds are taken from; no period is cut into more files.
+QUANTILES = 1000
+
+
+def file_plan(rows: DataFrame, bytes_per_row: float, target: int = TARGET_BYTES, floor: int = MIN_BYTES, ceiling: int = MAX_BYTES) -> DataFrame:
+    """period, files, cuts, first_file: a row a period. cuts are the station ids at which a new file begins."""
+    shares = [k / QUANTILES for k in range(1, QUANTILES)]
+    periods = rows.groupBy("period").agg(F.count("*").alias("rows"), F.percentile_approx("station_id", shares, 10 * QUANTILES).alias("q"))
+    counted = files_per_period(periods, bytes_per_row, target, floor, ceiling).join(periods, "period")
+    files = F.least(F.col("files"), F.lit(QUANTILES))
+    cut = F.transform(F.sequence(F.lit(1), files), lambda i: F.get("q", F.round(i * QUANTILES / files).cast("int") - 1))
+    cuts = F.array_distinct(F.slice(cut, F.lit(1), files - 1))
+    before = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
+    return counted.select("period", files.alias("files"), cuts.alias("cuts")).withColumn("first_file", F.coalesce(F.sum("files").over(before), F.lit(0)).cast("int"))
+
+
 def write_observations(rows: DataFrame, path: str, bytes_per_row: float = 1.4, target: int = TARGET_BYTES, floor: int = MIN_BYTES, ceiling: int = MAX_BYTES, mode: str = "error") -> None:
     """Sorted files of bounded size by period.
 
-    A period's files are consecutive ranges of the key, cut at even shares of its
-    rows: range partitioning on (period, keys) into the planned number of files.
+    A period of n files' size is cut at the n-quantiles of station_id, so its files
+    are consecutive and of about equal size; a station lies in one file. Each
+    file is one partition, dealt out by its number.
     """
-    spark = rows.sparkSession
-    plan = files_per_period(rows.groupBy("period").agg(F.count("*").alias("rows")), bytes_per_row, target, floor, ceiling)
-    # one row a period: some hundreds at most
-    counts = {r.period: r.files for r in plan.collect()}
-    total = max(1, sum(counts.values()))
-    ranged = rows.repartitionByRange(total, "period", *KEYS) if total > len(counts) else rows.repartition(max(1, len(counts)), "period")
-    options = dict(WRITE_OPTIONS)
-    writer = ranged.sortWithinPartitions("period", *KEYS).write.options(**options).partitionBy("period")
+    plan = file_plan(rows, bytes_per_row, target, floor, ceiling).collect()  # a row a period: some hundreds
+    total = max(1, sum(r.files for r in plan))
+    known = rows.sparkSession.createDataFrame([(r.period, r.cuts, r.first_file) for r in plan], "period string, __cuts array<int>, __first int")
+    numbered = rows.join(F.broadcast(known), "period").withColumn("__file", F.col("__first") + F.size(F.filter("__cuts", lambda c: c <= F.col("station_id"))))
+    dealt = numbered.repartitionById(total, "__file").select(*rows.columns)
+    writer = dealt.sortWithinPartitions("period", *KEYS).write.options(**WRITE_OPTIONS).partitionBy("period")
     if mode == "replace_periods":
         # only the periods in rows are replaced, each in one commit
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode(mode).parquet(path)
-    del spark
 
 
 def write_delta(rows: DataFrame, path: str, run_id: str, ingested_at) -> None:
