@@ -18,8 +18,8 @@ from .tokens import PieceCache, bpe, pieces, spelled, text_batches, tokenizer_pa
 
 TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
-#: Bounds of the sample for tier one, and of the table: under 8 MB.
-SAMPLE_DOCS, SAMPLE_CHARS, FREQUENT = 400, 20_000, 50_000
+#: Bounds of the sample for tier one, documents of so many bytes at most, and of the table: under 8 MB each.
+SAMPLE_DOCS, SAMPLE_BYTES, FREQUENT = 400, 20_000, 50_000
 LIMIT = 512
 
 
@@ -30,7 +30,7 @@ def _lengths(path: str, frequent: dict | None) -> PieceCache:
 
 def frequent_lengths(docs: DataFrame, text: str, path: str) -> dict[str, int]:
     """Pieces seen twice or more in a bounded sample of texts, with their lengths in tokens."""
-    sample = docs.select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("t")).where(F.col("t").isNotNull()).limit(SAMPLE_DOCS)
+    sample = docs.select(F.col(text).alias("t")).where(F.octet_length("t") <= SAMPLE_BYTES).limit(SAMPLE_DOCS)
     seen = Counter(p for row in sample.toLocalIterator() for p in pieces(row.t, SPECIAL) if len(p) <= 64)
     found = [p for p, n in seen.most_common(FREQUENT) if n > 1]
     return dict(zip(found, (len(x) for x in bpe(path)([spelled(p) for p in found])), strict=True)) if found else {}
