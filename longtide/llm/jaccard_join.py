@@ -285,6 +285,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
     def linked(pairs):
         nonlocal sets, links, labels
         pairs = materialise(_passing_bitmaps(pairs, facts, percent), "candidates")
+        if pairs.isEmpty():
+            return
         wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         if sets is not None:
             wanted = wanted.join(sets, "cid", "left_anti")
@@ -292,8 +294,6 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
         if not wanted.isEmpty():
             more = materialise(_sets_of(docs, wanted, words), "sets")
             sets = more if sets is None else sets.unionByName(more)
-        if sets is None:
-            return
         found = materialise(_verified(pairs, sets, percent), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
