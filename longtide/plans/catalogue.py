@@ -446,6 +446,48 @@ def unknown_stations(spark, d):
     return mf.unknown_references(v.observations(spark, d), v.stations(spark, d).where("network_id < 20"), "station_id")
 
 
+@query("SELECT 'station_id' AS column, count(*) AS nulls FROM lineitem WHERE l_linenumber = 7 HAVING count(*) > 0 UNION ALL SELECT 'variable_id', count(*) FROM lineitem WHERE l_quantity < 3 HAVING count(*) > 0")
+def null_keys(spark, d):
+    rows = v.observations(spark, d)
+    return mf.null_keys(rows.withColumns({"station_id": F.when(F.col("variable_id") != 7, F.col("station_id")), "variable_id": F.when(F.col("value") >= 3, F.col("variable_id"))}))
+
+
+@query(sql("SELECT DISTINCT freq FROM histories WHERE freq IS NOT NULL", "histories"))
+def frequency_vocabulary(spark, d):
+    return sinks.frequencies(v.histories(spark, d))
+
+
+@query(sql("SELECT station_id, count(*) AS rows FROM obs WHERE station_id IN (SELECT station_id FROM attempts WHERE status = 'ok') GROUP BY 1", "obs", "attempts"))
+def accepted_rows(spark, d):
+    kept = st.accepted_rows(v.observations(spark, d), v.attempts(spark, d), keep_partial=False)
+    return kept.groupBy("station_id").agg(F.count("*").alias("rows"))
+
+
+@query(sql("SELECT period, rows AS rows_before, coalesce(b.n, 0) AS rows_delta, c.n AS rows_after FROM (SELECT period, count(*) AS rows FROM placed GROUP BY 1) a LEFT JOIN (SELECT l.period, count(*) AS n FROM deltas d JOIN layout l ON year(d.obs_time) BETWEEN l.start_year AND l.end_year GROUP BY 1) b USING (period) JOIN (SELECT period, count(*) AS n FROM (SELECT DISTINCT period, station_id, variable_id, obs_time FROM placed) GROUP BY 1) c USING (period)", "placed", "deltas"))
+def compact_stats(spark, d):
+    layout = v.layout(spark, d)
+    deltas = lo.with_period(v.deltas(spark, d), layout)
+    after = lo.with_period(mg.merged(v.observations(spark, d), v.deltas(spark, d)), layout)
+    return mg.compact_stats(_placed(spark, d), after, deltas)
+
+
+@query()
+def full_plan(spark, d):
+    measured = pl.measured_year_rows(v.observations(spark, d)).where("year < 1999")
+    return pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1 << 20, 1.06)
+
+
+@query()
+def spatial_points(spark, d):
+    return sinks.spatial(v.stations(spark, d)).select("station_id", F.hex("geometry").alias("wkb"), "bbox.xmin", "bbox.ymin", "bbox.xmax", "bbox.ymax")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 3 AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'")
+def shard_and_range(spark, d):
+    rows = an.between(v.table(spark, d, "lineitem"), "1996-01-01", "1997-01-01", "l_shipdate")
+    return rows.where(wk.in_shard(3, 4, "l_orderkey")).select("l_orderkey", "l_linenumber")
+
+
 def _archive(spark, d) -> str:
     """The observations written as an archive, one key once."""
     root = v.scratch(spark, "archive")
