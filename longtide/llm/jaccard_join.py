@@ -44,7 +44,8 @@ MOST_MATCHES = 4
 VERIFY_COST = 8.0
 #: Buckets above this go through hubs first.
 LARGE_BUCKET = 8
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+#: Bits of a parity bitmap at least; it has as many as its set has shingles, or more.
 BITMAP_BITS = 1024
 #: log2 of the bits of the filter that picks the texts to verify: 4 MB whatever the input.
 FILTER_BITS = 25
@@ -80,16 +81,37 @@ def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT, least:
     return tokens[order], n[order]
 
 
-def matches_asked(frequency: np.ndarray, needed: int, most: int = MOST_MATCHES, verify_cost: float = VERIFY_COST) -> int:
+def matches_asked(frequency: np.ndarray, needed: int, percent: int, most: int = MOST_MATCHES, verify_cost: float = VERIFY_COST) -> int:
     """How many shared prefix shingles a document asks for, from its shingles' frequencies in order.
 
     A prefix of l matches meets sum(frequency - 1) postings and at most an l-th
-    of that many candidates; the l of the least cost is taken.
+    of that many candidates; the l of the least cost is taken. Shingles so far
+    back that too few follow them for a link to a document of the same size
+    don't count: the position bound takes them out.
     """
-    first = len(frequency) - needed + 1
-    cost = np.cumsum(frequency[: first + most - 1] - 1.0)
+    n = len(frequency)
+    first = n - needed + 1
+    spare = n - -(-2 * percent * n // (100 + percent))
+    cost = np.concatenate(([0.0], np.cumsum(frequency[: first + most - 1] - 1.0)))
     levels = range(1, min(most, needed) + 1)
-    return min(levels, key=lambda k: (cost[first + k - 2] * (1 + verify_cost / k) + 0.01 * k, k))
+    return min(levels, key=lambda k: (cost[min(first + k - 1, spare + k)] * (1 + verify_cost / k) + 0.01 * k, k))
+
+
+def parity_bitmap(own: np.ndarray) -> bytes:
+    """Of each bit, whether an odd number of the set's shingles fall on it; the size is a power of two."""
+    bits = max(BITMAP_BITS, 1 << (len(own) - 1).bit_length())
+    return np.packbits((np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def bits_between(x: bytes, y: bytes) -> int:
+    """Bits in which two parity bitmaps differ, the larger folded to the size of the smaller."""
+    if len(x) < len(y):
+        x, y = y, x
+    big, size = int.from_bytes(x, "big"), len(x)
+    while size > len(y):
+        size //= 2
+        big = (big >> (8 * size)) ^ (big & ((1 << (8 * size)) - 1))
+    return (big ^ int.from_bytes(y, "big")).bit_count()
 
 
 def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -119,9 +141,8 @@ def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple[np.nda
                 else:
                     ordered, frequency = own, np.ones(n)
                 needed = -(-percent * n // 100)
-                matches = matches_asked(frequency, needed)
-                bits = np.packbits((np.bincount((own >> np.uint64(54)).astype(np.int64), minlength=BITMAP_BITS) & 1).astype(bool))
-                rows.append((n, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), matches, bits.tobytes(), ordered[: n - needed + matches]))
+                matches = matches_asked(frequency, needed, percent)
+                rows.append((n, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), matches, parity_bitmap(own), ordered[: n - needed + matches]))
             values = np.concatenate([r[4] for r in rows]).view(np.int64)
             offsets = np.concatenate(([0], np.cumsum([len(r[4]) for r in rows]))).astype(np.int32)
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.int32(), pa.binary()))]
@@ -137,10 +158,15 @@ def _overlap(na: Column, nb: Column, percent: int) -> Column:
 
 
 def _positions_allow(percent: int, level: Column) -> Column:
-    """Whether the first `level` common shingles may lie at these places: what comes after them has to do for a link."""
+    """Whether a shingle at these places can be one of the first `level` common ones of a link.
+
+    At most level - 1 common ones come before it, and no more than either set
+    has before it; what follows has to do for the rest.
+    """
     left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
+    before = F.least(level - 1, "x.pos", "y.pos")
     sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    return sizes & (level + left >= _overlap(F.col("x.n"), F.col("y.n"), percent))
+    return sizes & (before + 1 + left >= _overlap(F.col("x.n"), F.col("y.n"), percent))
 
 
 def _hub_pairs(buckets: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
@@ -154,8 +180,9 @@ def _hub_pairs(buckets: DataFrame, labels: DataFrame, percent: int, turn: int) -
         sizes = large.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("main"))
         large = large.join(materialise(sizes, "main"), "token").where("label <> main").drop("main")
     large = materialise(large, "large")
-    hub = materialise(large.groupBy("token").agg(F.min(F.struct("pos", "cid", "n", "label")).alias("hub")).select("token", F.col("hub.*")), "hubs")
-    near = hub.alias("x").join(large.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.label") != F.col("y.label")) & _positions_allow(percent, F.lit(MOST_MATCHES)))
+    hub = materialise(large.groupBy("token").agg(F.min(F.struct("pos", "cid", "n", "label", "matches")).alias("hub")).select("token", F.col("hub.*")), "hubs")
+    level = F.least("x.matches", "y.matches")
+    near = hub.alias("x").join(large.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.label") != F.col("y.label")) & _positions_allow(percent, level))
     return near.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
 
 
@@ -187,8 +214,7 @@ def _passing_bitmaps(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
             if not batch.num_rows:
                 continue
             na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITMAP_BITS // 8) for c in ("ba", "bb"))
-            differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            differ = np.array([bits_between(x, y) for x, y in zip(batch.column("ba").to_pylist(), batch.column("bb").to_pylist(), strict=True)])
             overlap = -(-percent * (na + nb) // (100 + percent))
             yield batch.filter(pa.array(differ <= na + nb - 2 * overlap)).select(["a", "b"])
 
@@ -214,6 +240,31 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _postings(classes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """cid, n, matches, pos, token of the prefixes, without most of the shingles that are in one document only.
+
+    A filter of fixed size takes those out before anything is shuffled; what it
+    lets through goes by the join with the bucket sizes.
+    """
+    picked = classes.sparkSession.sparkContext.broadcast(_id_filter(sizes.select(F.col("token").alias("doc_id"))))
+
+    def spread(batches):
+        table = picked.value
+        for batch in batches:
+            prefix = batch.column("prefix")
+            tokens = prefix.flatten().to_numpy()
+            lengths = np.diff(prefix.offsets.to_numpy())
+            of = np.repeat(np.arange(batch.num_rows), lengths)
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            at = _probes(tokens)
+            keep = ((table[at >> 6] >> (at & 63)) & 1).all(0)
+            rows = pa.array(of[keep])
+            columns = [batch.column(c).take(rows) for c in ("cid", "n", "matches")]
+            yield pa.record_batch([*columns, pa.array(pos[keep].astype(np.int32)), pa.array(tokens[keep])], ["cid", "n", "matches", "pos", "token"])
+
+    return classes.select("cid", "n", "matches", "prefix").mapInArrow(spread, "cid long, n int, matches int, pos int, token long")
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """cid, set (bytes of sorted shingles) of the classes wanted (cid, fp, doc_id), from their documents' texts.
 
@@ -232,8 +283,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.record_batch([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "set"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(read, "fp binary, set binary")
-    # equal sets met under several ids are one
-    return found.join(wanted.select("fp", "cid"), "fp").groupBy("cid").agg(F.min("set").alias("set"))
+    # equal sets met under several ids are one; dealt out by fp once for that and for the join
+    return found.groupBy("fp").agg(F.min("set").alias("set")).join(wanted.select("fp", "cid"), "fp").select("cid", "set")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -271,10 +322,11 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
     members = materialise(signed.select("doc_id", "digest", "n", "fp"), "members")
     discard(signed)
 
+    tokens = classes.select(F.explode("prefix").alias("token"))
+    sizes = materialise(tokens.groupBy("token").agg(F.count("*").cast("int").alias("size")).where("size > 1"), "bucket-sizes")
     first = F.col("n") - F.ceil(percent * F.col("n") / F.lit(100.0) - F.lit(1e-9)) + 1
-    postings = classes.select("cid", "n", "matches", F.posexplode("prefix").alias("pos", "token")).withColumn("level", F.greatest(F.lit(1), F.col("pos") - first + 2).cast("int"))
-    sizes = postings.groupBy("token").agg(F.count("*").cast("int").alias("size")).where("size > 1")
-    buckets = materialise(postings.join(materialise(sizes, "bucket-sizes"), "token"), "buckets")
+    postings = _postings(classes, sizes).withColumn("level", F.greatest(F.lit(1), F.col("pos") - first + 2).cast("int"))
+    buckets = materialise(postings.join(sizes, "token"), "buckets")
 
     facts = classes.select("cid", "n", "bitmap")
     spark = docs.sparkSession
