@@ -141,8 +141,21 @@ def test_near_dedup(spark):
 
 
 def test_matches_asked():
-    assert jaccard_join.matches_asked(np.ones(20), 17) == 1
-    assert jaccard_join.matches_asked(np.array([1.0] + [500.0] * 19), 17) > 1
+    assert jaccard_join.matches_asked(np.ones(200), 170, 85) == 1
+    assert jaccard_join.matches_asked(np.array([1.0] * 5 + [500.0] * 195), 170, 85) > 1
+    # frequent shingles that come too late for a link to a set of the same size
+    assert jaccard_join.matches_asked(np.array([1.0] * 20 + [500.0] * 180), 170, 85) == 1
+
+
+def test_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 1), (300, 280), (1500, 1300), (5000, 900), (3000, 3000)):
+        x, y = (np.unique(rng.integers(0, 2**63, k).astype(np.uint64)) for k in (n, m))
+        y[: m // 2] = x[: m // 2]
+        x, y = np.unique(x), np.unique(y)
+        bits = jaccard_join.bits_between(jaccard_join.parity_bitmap(x), jaccard_join.parity_bitmap(y))
+        assert bits <= len(np.setxor1d(x, y)) and bits == jaccard_join.bits_between(jaccard_join.parity_bitmap(y), jaccard_join.parity_bitmap(x))
+        assert jaccard_join.bits_between(jaccard_join.parity_bitmap(x), jaccard_join.parity_bitmap(x)) == 0
 
 
 def test_connected(spark):
