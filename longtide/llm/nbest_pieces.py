@@ -213,7 +213,7 @@ class Lattices(dict):
             self._older = self.copy()
             self.clear()
         missing = wanted.difference(self)
-        again = missing.intersection(self._older)
+        again = [p for p in missing if p in self._older]
         self.update([(p, self._older[p]) for p in again])
         missing = [p for p in missing.difference(again) if len(p) <= LONG_PART]
         for k in range(0, len(missing), 10_000):

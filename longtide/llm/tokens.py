@@ -110,13 +110,14 @@ class PieceCache(dict):
             self._older = self.copy()
             self.clear()
             self.update(self._frequent)
+        older = self._older
         missing = set().union(*texts).difference(self)
-        again = missing.intersection(self._older)
-        self.update([(k, self._older[k]) for k in again])
+        again = [k for k in missing if k in older]
+        self.update([(k, older[k]) for k in again])
         missing = [k for k in missing.difference(again) if len(k) <= 64]
         ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
         stems = {k[:-1] for k in ended}
-        self.update([(k, self._older[k]) for k in stems.difference(self).intersection(self._older)])
+        self.update([(k, older[k]) for k in stems.difference(self) if k in older])
         plain = list(set(missing).difference(ended).union(stems).difference(self))
         self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
         self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
