@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import text_batches, tokenizer_path
+from .tokens import no_cycle_search, text_batches, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -270,7 +270,8 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
             rows = []
             texts = [t or "" for t in batch.column("text").to_pylist()]
             splits = [parts(t) for t in texts]
-            lattices.learn(set().union(*splits))
+            with no_cycle_search():
+                lattices.learn(set().union(*splits))
             for t, split in zip(texts, splits, strict=True):
                 found = list(map(lattices.__getitem__, split))
                 best = np.frombuffer(b"".join([e[2] for e in found]), "<u4")

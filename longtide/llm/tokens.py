@@ -8,9 +8,11 @@ once and then looked up.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -106,21 +108,34 @@ class PieceCache(dict):
 
         A word before one full stop or comma is a part of its own for the tokenizer.
         """
-        if len(self) > self._half:
-            self._older = self.copy()
-            self.clear()
-            self.update(self._frequent)
-        older = self._older
-        missing = set().union(*texts).difference(self)
-        again = [k for k in missing if k in older]
-        self.update([(k, older[k]) for k in again])
-        missing = [k for k in missing.difference(again) if len(k) <= 64]
-        ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
-        stems = {k[:-1] for k in ended}
-        self.update([(k, older[k]) for k in stems.difference(self) if k in older])
-        plain = list(set(missing).difference(ended).union(stems).difference(self))
-        self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
-        self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
+        with no_cycle_search():
+            if len(self) > self._half:
+                self._older = self.copy()
+                self.clear()
+                self.update(self._frequent)
+            older = self._older
+            missing = set().union(*texts).difference(self)
+            again = [k for k in missing if k in older]
+            self.update([(k, older[k]) for k in again])
+            missing = [k for k in missing.difference(again) if len(k) <= 64]
+            ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
+            stems = {k[:-1] for k in ended}
+            self.update([(k, older[k]) for k in stems.difference(self) if k in older])
+            plain = list(set(missing).difference(ended).union(stems).difference(self))
+            self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
+            self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
+
+
+@contextmanager
+def no_cycle_search():
+    """Python's search for reference cycles off: lists of ids are made and dropped by the million, without cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
 
 
 _kept: dict = {}
