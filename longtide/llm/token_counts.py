@@ -43,7 +43,7 @@ def token_counts(docs: DataFrame, text: str = "text", id: str = "doc_id", tokeni
 
     def count(batches):
         cache = worker_cache("lengths", path, _lengths, table.value)
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", 4 << 20):
             split = [pieces(t or "", SPECIAL) for t in batch.column("text").to_pylist()]
             cache.learn(split)
             tokens = [sum(map(cache.__getitem__, x)) for x in split]

@@ -142,7 +142,7 @@ def _put(folder: str, name: str, content: bytes) -> None:
 
 def _ids(path: str, frequent: dict | None) -> PieceCache:
     encode = bpe(path)
-    return PieceCache(lambda texts: [np.array(ids, "<u2").tobytes() for ids in encode(texts)], frequent)
+    return PieceCache(lambda texts: [struct.pack(f"<{len(ids)}H", *ids) for ids in encode(texts)], frequent)
 
 
 def encoded(docs: DataFrame, text: str, id: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -152,7 +152,7 @@ def encoded(docs: DataFrame, text: str, id: str, tokenizer: str, end_id: int) ->
 
     def encode(batches):
         cache = worker_cache("ids", path, _ids)
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", 4 << 20):
             split = [pieces(t or "", SPECIAL) for t in batch.column("text").to_pylist()]
             cache.learn(split)
             ids = [b"".join(map(cache.__getitem__, x)) + end for x in split]

@@ -157,14 +157,24 @@ def bpe(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    model = tokenizer.model
+    tokenize = tokenizer.model.tokenize
     # printable bytes stand for themselves in the model's alphabet, the others, in order, for the characters from 256 on
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printable)}
+    letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
+    lead = letters[32]
 
     def encode(texts: list[str]) -> list[list[int]]:
         # a word led by a space is one pre-token: the model alone spells it
-        out = [[t.id for t in model.tokenize(x.encode().decode("latin-1").translate(letters))] if x[:1] == " " and x[1:].isalpha() else None for x in texts]
+        out: list = [None] * len(texts)
+        words = [i for i, x in enumerate(texts) if x[:1] == " " and x[1:].isalpha()]
+        plain = [i for i in words if texts[i].isascii()]
+        other = [i for i in words if not texts[i].isascii()]
+        for i in plain:
+            out[i] = [t.id for t in tokenize(lead + texts[i][1:])]
+        # the others go to the model's alphabet together, apart by line feeds
+        spelled_out = "\n".join([texts[i] for i in other]).encode().decode("latin-1").translate(letters).split(letters[10]) if other else []
+        for i, x in zip(other, spelled_out, strict=True):
+            out[i] = [t.id for t in tokenize(x)]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = e.ids
