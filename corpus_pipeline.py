@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and gives the documents that go on, with
 the columns of documents; the last gives one row per document of the mix with
-its segmentations and its decoded text's hash.
+the ids of its n best segmentations and its decoded text's hash.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document of the mix in pieces, with its n best segmentations' scores and whether it decodes to its text."""
-    return nbest_pieces.segmentations(docs, with_ids=False)
+    """Every document of the mix in pieces: its n best segmentations' ids and scores, and whether all decode to its text."""
+    return nbest_pieces.segmentations(docs).drop("best_ids")
 
 
 STAGES = [("quality rules", rules), ("exact dedup", exact), ("n-gram jaccard join", near), ("mixing", mix), ("sentencepiece", encode)]

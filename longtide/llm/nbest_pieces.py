@@ -82,7 +82,10 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of ids, without the space put in front."""
-        return b"".join(self.bytes_of[i] for i in ids).decode().removeprefix(" ")
+        return self.spelled(ids).decode().removeprefix(" ")
+
+    def spelled(self, ids) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -243,6 +246,34 @@ def text_n_best(split: list[str], found: list[tuple], n: int, lattices: Lattices
     return out
 
 
+def all_ids(best: np.ndarray, found: list[tuple], choices: list[tuple[float, dict[int, tuple]]]) -> list[np.ndarray]:
+    """The ids of each of a text's segmentations, from those of its best and the parts in which the others differ."""
+    out = [best]
+    ends = np.cumsum([len(e[2]) // 4 for e in found]) if len(choices) > 1 else None
+    for _, chosen in choices[1:]:
+        pieces, at = [], 0
+        for k in sorted(chosen):
+            pieces += [best[at : ends[k] - len(found[k][2]) // 4], np.array(chosen[k], "<u4")]
+            at = ends[k]
+        out.append(np.concatenate([*pieces, best[at:]]))
+    return out
+
+
+def checks(text: str, every: list[np.ndarray], words: Vocabulary) -> tuple[list[int], str, bool]:
+    """From the ids of all segmentations of a text: their CRCs, the SHA-256 of what the first decodes to, whether all decode to the text."""
+    first, *others = (words.spelled(ids.tolist()) for ids in every)
+    decoded = first.decode().removeprefix(" ")
+    return [zlib.crc32(ids) for ids in every], hashlib.sha256(decoded.encode()).hexdigest(), decoded == text and all(x == first for x in others)
+
+
+def _nested(rows: list[list[np.ndarray]]) -> pa.Array:
+    """array<array<int>> of rows of arrays of ids."""
+    flat = [ids for every in rows for ids in every]
+    inner = np.concatenate(([0], np.cumsum([len(ids) for ids in flat]))).astype(np.int32)
+    outer = np.concatenate(([0], np.cumsum([len(every) for every in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(inner), pa.array(np.concatenate(flat).view(np.int32))))
+
+
 _kept: dict = {}
 
 
@@ -253,13 +284,15 @@ def _lattices(path: str, n: int) -> Lattices:
 
 
 def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model: str = MODEL, n: int = N_BEST, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_pieces, scores (array<double>, best first), best_ids (array<int>), n_best digests, decoded_sha256, round_trip.
+    """doc_id, n_pieces, scores (array<double>, best first), nbest_ids (array<array<int>>), best_ids, nbest_crc32, decoded_sha256, round_trip.
 
     Every row and whole text; null counts as empty and has no pieces, one score
-    of 0. nbest_crc32 has the CRC of the ids (little-endian, 32 bits) of each of the
-    up to n segmentations. decoded_sha256 is of the text decoded from the best ids
-    and round_trip says whether that is the text that came in. U+2581 in a text
-    decodes to a space, as with the library.
+    of 0. nbest_ids has the ids of each of the up to n segmentations, in the order
+    of scores, and best_ids the first of them; with_ids=False leaves both out.
+    The rest is taken from these ids: nbest_crc32 the CRC of each (little-endian,
+    32 bits), decoded_sha256 of the text decoded from the best; round_trip says
+    whether every one decodes to the text that came in. U+2581 in a text decodes
+    to a space, as with the library.
     """
     path = tokenizer_path(model)
     kind = docs.select(id).schema[0].dataType.simpleString()
@@ -267,7 +300,7 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
     def encode(batches):
         lattices, words = _lattices(path, n), vocabulary(path)
         for batch in text_batches(batches, "text"):
-            rows = []
+            rows, ids = [], []
             texts = [t or "" for t in batch.column("text").to_pylist()]
             splits = [parts(t) for t in texts]
             with no_cycle_search():
@@ -277,24 +310,17 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
                 best = np.frombuffer(b"".join([e[2] for e in found]), "<u4")
                 total = sum([e[0] for e in found])
                 choices = text_n_best(split, found, n, lattices)
-                ends = np.cumsum([len(e[2]) // 4 for e in found]) if len(choices) > 1 else None
-                crcs = [zlib.crc32(best)]
-                for _, chosen in choices[1:]:
-                    pieces, at = [], 0
-                    for k in sorted(chosen):
-                        pieces += [best[at : ends[k] - len(found[k][2]) // 4], np.array(chosen[k], "<u4")]
-                        at = ends[k]
-                    crcs.append(zlib.crc32(np.concatenate([*pieces, best[at:]])))
-                decoded = words.decode(best.tolist())
-                rows.append((len(best), [float(total - d) for d, _ in choices], crcs, hashlib.sha256(decoded.encode()).hexdigest(), decoded == t, best.astype(np.int32) if with_ids else None))
-            kinds = (pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.bool_(), pa.list_(pa.int32()))
+                every = all_ids(best, found, choices)
+                rows.append((len(best), [float(total - d) for d, _ in choices], *checks(t, every, words)))
+                ids.append(every)
+            kinds = (pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.bool_())
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.record_batch([batch.column("doc_id"), *columns], ["doc_id", "n_pieces", "scores", "nbest_crc32", "decoded_sha256", "round_trip", "best_ids"])
+            out = {"doc_id": batch.column("doc_id")} | dict(zip(("n_pieces", "scores", "nbest_crc32", "decoded_sha256", "round_trip"), columns, strict=True))
+            yield pa.RecordBatch.from_pydict(out | {"nbest_ids": _nested(ids)} if with_ids else out)
 
-    out = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        encode, f"doc_id {kind}, n_pieces long, scores array<double>, nbest_crc32 array<bigint>, decoded_sha256 string, round_trip boolean, best_ids array<int>"
-    )
-    return out if with_ids else out.drop("best_ids")
+    schema = f"doc_id {kind}, n_pieces long, scores array<double>, nbest_crc32 array<bigint>, decoded_sha256 string, round_trip boolean"
+    out = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, schema + ", nbest_ids array<array<int>>" if with_ids else schema)
+    return out.withColumn("best_ids", F.get("nbest_ids", F.lit(0))) if with_ids else out
 
 
 def decode(encoded: DataFrame, ids: str = "best_ids", model: str = MODEL) -> DataFrame:

@@ -59,7 +59,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nbest_pieces.segmentations(_table(spark, sf_dir, "documents"), with_ids=False)
+    # best_ids is the first of nbest_ids
+    return nbest_pieces.segmentations(_table(spark, sf_dir, "documents")).drop("best_ids")
 
 
 QUERIES = {f.__name__: f for name, f in list(globals().items()) if name.startswith("op")}

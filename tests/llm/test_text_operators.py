@@ -363,6 +363,29 @@ def test_segmentations(spark):
     assert nbest_pieces.segmentations(_empty(spark)).count() == 0
 
 
+def test_all_segmentations_are_given_out(spark, tmp_path):
+    import corpus_pipeline
+    from longtide.llm import queries
+
+    texts = ["", None, "the cat", " two  spaces ", "a\nb\n", "🙂 ÿ", LONG[:20_000]]
+    docs = _docs(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    words = nbest_pieces.vocabulary(tokenizer_path(nbest_pieces.MODEL))
+    for out in (nbest_pieces.segmentations(docs), queries.op10_sentencepiece_nbest(spark, f"file://{tmp_path}"), corpus_pipeline.encode(spark, docs, "")):
+        got = out.orderBy("doc_id").collect()
+        for r, t in zip(got, texts, strict=True):
+            every = [tuple(ids) for ids in r.nbest_ids]
+            assert len(set(every)) == len(every) == len(r.scores) <= 4 and r.round_trip
+            assert [words.decode(ids) for ids in every] == [t or ""] * len(every)
+            assert r.nbest_crc32 == [zlib.crc32(np.array(ids, "<u4")) for ids in every] and r.n_pieces == len(every[0])
+        assert [len(r.nbest_ids) for r in got if r.doc_id in (0, 1, 2, 6)] == [1, 1, 4, 4]
+        score = {ids: s for s, ids in _every("▁the▁cat", words)}
+        assert [score[tuple(ids)] for ids in got[2].nbest_ids] == pytest.approx(sorted(score.values(), reverse=True)[:4])
+    # one that decodes to something else is seen, whichever it is
+    ids = [np.array(x, "<u4") for x in got[2].nbest_ids]
+    assert nbest_pieces.checks("the cat", ids, words)[2] and not nbest_pieces.checks("the cat", [*ids[:3], ids[3][1:]], words)[2]
+
+
 # classifiers
 
 
