@@ -313,6 +313,11 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
     are never the smallest; a component of null ids alone has a null id. Null
     texts are empty.
     """
+    return labelled_groups(docs, words, percent, text, id).drop("label")
+
+
+def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """near_groups with label, the component's own number whatever its ids are; null for texts without words."""
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     frequent = frequent_shingles(docs, words)
     signed = materialise(signatures(docs.withColumn("digest", F.xxhash64("text")), words, percent, frequent), "signatures")
@@ -358,24 +363,28 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
 
     named = classes.select("cid", "fp", "doc_id").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     smallest = materialise(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
-    by_set = materialise(materialise(named.select("label", "fp"), "named").join(smallest, "label").select("fp", "component_id"), "by-set")
-    some = members.where("n > 0").join(by_set, "fp").select("doc_id", "digest", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    none = members.where("n = 0").select("doc_id", "digest", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    by_set = materialise(materialise(named.select("label", "fp"), "named").join(smallest, "label").select("fp", "component_id", "label"), "by-set")
+    some = members.where("n > 0").join(by_set, "fp").select("doc_id", "digest", F.col("n").cast("long").alias("n_shingles"), "component_id", "label")
+    none = members.where("n = 0").select("doc_id", "digest", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("label"))
     return some.unionByName(none)
 
 
 def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
     """docs with one row of each group of near duplicates, the one of the smallest doc_id, columns as they were.
 
-    Rows without words all stay. Of repeated rows of that doc_id one stays.
+    Rows without words all stay. Of several rows of that doc_id in one group, and of
+    a group of null ids alone, one stays; groups are apart even if they share ids.
     """
-    found = near_groups(docs, words, percent, text, id)
-    keep = materialise(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "keep")
-    chosen = keep.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
+    found = labelled_groups(docs, words, percent, text, id)
+    texts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
+    # one text of each label; without one, all
+    apart = [F.when(F.col("label").isNull(), F.col(c)).alias(f"__{c}") for c in ("doc_id", "digest")]
+    chosen = texts.groupBy("label", *apart).agg(F.min(F.struct("digest", "doc_id", "n")).alias("c"))
+    several = F.col("label").isNotNull() & (F.col("c.n") > 1)
+    chosen = materialise(chosen.select(F.col("c.doc_id").alias("__id"), F.col("c.digest").alias("__digest"), F.col("label").alias("__label"), several.alias("__several")), "chosen")
     own = docs.withColumn("__hash", F.xxhash64(text))
     out = own.join(chosen, own[id].eqNullSafe(chosen["__id"]) & (own["__hash"] == chosen["__digest"]))
-    repeated = keep.where("n_shingles > 0").groupBy("component_id").count().where("count > 1")
-    if repeated.isEmpty():
+    if chosen.where("__several").isEmpty():
         return out.select(*docs.columns)
-    once = out.where(~F.col("__empty")).groupBy(F.col(id)).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
-    return once.unionByName(out.where("__empty").select(*docs.columns))
+    once = out.where("__several").groupBy("__label").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return once.unionByName(out.where("not __several").select(*docs.columns))

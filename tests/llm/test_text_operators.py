@@ -140,6 +140,19 @@ def test_near_dedup(spark):
     assert jaccard_join.near_dedup(_empty(spark)).count() == 0
 
 
+def test_near_dedup_keeps_unrelated_rows_of_one_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcde"]
+    a, b, c, d, e = texts
+    rows = [(None, a, "s"), (None, a + " more", "s"), (None, b, "s"), (None, b, "s"), (None, e, "s"), (5, c, "s"), (5, c, "s"), (5, d, "s"), (5, d + " more", "s"), (None, d + " end", "s"), (6, c + " end", "s")]
+    empty = [(None, None, "s"), (None, "", "s"), (5, None, "s"), (5, None, "s")]
+    out = jaccard_join.near_dedup(_docs(spark, rows + empty).repartition(3)).collect()
+    assert sorted((r.doc_id or -1, r.text[:2]) for r in out if r.text) == [(-1, "a0"), (-1, "b0"), (-1, "e0"), (5, "c0"), (5, "d0")]
+    assert sorted((r.doc_id or -1, r.text or "") for r in out if not r.text) == [(-1, ""), (-1, ""), (5, ""), (5, "")]
+    # without repeated rows
+    out = jaccard_join.near_dedup(_docs(spark, [(None, a, "s"), (None, b, "s"), (5, c, "s"), (5, d, "s"), (5, d + " more", "s")])).collect()
+    assert sorted((r.doc_id or -1, r.text[:2]) for r in out) == [(-1, "a0"), (-1, "b0"), (5, "c0"), (5, "d0")]
+
+
 def test_matches_asked():
     assert jaccard_join.matches_asked(np.ones(200), 170, 85) == 1
     assert jaccard_join.matches_asked(np.array([1.0] * 5 + [500.0] * 195), 170, 85) > 1
