@@ -7,32 +7,56 @@ the ids of its n best segmentations and its decoded text's hash.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from longtide.llm import exact_dedup, jaccard_join, mixing, nbest_pieces, quality_rules
-from longtide.llm.storage import scratch_path
+from longtide.llm.storage import discard_unread, mark, scratch_path, written_since
+
+#: Folders of the tables that stages wrote beside their results.
+_left_over: list[str] = []
+
+
+def _stage(f):
+    """A stage that first deletes what the stages before it left over, but for what its docs still read."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard_unread(docs, _left_over)
+        before = mark()
+        out = f(spark, docs, sf_dir)
+        _left_over[:] = [*_left_over, *written_since(before)]
+        return out
+
+    return run_stage
 
 
+@_stage
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass their own rules and whose host is kept."""
     return quality_rules.quality_filter(docs)
 
 
+@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, the one of the largest doc_id."""
     return exact_dedup.exact_dedup(docs)
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8, the one of the smallest doc_id."""
     return jaccard_join.near_dedup(docs)
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights: documents as often as they are taken."""
     return mixing.mix_documents(docs)
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document of the mix in pieces: its n best segmentations' ids and scores, and whether all decode to its text."""
     return nbest_pieces.segmentations(docs).drop("best_ids")
@@ -51,4 +75,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        # the stage after the next one reads the next one's result
+        _left_over.append(path)
     return STAGES[-1][1](spark, docs, sf_dir)

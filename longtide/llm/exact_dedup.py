@@ -7,9 +7,10 @@ until one name is left of each document. Two documents have the same last
 level and name exactly if their texts are equal byte for byte: a name stands
 for one pair of names, and a first name for one block's content.
 
-Blocks are compared by content where they are numbered. The text crosses one
-shuffle, for that; occurrences are matched to their names by a 128-bit routing
-hash, and should two different blocks ever share one, which the numbering sees,
+Blocks are compared by content where they are numbered. The text crosses two
+shuffles for that, one that makes blocks distinct and one that sorts them, and
+copies cross the first of them once a task; occurrences are matched to their
+names by a 128-bit routing hash, and should two different blocks ever share one, which the numbering sees,
 it starts again with another salt.
 """
 
@@ -18,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .rows import order, whole
+from .storage import discard_since, mark, materialise
 
 
 def _route(block: Column, salt: int) -> Column:
@@ -55,9 +57,9 @@ def identities(docs: DataFrame, text: str = "text", id: str = "doc_id", block_by
             ),
             "blocks",
         )
-        # numbered in sorted order; the second key part makes equal blocks meet, so that each is kept once
+        # one order of all blocks, in which names ascend
         distinct = base.select(F.explode(_blocks(F.col("text"), block_bytes)).alias("block")).distinct()
-        first = materialise(distinct.sortWithinPartitions("block").select(route(F.col("block"), salt).alias("route"), F.monotonically_increasing_id().alias("name")), "names")
+        first = materialise(distinct.orderBy("block").select(route(F.col("block"), salt).alias("route"), F.monotonically_increasing_id().alias("name")), "names")
         if first.groupBy("route").count().where("count > 1").isEmpty():
             break
         salt += 1
@@ -80,7 +82,7 @@ def identities(docs: DataFrame, text: str = "text", id: str = "doc_id", block_by
         )
         level += 1
         # written, so that the join below deals both sides anew and a pair of very many rows can be split
-        names = materialise(pairs.select("pair").distinct().sortWithinPartitions("pair").withColumn("name", F.monotonically_increasing_id()), f"names-{level}")
+        names = materialise(pairs.select("pair").distinct().orderBy("pair").withColumn("name", F.monotonically_increasing_id()), f"names-{level}")
         state = materialise(_sequences(pairs.join(names, "pair").select("row", "pos", "name")), f"level-{level}")
     last = done[0]
     for d in done[1:]:
@@ -95,7 +97,9 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", block_
     of that doc_id exactly one. Null doc_ids are smallest. Null and empty texts
     are one group. An empty table gives no rows.
     """
+    before = mark()
     named = materialise(identities(docs, text, id, block_bytes, route), "identities")
+    discard_since(docs.sparkSession, before, named)
     groups = materialise(named.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")), "groups")
     return named.join(groups, ["level", "name"]).select(
         "row", "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "sha"
@@ -103,18 +107,20 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", block_
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", block_bytes: int = 4096) -> DataFrame:
-    """docs without all but one row of equal texts, all columns as they were.
+    """docs without all but one row of equal texts, all columns as they were, whatever their names and types.
 
-    The row that stays is that of the largest doc_id. Where rows repeat whole,
-    with their doc_id, one of them stays.
+    The row that stays is that of the largest doc_id. Where rows repeat with that
+    doc_id, the first of them by their other columns stays. Ids may be null and of
+    any type that has an order.
     """
-    out = exact_groups(docs, text, id, block_bytes).where("kept").select(F.col("doc_id").alias("__id"), F.col("sha").alias("__sha"))
-    own = docs.withColumn("__hash", F.unhex(F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"), 256)))
-    found = own.join(out, own[id].eqNullSafe(out["__id"]) & (own["__hash"] == out["__sha"]), "left_semi")
-    # rows that repeat with id and text: one of them, by the rest of their columns
-    repeated = docs.groupBy(F.col(id).alias("__id")).count().where("count > 1")
-    if repeated.isEmpty():
-        return found.drop("__hash")
-    once = [id, "__hash"]
-    rest = [c for c in found.columns if c not in once]
-    return found.groupBy(*once).agg(F.min(F.struct(*rest)).alias("__row")).select(*[F.col(id)] + [F.col("__row")[c].alias(c) for c in rest]).select(*docs.columns)
+    groups = exact_groups(docs, text, id, block_bytes)
+    # how often the row that stays is there, with its id and text
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("doc_id", "sha").agg(F.count("*").alias("n"))
+    kept = materialise(kept.select(F.col("doc_id").alias("keep_id"), F.col("sha").alias("keep_sha"), "n"), "kept")
+    own = docs.select(whole(docs), F.col(id).alias("id"), F.unhex(F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"), 256)).alias("sha"))
+    found = own.join(kept, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")))
+    if kept.where("n > 1").isEmpty():
+        return found.select("doc.*")
+    # of rows that repeat with id and text the first by the rest of their columns
+    several = found.where("n > 1").groupBy("id", "sha").agg(F.min_by("doc", order(docs)).alias("doc")).select("doc.*")
+    return several.unionByName(found.where("n = 1").select("doc.*"))

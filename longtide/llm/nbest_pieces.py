@@ -2,23 +2,29 @@
 
 A text is normalised as the model's file says for this family (spaces become
 U+2581, one is put in front, nothing else changes) and cut where no piece can
-lie across: before a run of U+2581 and around line feeds. In each part the pieces form a lattice. A
-forward Viterbi pass gives the best score from the part's start to every
-position; an A-star search goes back from its end, and the forward scores are
-its heuristic. They are exact, so segmentations come out best first. Characters
-without a piece are spelled in byte pieces.
+lie across: between characters that no piece has side by side. In each part the
+pieces form a lattice. A forward Viterbi pass gives the best score from the
+part's start to every position; an A-star search goes back from its end, and the
+forward scores are its heuristic. They are exact, so segmentations come out best
+first and no more than n open paths are ever worth keeping. Characters without a
+piece are spelled in byte pieces.
 
 The score of a segmentation is the sum of its pieces' scores in the model. For
 a BPE model those are ranks, so the best segmentation need not be the one that
 merging gives; every segmentation decodes to the text.
+
+A batch's equal parts are one. Forward and backward scores of all parts that a
+worker has not met are found together; from them come each part's best
+segmentation and the drop to its second. A text's n best differ from its best in
+the n - 1 parts of the smallest drops only, and those are searched.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 import zlib
+from bisect import insort
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -26,17 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import no_cycle_search, text_batches, tokenizer_path
+from .tokens import PartCache, Parts, no_cycle_search, text_batches, tokenizer_path, worker_cache
+from .words import packed
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 N_BEST = 4
-#: No piece has a line feed, nor U+2581 after another character.
-_PART = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-#: Parts kept by a worker, under 400 bytes each.
-MOST_PARTS = 900_000
-#: A part longer than this is not kept.
-LONG_PART = 64
+SLICE_BYTES = 2 << 20
+#: Cells (part, position, piece length) of the lattices that are worked on at once.
+CELLS = 2_000_000
 
 
 class Vocabulary:
@@ -44,9 +48,8 @@ class Vocabulary:
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int]):
         self.pieces = pieces
-        self.byte_ids = byte_ids
-        #: Every beginning of a piece, so that a search for pieces stops where none goes on.
-        self.beginnings = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        self.byte_ids = np.array(byte_ids, np.uint32)
+        self.longest = max(map(len, pieces), default=1)
         #: Below every ranked piece's score, so that bytes are a last resort. (Runs of
         #: spaces have a score of -1e9 in the file, which is no rank.)
         self.byte_score = min((s for _, s in pieces.values() if s > -1e8), default=0.0) - 10.0
@@ -55,37 +58,48 @@ class Vocabulary:
     @cached_property
     def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sorted keys (node << 21 | character), the node each leads to, and of each node its piece's id (-1: none) and score."""
-        nodes = {"": 0} | {b: k + 1 for k, b in enumerate(sorted(self.beginnings))}
-        keys = np.array([nodes[b[:-1]] << 21 | ord(b[-1]) for b in self.beginnings], np.int64)
-        children = np.array([nodes[b] for b in self.beginnings], np.int64)
+        beginnings = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        nodes = {"": 0} | {b: k + 1 for k, b in enumerate(sorted(beginnings))}
+        keys = np.array([nodes[b[:-1]] << 21 | ord(b[-1]) for b in beginnings], np.int64)
+        children = np.array([nodes[b] for b in beginnings], np.int64)
         ids, scores = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -np.inf)
         for piece, (i, score) in self.pieces.items():
             ids[nodes[piece]], scores[nodes[piece]] = i, score
         order = np.argsort(keys)
         return keys[order], children[order], ids, scores
 
-    def edges(self, text: str, start: int):
-        """(end, score, ids) of the pieces of text at start; the bytes of its character if it has no piece."""
-        single = False
-        pieces, beginnings = self.pieces, self.beginnings
-        for end in range(start + 1, len(text) + 1):
-            part = text[start:end]
-            if part not in beginnings:
-                break
-            if found := pieces.get(part):
-                single |= end == start + 1
-                yield end, found[1], (found[0],)
-        if not single:
-            # U+2581 of the text itself reads as a space here and has a piece
-            data = text[start].encode()
-            yield start + 1, self.byte_score * len(data), tuple(self.byte_ids[b] for b in data)
+    @cached_property
+    def joins(self) -> np.ndarray:
+        """[last byte, first byte] of characters, with spaces for U+2581, that some piece has side by side."""
+        out = np.zeros((256, 256), bool)
+        for piece in self.pieces:
+            spelled = [c.encode() for c in piece.replace(SPACE, " ")]
+            for a, b in zip(spelled, spelled[1:], strict=False):
+                out[a[-1], b[0]] = True
+        return out
+
+    @cached_property
+    def spellings(self) -> pa.Array:
+        """The bytes of every id in order."""
+        return pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=-1) + 1)], pa.large_binary())
+
+    def edges_into(self, text: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
+        """(start, score, ids) of the pieces of text that end at end; the bytes of its last character if that has no piece."""
+        found = [(start, hit[1], (hit[0],)) for start in range(max(0, end - self.longest), end) if (hit := self.pieces.get(text[start:end]))]
+        if not found or found[-1][0] != end - 1:
+            data = text[end - 1].encode()
+            found.append((end - 1, self.byte_score * len(data), tuple(self.byte_ids[list(data)].tolist())))
+        return found
 
     def decode(self, ids) -> str:
         """The text of ids, without the space put in front."""
-        return self.spelled(ids).decode().removeprefix(" ")
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode().removeprefix(" ")
 
-    def spelled(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def spelled(self, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The bytes of all ids, end to end, and where each id's begin (one more at the end)."""
+        taken = self.spellings.take(pa.array(ids))
+        _, offsets, data = taken.buffers()
+        return memoryview(data) if data else memoryview(b""), np.frombuffer(offsets, np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -98,189 +112,253 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def n_best(text: str, words: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """Up to n segmentations (score, ids) of a part, best first; among equal scores the one found first."""
+    """Up to n segmentations (score, ids) of a part, best first.
+
+    Among equal scores a path that is nearer to the part's start goes first, so
+    a path is finished before others like it are opened. Every open path can be
+    completed at exactly its estimate, so those beyond as many as are still
+    wanted are dropped.
+    """
     size = len(text)
-    into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]  # edges by their end
-    forward = [-np.inf] * (size + 1)
-    forward[0] = 0.0
-    for start in range(size):
-        for end, score, ids in words.edges(text, start):
-            into[end].append((start, score, ids))
-            if forward[start] + score > forward[end]:
-                forward[end] = forward[start] + score
+    forward = [0.0] * (size + 1)
+    for end in range(1, size + 1):
+        forward[end] = max([forward[start] + score for start, score, _ in words.edges_into(text, end)])
     found: list[tuple[float, tuple[int, ...]]] = []
-    queue = [(-forward[size], 0, size, 0.0, None)]
+    # (estimate, -position, order, score behind, (ids, path behind)), the best last
+    queue: list = [(forward[size], -size, 0, 0.0, None)]
     pushed = 0
     while queue and len(found) < n:
-        _, _, at, behind, path = heapq.heappop(queue)
+        _, at, _, behind, path = queue.pop()
         if not at:
-            ids = []
+            ids: list[int] = []
             while path:
                 ids += path[0]
                 path = path[1]
             found.append((behind, tuple(ids)))
             continue
-        for start, score, ids in into[at]:
-            pushed += 1
-            heapq.heappush(queue, (-(forward[start] + score + behind), pushed, start, behind + score, (ids, path)))
+        for start, score, ids in words.edges_into(text, -at):
+            pushed -= 1
+            insort(queue, (forward[start] + score + behind, -start, pushed, behind + score, (ids, path)))
+        del queue[: max(0, len(queue) - (n - len(found)))]
     return found
 
 
-def parts(text: str) -> list[str]:
-    return _PART.findall(SPACE + text.replace(" ", SPACE)) if text else []
+class Lattices:
+    """The edges of parts of up to `most` characters, longest first: of each its part, start, length, score and piece (-1: bytes)."""
+
+    def __init__(self, texts: list[str], words: Vocabulary):
+        keys, children, id_of, score_of = words.trie
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        self.sizes = np.array([len(t) for t in texts])
+        ends = np.cumsum(self.sizes)
+        end_of = np.repeat(ends, self.sizes)
+        part_of, start_of = np.repeat(np.arange(len(texts)), self.sizes), np.arange(len(chars)) - np.repeat(ends - self.sizes, self.sizes)
+        at, node, length, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0, []
+        while len(at):
+            key = node << 21 | chars[at + length]
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[place] == key
+            at, node, length = at[hit], children[place[hit]], length + 1
+            piece = id_of[node] >= 0
+            found.append((at[piece], np.full(piece.sum(), length), score_of[node[piece]], id_of[node[piece]]))
+            on = at + length < end_of[at]
+            at, node = at[on], node[on]
+        spelled = np.ones(len(chars), bool)
+        spelled[found[0][0]] = False
+        at = np.flatnonzero(spelled)
+        self.n_bytes = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+        found.append((at, np.ones(len(at), np.int64), words.byte_score * self.n_bytes[at], np.full(len(at), -1)))
+        at, self.length, self.score, self.piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        self.at, self.part, self.start = at, part_of[at], start_of[at]
+        self.chars = chars
+
+    def solve(self, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of every part the best score, the drop to the second best (inf: there is none), and the best one's ids as bytes.
+
+        All parts go one position at a time, forward for the best score of every
+        beginning and backward for that of every end; the best path through an
+        edge that the best segmentation does not use is the second best.
+        """
+        sizes, part, start, length = self.sizes, self.part, self.start, self.length
+        n, most, longest = len(sizes), int(sizes[0]), int(length.max())
+        rows, end = np.arange(n), start + length
+        by_end, by_start = np.full((n, most + 1, longest), -np.inf), np.full((n, most + 1, longest), -np.inf)
+        by_end[part, end, longest - length] = by_start[part, start, length - 1] = self.score
+        number = np.zeros((n, most + 1, longest), np.int32)
+        number[part, end, longest - length] = np.arange(len(part))
+        # a margin of -inf on the side that windows look to
+        forward, backward = np.full((n, longest + most + 1), -np.inf), np.full((n, most + 1 + longest), -np.inf)
+        taken = np.zeros((n, most + 1), np.int64)
+        forward[:, longest] = backward[rows, sizes] = 0.0
+        alive = np.searchsorted(-sizes, -np.arange(most + 2), side="right")  # parts of so many characters or more
+        for t in range(1, most + 1):
+            k = alive[t]
+            reach = forward[:k, t : t + longest] + by_end[:k, t]
+            best = reach.argmax(1)
+            forward[:k, longest + t] = reach[rows[:k], best]
+            taken[:k, t] = longest - best
+        for t in range(most - 1, -1, -1):
+            k = alive[t + 1]
+            backward[:k, t] = (backward[:k, t + 1 : t + 1 + longest] + by_start[:k, t]).max(1)
+        used = np.zeros((n, most + 1), np.int64)
+        of, to = rows, sizes.copy()
+        while len(of):
+            used[of, to] = step = taken[of, to]
+            to = to - step
+            of, to = of[to > 0], to[to > 0]
+        best = forward[rows, longest + sizes]
+        through = np.where(used[part, end] == length, -np.inf, forward[part, longest + start] + self.score + backward[part, end])
+        second = np.full(n, -np.inf)
+        np.maximum.at(second, part, through)
+        of, to = np.nonzero(used)
+        edge = number[of, to, longest - used[of, to]]
+        ids = self.piece[edge]
+        counts = np.bincount(of, minlength=n)
+        if (ids < 0).any():
+            # characters in bytes
+            own = np.where(ids < 0, self.n_bytes[self.at[edge]], 1)
+            spread = np.repeat(ids, own)
+            data = np.frombuffer("".join(map(chr, self.chars[self.at[edge[ids < 0]]].tolist())).encode(), np.uint8)
+            spread[spread < 0] = words.byte_ids[data]
+            ids, counts = spread, np.bincount(of, own, n).astype(np.int64)
+        ids, cuts = ids.astype("<u4").tobytes(), np.concatenate(([0], np.cumsum(counts))) * 4
+        return best, best - second, [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def best_and_drop(parts: list[str], words: Vocabulary) -> list[tuple[float, float, bytes]]:
+    """For each part (best score, drop to the second best, ids of the best as bytes), parts of like length together."""
+    order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
+    out: list = [None] * len(parts)
+    first = 0
+    while first < len(order):
+        last = first + max(1, CELLS // ((len(parts[order[first]]) + 1) * words.longest))
+        some = order[first:last]
+        for i, *x in zip(some, *Lattices([parts[i] for i in some], words).solve(words), strict=True):
+            out[i] = tuple(x)
+        first = last
+    return out
 
 
-def best_and_second(parts: list[str], words: Vocabulary) -> list[tuple[float, float | None, bytes] | None]:
-    """For each part (best score, drop to the second best or None, ids of the best as bytes), all parts at once.
+_HEAD = np.dtype([("best", "<f8"), ("drop", "<f8")])
 
-    Forward and backward Viterbi scores of every position; the best path through
-    any edge that the best segmentation does not use is the second best. None for
-    parts with a character that has no piece.
-    """
-    keys, children, id_of, score_of = words.trie
-    chars = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
-    sizes = np.array([len(p) for p in parts])
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    end_of = np.repeat(ends, sizes)
-    n = len(chars)
-    scores, nodes = [np.full(n, -np.inf)], [np.zeros(n, np.int64)]  # by length, then by start
-    at, node = np.arange(n), np.zeros(n, np.int64)
-    while len(at):
-        step = len(scores) - 1
-        key = node << 21 | chars[at + step]
-        found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        hit = keys[found] == key
-        at, node = at[hit], children[found[hit]]
-        scores.append(np.full(n, -np.inf))
-        nodes.append(np.zeros(n, np.int64))
-        scores[-1][at], nodes[-1][at] = score_of[node], node
-        on = at + step + 1 < end_of[at]
-        at, node = at[on], node[on]
-    longest = len(scores) - 1
-    # positions: a part of k characters has k + 1, so that ends and starts of neighbours are apart
-    shift = np.repeat(np.arange(len(parts)), sizes)
-    first, last = starts + np.arange(len(parts)), ends + np.arange(len(parts))
-    forward, backward = np.full(n + len(parts), -np.inf), np.full(n + len(parts), -np.inf)
-    taken = np.zeros(n + len(parts), np.int64)
-    forward[first], backward[last] = 0.0, 0.0
-    order = np.argsort(-sizes, kind="stable")
-    alive = np.searchsorted(-sizes[order], -np.arange(sizes.max() + 1), side="right")  # parts of k characters or more
-    for t in range(1, int(sizes.max()) + 1):
-        own = order[: alive[t]]
-        to, back_to = first[own] + t, last[own] - t
-        for k in range(1, min(t, longest) + 1):
-            reach = forward[to - k] + scores[k][starts[own] + t - k]
-            better = reach > forward[to]
-            forward[to[better]], taken[to[better]] = reach[better], k
-            reach = backward[back_to + k] + scores[k][ends[own] - t]
-            better = reach > backward[back_to]
-            backward[back_to[better]] = reach[better]
-    path = np.zeros(n, np.int64)
-    of, to = np.flatnonzero(np.isfinite(forward[last])), last[np.isfinite(forward[last])]
-    while len(of):
-        k = taken[to]
-        path[to - k - of] = k
-        to = to - k
-        on = to > first[of]
-        of, to = of[on], to[on]
-    second = np.full(n, -np.inf)
-    where = np.arange(n) + shift
-    for k in range(1, longest + 1):
-        fits = np.flatnonzero(scores[k] > -np.inf)
-        fits = fits[path[fits] != k]
-        through = forward[where[fits]] + scores[k][fits] + backward[where[fits] + k]
-        second[fits] = np.maximum(second[fits], through)
-    second = np.maximum.reduceat(second, starts)
-    used = np.flatnonzero(path)
-    ids = id_of[np.stack(nodes)[path[used], used]].astype("<u4").tobytes()
-    cuts = np.searchsorted(used, np.append(starts, n)) * 4
-    out = []
-    for k, (best, other) in enumerate(zip(forward[last].tolist(), second.tolist(), strict=True)):
-        out.append((best, best - other if other > -np.inf else None, ids[cuts[k] : cuts[k + 1]]) if best > -np.inf else None)
-    return out
 
+def _solved(words: Vocabulary) -> PartCache:
+    """part -> best score and drop, 16 bytes, then its best ids."""
 
-class Lattices(dict):
-    """part -> (best score, drop to the second best or None, ids of the best as bytes)."""
-
-    def __init__(self, words: Vocabulary, n: int, most: int = MOST_PARTS):
-        super().__init__()
-        self._words, self._half, self._older = words, most // 2, {}
-        #: part -> all its n best; asked for the few parts of a text that its own n best differ in.
-        self.all = lru_cache(maxsize=20_000)(lambda part: n_best(part, words, n))
-
-    def learn(self, wanted: set[str]) -> None:
-        if len(self) > self._half:
-            # the younger generation becomes the older; parts that are met again come back
-            self._older = self.copy()
-            self.clear()
-        missing = wanted.difference(self)
-        again = [p for p in missing if p in self._older]
-        self.update([(p, self._older[p]) for p in again])
-        missing = [p for p in missing.difference(again) if len(p) <= LONG_PART]
-        for k in range(0, len(missing), 10_000):
-            some = missing[k : k + 10_000]
-            self.update((p, x) for p, x in zip(some, best_and_second(some, self._words), strict=True) if x is not None)
-
-    def __missing__(self, part: str):
-        best, *second = n_best(part, self._words, 2)
-        value = (best[0], best[0] - second[0][0] if second else None, np.array(best[1], "<u4").tobytes())
-        if len(part) <= LONG_PART:
-            self[part] = value
-        return value
-
-
-def text_n_best(split: list[str], found: list[tuple], n: int, lattices: Lattices) -> list[tuple[float, dict[int, tuple]]]:
-    """The n best segmentations of a text of these parts, as (drop from the best score, {part's number: its ids}).
-
-    Parts are independent, so only those with the n - 1 smallest first drops can
-    differ from their best in the n best of the text.
-    """
-    first = heapq.nsmallest(n - 1, [(e[1], k) for k, e in enumerate(found) if e[1] is not None])
-    out: list[tuple[float, dict[int, tuple]]] = [(0.0, {})]
-    for _, k in first:
-        best, *rest = lattices.all(split[k])
-        more = [(drop + best[0] - score, {**chosen, k: ids}) for drop, chosen in out for score, ids in rest]
-        out = heapq.nsmallest(n, out + more, key=lambda x: x[0])
-    return out
+    def make(parts: list[bytes]) -> list[bytes]:
+        found = best_and_drop([p.decode().replace(" ", SPACE) for p in parts], words)
+        heads = np.array([x[:2] for x in found], np.float64).tobytes()
+        return [heads[16 * k : 16 * k + 16] + x[2] for k, x in enumerate(found)]
 
+    return PartCache(make)
 
-def all_ids(best: np.ndarray, found: list[tuple], choices: list[tuple[float, dict[int, tuple]]]) -> list[np.ndarray]:
-    """The ids of each of a text's segmentations, from those of its best and the parts in which the others differ."""
-    out = [best]
-    ends = np.cumsum([len(e[2]) // 4 for e in found]) if len(choices) > 1 else None
-    for _, chosen in choices[1:]:
-        pieces, at = [], 0
-        for k in sorted(chosen):
-            pieces += [best[at : ends[k] - len(found[k][2]) // 4], np.array(chosen[k], "<u4")]
-            at = ends[k]
-        out.append(np.concatenate([*pieces, best[at:]]))
-    return out
 
+def _searched(words: Vocabulary, n: int) -> PartCache:
+    """part -> its n best (score, ids as bytes)."""
 
-def checks(text: str, every: list[np.ndarray], words: Vocabulary) -> tuple[list[int], str, bool]:
-    """From the ids of all segmentations of a text: their CRCs, the SHA-256 of what the first decodes to, whether all decode to the text."""
-    first, *others = (words.spelled(ids.tolist()) for ids in every)
-    decoded = first.decode().removeprefix(" ")
-    return [zlib.crc32(ids) for ids in every], hashlib.sha256(decoded.encode()).hexdigest(), decoded == text and all(x == first for x in others)
+    def make(parts: list[bytes]) -> list[list[tuple[float, bytes]]]:
+        return [[(s, np.array(ids, "<u4").tobytes()) for s, ids in n_best(p.decode().replace(" ", SPACE), words, n)] for p in parts]
 
+    return PartCache(make, most_bytes=32 << 20, weigh=lambda value: sum(100 + len(ids) for _, ids in value))
 
-def _nested(rows: list[list[np.ndarray]]) -> pa.Array:
-    """array<array<int>> of rows of arrays of ids."""
-    flat = [ids for every in rows for ids in every]
-    inner = np.concatenate(([0], np.cumsum([len(ids) for ids in flat]))).astype(np.int32)
-    outer = np.concatenate(([0], np.cumsum([len(every) for every in rows]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(inner), pa.array(np.concatenate(flat).view(np.int32))))
 
+def led_parts(texts: pa.Array, words: Vocabulary) -> tuple[Parts, np.ndarray, np.ndarray, list[int]]:
+    """The parts of texts with a space in front, the bytes of all and their offsets, and which texts have U+2581, here a space, of their own."""
+    data, offsets = packed(texts)
+    mark, marked = SPACE.encode(), []
+    if mark in data.tobytes():
+        every = texts.to_pylist()
+        marked = [i for i, t in enumerate(every) if t and SPACE in t]
+        data, offsets = packed(pa.array([t and t.replace(SPACE, " ") for t in every], pa.string()))
+    held = offsets[:-1] < offsets[1:]
+    data = np.insert(data, offsets[:-1][held], 32)
+    offsets = offsets + np.concatenate(([0], np.cumsum(held)))
+    cut = np.zeros(len(data), bool)
+    cut[1:] = ~words.joins[data[:-1], data[1:]] & (data[1:] & 0xC0 != 0x80)
+    return Parts(data, offsets, cut), data, offsets, marked
 
-_kept: dict = {}
 
+def smallest_drops(parts: Parts, drops: np.ndarray, n: int) -> dict[int, list[int]]:
+    """text -> the places of its n parts of the smallest drops, smallest first; parts without a second segmentation are left out."""
+    left = drops[parts.codes]
+    counts = np.diff(parts.firsts)
+    held = np.flatnonzero(counts)
+    out: dict[int, list[int]] = {}
+    text_of = np.repeat(np.arange(len(counts)), counts)
+    for _ in range(n if len(held) else 0):
+        least = np.minimum.reduceat(left, parts.firsts[held])
+        hit = np.flatnonzero((left == np.repeat(least, counts[held])) & (left < np.inf))
+        texts = text_of[hit]
+        once = np.concatenate(([True], texts[1:] != texts[:-1])) if len(hit) else np.zeros(0, bool)
+        left[hit[once]] = np.inf
+        for text, place in zip(texts[once].tolist(), hit[once].tolist(), strict=True):
+            out.setdefault(text, []).append(place)
+    return out
 
-def _lattices(path: str, n: int) -> Lattices:
-    if (path, n) not in _kept:
-        _kept[path, n] = Lattices(vocabulary(path), n)
-    return _kept[path, n]
+
+def text_n_best(searched: list[tuple[int, bytes, list[tuple[float, bytes]]]], n: int) -> list[tuple[float, dict[int, bytes]]]:
+    """The n best segmentations of a text, as (drop from the best score, {part's place: its ids}).
+
+    searched has the parts of the n - 1 smallest drops: place, best ids, n best.
+    Parts are independent, so no other part differs from its best.
+    """
+    out: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
+    for place, best, every in searched:
+        rest = [(every[0][0] - score, ids) for score, ids in every if ids != best][: n - 1]
+        more = [(drop + less, {**chosen, place: ids}) for drop, chosen in out for less, ids in rest]
+        out = heapq.nsmallest(n, out + more, key=lambda x: x[0])
+    return out
+
+
+def encode_batch(texts: pa.Array, words: Vocabulary, solved: PartCache, searched: PartCache, n: int) -> dict[str, pa.Array]:
+    """The columns of segmentations() but doc_id."""
+    parts, led, led_at, marked = led_parts(texts, words)
+    distinct = parts.distinct.to_pylist()
+    values = solved.values(distinct)
+    heads = np.frombuffer(b"".join([v[:16] for v in values]), _HEAD)
+    best = [v[16:] for v in values]
+    data, at = parts.spread(best)
+    data, at, codes, firsts = data.tobytes(), at.tolist(), parts.codes, parts.firsts.tolist()
+    totals = parts.sums(heads["best"]).tolist()
+    differ = smallest_drops(parts, heads["drop"], n - 1)
+    wanted = [codes[p] for places in differ.values() for p in places]
+    names = list(set(wanted))
+    n_best_of = dict(zip(names, searched.values([distinct[c] for c in names]), strict=True))
+    scores, every, sizes = [], [], []
+    for k, total in enumerate(totals):
+        first, last = firsts[k], firsts[k + 1]
+        choices = text_n_best([(p, best[codes[p]], n_best_of[codes[p]]) for p in differ.get(k, ())], n)
+        for _, chosen in choices:
+            pieces, done = [], at[first]
+            for p in sorted(chosen):
+                pieces += [data[done : at[p]], chosen[p]]
+                done = at[p + 1]
+            every.append(b"".join([*pieces, data[done : at[last]]]))
+        scores.append([total - drop for drop, _ in choices])
+        sizes.append(len(choices))
+    ids = np.frombuffer(b"".join(every), "<u4")
+    bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in every])))
+    spelled, spelled_at = words.spelled(ids)
+    ends = spelled_at[bounds].tolist()
+    spelled, led, led_at, marked = bytes(spelled), led.tobytes(), led_at.tolist(), set(marked)
+    hashes, whole, j = [], [], 0
+    for k, size in enumerate(sizes):
+        said, meant = [spelled[ends[i] : ends[i + 1]] for i in range(j, j + size)], led[led_at[k] : led_at[k + 1]]
+        hashes.append(hashlib.sha256(said[0][1:]).hexdigest())
+        whole.append(k not in marked and all(x == meant for x in said))
+        j += size
+    outer = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    lists = lambda values: pa.ListArray.from_arrays(outer, values)
+    nested = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
+    first = outer.to_numpy()[:-1]
+    return {
+        "n_pieces": pa.array(np.diff(bounds)[first]),
+        "scores": lists(pa.array([float(s) for x in scores for s in x], pa.float64())),
+        "nbest_crc32": lists(pa.array([zlib.crc32(x) for x in every], pa.int64())),
+        "decoded_sha256": pa.array(hashes, pa.string()),
+        "round_trip": pa.array(whole, pa.bool_()),
+        "nbest_ids": lists(nested),
+    }
 
 
 def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model: str = MODEL, n: int = N_BEST, with_ids: bool = True) -> DataFrame:
@@ -292,31 +370,20 @@ def segmentations(docs: DataFrame, text: str = "text", id: str = "doc_id", model
     The rest is taken from these ids: nbest_crc32 the CRC of each (little-endian,
     32 bits), decoded_sha256 of the text decoded from the best; round_trip says
     whether every one decodes to the text that came in. U+2581 in a text decodes
-    to a space, as with the library.
+    to a space, as with the library. Ids may be null, repeat, and be of any type.
     """
     path = tokenizer_path(model)
     kind = docs.select(id).schema[0].dataType.simpleString()
 
     def encode(batches):
-        lattices, words = _lattices(path, n), vocabulary(path)
-        for batch in text_batches(batches, "text"):
-            rows, ids = [], []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            splits = [parts(t) for t in texts]
+        words = vocabulary(path)
+        solved, searched = worker_cache("solved", path, lambda: _solved(words)), worker_cache(f"searched{n}", path, lambda: _searched(words, n))
+        for batch in text_batches(batches, "text", SLICE_BYTES):
             with no_cycle_search():
-                lattices.learn(set().union(*splits))
-            for t, split in zip(texts, splits, strict=True):
-                found = list(map(lattices.__getitem__, split))
-                best = np.frombuffer(b"".join([e[2] for e in found]), "<u4")
-                total = sum([e[0] for e in found])
-                choices = text_n_best(split, found, n, lattices)
-                every = all_ids(best, found, choices)
-                rows.append((len(best), [float(total - d) for d, _ in choices], *checks(t, every, words)))
-                ids.append(every)
-            kinds = (pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.bool_())
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            out = {"doc_id": batch.column("doc_id")} | dict(zip(("n_pieces", "scores", "nbest_crc32", "decoded_sha256", "round_trip"), columns, strict=True))
-            yield pa.RecordBatch.from_pydict(out | {"nbest_ids": _nested(ids)} if with_ids else out)
+                columns = encode_batch(batch.column("text"), words, solved, searched, n)
+            if not with_ids:
+                del columns["nbest_ids"]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | columns)
 
     schema = f"doc_id {kind}, n_pieces long, scores array<double>, nbest_crc32 array<bigint>, decoded_sha256 string, round_trip boolean"
     out = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, schema + ", nbest_ids array<array<int>>" if with_ids else schema)

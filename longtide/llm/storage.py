@@ -4,21 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of tables that are written and not yet deleted, in order, and the folder that a frame reads.
+_written: list[str] = []
+_folder_of: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir.
+
+    Where that is unset, a temporary one if all executors are on this machine, as
+    in tests; on a cluster that would be another folder on every executor, so it
+    is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="longtide-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/longtide/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/longtide/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -30,12 +44,45 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folder_of[out] = path
+    return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialised table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _written.remove(folder)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialised tables that nothing reads any more."""
+    for df in tables:
+        if (folder := _folder_of.get(df)) in _written:
+            _delete(df.sparkSession, folder)
+
+
+def mark() -> frozenset[str]:
+    """The folders that are there now, for the two below."""
+    return frozenset(_written)
+
+
+def written_since(point: frozenset[str]) -> list[str]:
+    return [folder for folder in _written if folder not in point]
+
+
+def discard_since(spark: SparkSession, point: frozenset[str], *keep: DataFrame) -> None:
+    """Delete all tables written since that point but those to keep."""
+    kept = {_folder_of.get(df) for df in keep}
+    for folder in written_since(point):
+        if folder not in kept:
+            _delete(spark, folder)
+
+
+def discard_unread(docs: DataFrame, folders: list[str]) -> None:
+    """Delete those of the folders that docs does not read."""
+    still = [folder for folder in folders if folder in _written]
+    read = docs.inputFiles() if still else []
+    for folder in still:
+        if not any(folder.rsplit("/", 1)[1] in f for f in read):
+            _delete(docs.sparkSession, folder)

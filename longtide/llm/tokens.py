@@ -1,24 +1,33 @@
-"""Exact token ids and counts of whole texts, by way of their space-led pieces.
-
-Byte-level BPE of this family splits a text before every space that a
-non-space follows, so the ids of a text are the ids of its pieces, one after
-the other. Texts repeat few pieces very often: each is encoded by the library
-once and then looked up.
+"""Exact token ids and counts of whole texts, by way of parts that texts repeat.
+
+A byte-level BPE with the usual split pattern ends a pre-token at many places
+that can be seen from two or three neighbouring bytes, as before a space that a
+non-space follows. The ids of a text are then the ids of the parts between such
+places, one after the other. Parts are cut and looked up a batch at a time, and
+each distinct one is encoded by the library once. For tokenizers of any other
+kind, which is read from their files, a part is a whole text.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
-import re
-from collections.abc import Iterator
+import string
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_RUN = re.compile(r"\s\s")
-_PIECE_START = re.compile(r" (?=\S)")
+from .words import packed
+
+#: Bytes of parts and values that one worker keeps of each kind, in two generations.
+CACHE_BYTES = 200 << 20
+#: What an entry takes in memory beside its bytes.
+ENTRY_BYTES = 150
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,91 +53,66 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
         yield batch.slice(first)
 
 
-def pieces(text: str, special: str = "") -> list[str]:
-    """Keys of parts of text whose encodings, one after the other, are that of the text.
+class Parts:
+    """A batch of texts cut into parts. Equal parts have one code, the place of their bytes in distinct.
 
-    A key is a word that a space leads, without the space; or a line feed and the
-    word after it; or NUL and any other part as it is. spelled() gives the part.
+    data and offsets are the texts' bytes, cut marks the bytes at which a part
+    begins; a text always begins one, and an empty text has none.
     """
-    if not text:
-        return []
-    if (special and special in text) or "\0" in text or _RUN.search(text):
-        return ["\0" + part for part in _general(text, special)]
-    # no two white spaces in a row: only a line feed of the text can follow the space put before it
-    out = text.replace("\n", " \n").split(" ")
-    if out[0]:
-        out[0] = "\0" + out[0]
-        return out
-    return out[1:]
-
 
-def spelled(key: str) -> str:
-    """The part of a text that a key stands for."""
-    if not key:
-        return " "
-    return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
-
-
-def _general(text: str, special: str) -> list[str]:
-    if special and special in text:
-        # a special string is one id and splits the text around it
-        out = []
-        for k, part in enumerate(text.split(special)):
-            if k:
-                out.append(special)
-            if part:
-                out += _general(part, "")
-        return out
-    first, *rest = _PIECE_START.split(text)
-    return [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
-
-
-class PieceCache(dict):
-    """key -> value: a table of frequent pieces, then whatever this worker met, up to a bound.
-
-    encode gives the values of a list of parts; values of neighbouring parts add
-    up. Two generations are kept: when the younger is full it becomes the older,
-    from which keys that are met again come back.
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, cut: np.ndarray):
+        cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        starts = np.flatnonzero(cut)
+        self.firsts = np.searchsorted(starts, offsets)  # n + 1: the first part of each text
+        ends = np.append(starts, len(data)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        self.codes, self.distinct = coded.indices.to_numpy(), coded.dictionary
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum of its parts' values; values has one for each distinct part."""
+        run = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values[self.codes])))
+        return run[self.firsts[1:]] - run[self.firsts[:-1]]
+
+    def spread(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The values of all parts in order, end to end, and where each begins (one more at the end)."""
+        taken = pa.array(values, pa.large_binary()).take(pa.array(self.codes))
+        _, offsets, data = taken.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+        return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), offsets
+
+
+class PartCache:
+    """part -> value, by make(parts) -> values for those not known yet.
+
+    The parts of a fixed table are known from the start. Of the others two
+    generations are kept: when the younger has half of the bytes it becomes the
+    older, from which parts that are met again come back.
     """
 
-    def __init__(self, encode, frequent: dict | None = None, most: int = 700_000):
-        super().__init__(frequent or {})
-        self._encode, self._frequent, self._half, self._older = encode, frequent or {}, most // 2, {}
-
-    def __missing__(self, key: str):
-        value = self._older.get(key)
-        if value is None:
-            value = self._encode([spelled(key)])[0]
-        if len(key) <= 64:
-            self[key] = value
-        return value
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode what is missing of these keys in one call.
-
-        A word before one full stop or comma is a part of its own for the tokenizer.
-        """
-        with no_cycle_search():
-            if len(self) > self._half:
-                self._older = self.copy()
-                self.clear()
-                self.update(self._frequent)
-            older = self._older
-            missing = set().union(*texts).difference(self)
-            again = [k for k in missing if k in older]
-            self.update([(k, older[k]) for k in again])
-            missing = [k for k in missing.difference(again) if len(k) <= 64]
-            ended = [k for k in missing if k and k[-1] in ".," and k[:-1].isalpha()]
-            stems = {k[:-1] for k in ended}
-            self.update([(k, older[k]) for k in stems.difference(self) if k in older])
-            plain = list(set(missing).difference(ended).union(stems).difference(self))
-            self.update(zip(plain, self._encode([spelled(k) for k in plain]), strict=True))
-            self.update([(k, self[k[:-1]] + self["\0" + k[-1]]) for k in ended])
+    def __init__(self, make: Callable[[list[bytes]], list], fixed: dict | None = None, most_bytes: int = CACHE_BYTES, weigh: Callable[[object], int] = len):
+        self._make, self._fixed, self._half, self._weigh = make, fixed or {}, most_bytes // 2, weigh
+        self._young: dict = dict(self._fixed)
+        self._old: dict = {}
+        self._bytes = 0
+
+    def values(self, parts: list[bytes]) -> list:
+        """The values of these parts."""
+        if self._bytes > self._half:
+            self._old, self._young, self._bytes = self._young, dict(self._fixed), 0
+        young, old = self._young, self._old
+        missing = [p for p in parts if p not in young]
+        if missing:
+            new = [p for p in missing if p not in old] if old else missing
+            if len(new) < len(missing):
+                young.update([(p, old[p]) for p in missing if p in old])
+            young.update(zip(new, self._make(new), strict=True))
+            self._bytes += ENTRY_BYTES * len(missing) + sum(map(len, missing)) + sum(map(self._weigh, map(young.__getitem__, missing)))
+        return list(map(young.__getitem__, parts))
 
 
 @contextmanager
 def no_cycle_search():
-    """Python's search for reference cycles off: lists of ids are made and dropped by the million, without cycles."""
+    """Python's search for reference cycles off: lists are made and dropped by the million, without cycles."""
     on = gc.isenabled()
     gc.disable()
     try:
@@ -138,46 +122,135 @@ def no_cycle_search():
             gc.enable()
 
 
-_kept: dict = {}
+def _table(members) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
 
 
-def worker_cache(kind: str, path: str, make, frequent: dict | None = None) -> PieceCache:
-    """One cache of each kind in a Python worker, for all tasks that it runs."""
-    key = (kind, path)
-    if key not in _kept:
-        _kept[key] = make(path, frequent)
-    return _kept[key]
-
-
-def bpe(path: str):
-    """The library's encoder of pieces to lists of ids."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    tokenize = tokenizer.model.tokenize
-    # printable bytes stand for themselves in the model's alphabet, the others, in order, for the characters from 256 on
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
-    lead = letters[32]
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        # a word led by a space is one pre-token: the model alone spells it
-        out: list = [None] * len(texts)
-        words = [i for i, x in enumerate(texts) if x[:1] == " " and x[1:].isalpha()]
-        plain = [i for i in words if texts[i].isascii()]
-        other = [i for i in words if not texts[i].isascii()]
-        for i in plain:
-            out[i] = [t.id for t in tokenize(lead + texts[i][1:])]
-        # the others go to the model's alphabet together, apart by line feeds
-        spelled_out = "\n".join([texts[i] for i in other]).encode().decode("latin-1").translate(letters).split(letters[10]) if other else []
-        for i, x in zip(other, spelled_out, strict=True):
-            out[i] = [t.id for t in tokenize(x)]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = e.ids
+_LETTERS = _table(map(ord, string.ascii_letters))
+_ALNUM = _table(map(ord, string.ascii_letters + string.digits))
+_GRAPHIC = _table(range(0x21, 0x7F))
+#: First bytes of characters of which some are white space: U+0085, U+00A0; U+1680; U+2000-200A, 2028, 2029, 202F, 205F; U+3000.
+_DOUBTFUL = _table((0xC2, 0xE1, 0xE2, 0xE3))
+
+
+class ByteLevelCuts:
+    """Where the split pattern of byte-level BPE always ends a pre-token, from neighbouring bytes.
+
+    Before a space that a non-space follows; around a lone line feed between
+    characters that are no white space; between an ASCII letter or digit and ASCII
+    punctuation, either way. No cut is made next to an apostrophe, which leads
+    contractions, nor where it could part a special string or the white space
+    before one.
+    """
+
+    def __init__(self, specials: list[str]):
+        inside = {ord(c) for s in specials for c in s if ord(c) < 128}
+        first = {s.encode()[0] for s in specials}
+        self._solid = _GRAPHIC | _table(range(0x80, 0x100)) & ~_DOUBTFUL
+        self._solid[list(first)] = False
+        self._doubtful = _DOUBTFUL & ~_table(first)
+        self._marks = _table({ord(c) for c in string.punctuation} - {ord("'")} - inside)
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        n = len(data)
+        before, after = np.full(n, 32, np.uint8), np.full(n, 32, np.uint8)
+        before[1:], after[:-1] = data[:-1], data[1:]
+        held = offsets[:-1] < offsets[1:]
+        before[offsets[:-1][held]] = 32
+        after[offsets[1:][held] - 1] = 32
+        space = data == 32
+        cut = space & self._solid[after]
+        at = np.flatnonzero(space & self._doubtful[after])
+        if len(at):
+            one, two = data[at + 1], data[at + 2]
+            white = ((one == 0xC2) & ((two == 0x85) | (two == 0xA0))) | ((one == 0xE1) & (two == 0x9A)) | ((one == 0xE2) & ((two == 0x80) | (two == 0x81))) | ((one == 0xE3) & (two == 0x80))
+            cut[at[~white]] = True
+        line = np.flatnonzero((data == 10) & _GRAPHIC[before] & self._solid[after])
+        cut[line] = cut[line + 1] = True
+        cut |= (self._marks[data] & _ALNUM[before]) | (_ALNUM[data] & self._marks[before])
+        return cut
+
+
+class Encoder:
+    """A tokenizer's file: how texts may be cut, and the library's ids of parts (bytes)."""
+
+    def __init__(self, path: str):
+        self.cuts = None
+        if not path.endswith(".json"):
+            import sentencepiece
+
+            processor = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.size = len(processor)
+            self.ids = lambda parts: processor.encode([p.decode() for p in parts], num_threads=1)
+            return
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._library = Tokenizer.from_file(path)
+        self._library.no_truncation()
+        self._library.no_padding()
+        self.size = self._library.get_vocab_size(with_added_tokens=True)
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        if self._cuttable(file):
+            cuts = ByteLevelCuts([t["content"] for t in file["added_tokens"]])
+            whole = [np.frombuffer(t["content"].encode(), np.uint8) for t in file["added_tokens"]]
+            if not any(cuts(s, np.array([0, len(s)]))[1:].any() for s in whole):
+                self.cuts = cuts
+        self.ids = self._parts if self.cuts else self._texts
+        # printable bytes stand for themselves in a byte-level alphabet, the others, in order, for the characters from 256 on
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self._letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
+
+    @staticmethod
+    def _cuttable(file: dict) -> bool:
+        """Whether the file is of a byte-level BPE that splits by the usual pattern and changes nothing before."""
+        pre, model, post = file["pre_tokenizer"] or {}, file["model"], file["post_processor"]
+        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c.isspace() for c in t["content"]) for t in file["added_tokens"])
+        return (
+            plain and file["normalizer"] is None and post is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and not pre.get("add_prefix_space")
+            and model["type"] == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+        )
+
+    def _texts(self, parts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self._library.encode_batch([p.decode() for p in parts], add_special_tokens=False)]
+
+    def _parts(self, parts: list[bytes]) -> list[list[int]]:
+        """A word with or without a space before it is one pre-token, which the model alone spells; the rest goes through the whole library."""
+        tokenize, letters = self._library.model.tokenize, self._letters
+        out: list = [None] * len(parts)
+        rest = []
+        for i, p in enumerate(parts):
+            word = p[1:] if p[0] == 32 else p
+            if word.isalpha():
+                out[i] = [t.id for t in tokenize((letters[32] if p[0] == 32 else "") + word.decode())]
+            # letters before U+0590 are the same in every version of Unicode
+            elif word and max(word) < 0xD6 and word.decode().isalpha():
+                out[i] = [t.id for t in tokenize(p.decode("latin-1").translate(letters))]
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, self._texts([parts[i] for i in rest]), strict=True):
+            out[i] = ids
         return out
 
-    return encode
+    def parts(self, texts: pa.Array) -> Parts:
+        data, offsets = packed(texts)
+        return Parts(data, offsets, self.cuts(data, offsets) if self.cuts else np.zeros(len(data), bool))
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """One of each file in a Python worker."""
+    return Encoder(path)
+
+
+_kept: dict = {}
+
+
+def worker_cache(kind: str, path: str, make: Callable[[], PartCache]) -> PartCache:
+    """One cache of each kind in a Python worker, for all tasks that it runs."""
+    if (kind, path) not in _kept:
+        _kept[kind, path] = make()
+    return _kept[kind, path]
