@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .storage import discard, materialise
+from .rows import order, whole
+from .storage import discard, discard_since, mark, materialise
 from .tokens import text_batches
 from .words import shingle_sets
 
@@ -47,8 +48,8 @@ LARGE_BUCKET = 8
 HUB_ROUNDS = 1
 #: Bits of a parity bitmap at least; it has as many as its set has shingles, or more.
 BITMAP_BITS = 1024
-#: log2 of the bits of the filter that picks the texts to verify: 4 MB whatever the input.
-FILTER_BITS = 25
+#: Bits of a filter of ids to each id, and the most ids that are broadcast as one, in 64 MB; beyond that rows are picked by a join.
+FILTER_RATIO, MOST_FILTERED = 16, 1 << 25
 
 
 def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT, least: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray]:
@@ -221,43 +222,52 @@ def _passing_bitmaps(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     return both.mapInArrow(keep, "a long, b long")
 
 
-def _probes(ids: np.ndarray) -> np.ndarray:
+def _probes(ids: np.ndarray, log2: int) -> np.ndarray:
     h = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return np.stack([(h >> np.uint64(k)) & np.uint64((1 << FILTER_BITS) - 1) for k in (0, 13, 27, 39)]).astype(np.int64)
+    g = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)
+    return np.stack([(h + np.uint64(k) * g) >> np.uint64(64 - log2) for k in range(4)]).astype(np.int64)
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of ids (long), built on the executors; its size does not depend on their number."""
+class _IdFilter:
+    """A Bloom filter of a column of longs, built on the executors, as large as their number asks for."""
 
-    def bits(batches):
-        for batch in batches:
-            at = np.unique(_probes(batch.column("doc_id").fill_null(0).to_numpy()))
-            yield pa.record_batch([pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], ["word", "mask"])
+    def __init__(self, ids: DataFrame, count: int):
+        log2 = self.log2 = max(12, (FILTER_RATIO * count - 1).bit_length())
+        name = ids.columns[0]
+
+        def bits(batches):
+            for batch in batches:
+                at = np.unique(_probes(batch.column(name).to_numpy(), log2))
+                yield pa.record_batch([pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], ["word", "mask"])
 
-    words = ids.mapInArrow(bits, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-    out[words["word"].to_numpy()] = words["mask"].to_numpy()
-    return out
+        words = ids.mapInArrow(bits, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        self._words = np.zeros((1 << log2) // 64, np.int64)
+        self._words[words["word"].to_numpy()] = words["mask"].to_numpy()
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the ids may be in the column."""
+        at = _probes(ids, self.log2)
+        return ((self._words[at >> 6] >> (at & 63)) & 1).all(0).astype(bool)
 
 
 def _postings(classes: DataFrame, sizes: DataFrame) -> DataFrame:
     """cid, n, matches, pos, token of the prefixes, without most of the shingles that are in one document only.
 
-    A filter of fixed size takes those out before anything is shuffled; what it
-    lets through goes by the join with the bucket sizes.
+    A filter takes those out before anything is shuffled; what it lets through, or
+    all of them where the filter would be too large, goes by the join with the
+    bucket sizes.
     """
-    picked = classes.sparkSession.sparkContext.broadcast(_id_filter(sizes.select(F.col("token").alias("doc_id"))))
+    count = sizes.count()
+    picked = classes.sparkSession.sparkContext.broadcast(_IdFilter(sizes.select("token"), count)) if count <= MOST_FILTERED else None
 
     def spread(batches):
-        table = picked.value
         for batch in batches:
             prefix = batch.column("prefix")
             tokens = prefix.flatten().to_numpy()
             lengths = np.diff(prefix.offsets.to_numpy())
             of = np.repeat(np.arange(batch.num_rows), lengths)
             pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            at = _probes(tokens)
-            keep = ((table[at >> 6] >> (at & 63)) & 1).all(0)
+            keep = picked.value(tokens) if picked else np.ones(len(tokens), bool)
             rows = pa.array(of[keep])
             columns = [batch.column(c).take(rows) for c in ("cid", "n", "matches")]
             yield pa.record_batch([*columns, pa.array(pos[keep].astype(np.int32)), pa.array(tokens[keep])], ["cid", "n", "matches", "pos", "token"])
@@ -268,21 +278,24 @@ def _postings(classes: DataFrame, sizes: DataFrame) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """cid, set (bytes of sorted shingles) of the classes wanted (cid, fp, doc_id), from their documents' texts.
 
-    The texts are not shuffled: a filter of the wanted ids picks them where they are read.
+    The texts are not shuffled: a filter of the wanted ids' hashes picks them where
+    they are read. Where that would be too large, a join picks them.
     """
-    picked = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted.select(F.col("doc_id").cast("long").alias("doc_id"))))
+    keys, count = wanted.select(F.xxhash64("doc_id").alias("key")), wanted.count()
+    own = docs.select(F.xxhash64("doc_id").alias("key"), "text")
+    picked = docs.sparkSession.sparkContext.broadcast(_IdFilter(keys, count)) if count <= MOST_FILTERED else None
+    if picked is None:
+        own = own.join(keys.distinct(), "key", "left_semi")
 
     def read(batches):
-        table = picked.value
         for batch in text_batches(batches, "text"):
-            at = _probes(batch.column("id").fill_null(0).to_numpy())
-            mask = ((table[at >> 6] >> (at & 63)) & 1).all(0)
-            if not mask.any():
-                continue
-            sets = [s for s in shingle_sets(batch.filter(pa.array(mask)).column("text"), words) if len(s)]
-            yield pa.record_batch([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "set"])
+            if picked:
+                batch = batch.filter(pa.array(picked.value(batch.column("key").to_numpy())))
+            sets = [s for s in shingle_sets(batch.column("text"), words) if len(s)]
+            if sets:
+                yield pa.record_batch([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "set"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(read, "fp binary, set binary")
+    found = own.mapInArrow(read, "fp binary, set binary")
     # equal sets met under several ids are one; dealt out by fp once for that and for the join
     return found.groupBy("fp").agg(F.min("set").alias("set")).join(wanted.select("fp", "cid"), "fp").select("cid", "set")
 
@@ -310,14 +323,15 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
     component_id is the smallest doc_id reachable by links of at least percent %
     Jaccard similarity; equal sets are linked. Texts without words are linked
     with nothing; texts of fewer words than a shingle are one shingle. Null ids
-    are never the smallest; a component of null ids alone has a null id. Null
-    texts are empty.
+    are never the smallest; a component of null ids alone has a null id. Ids may be
+    of any type that has an order. Null texts are empty.
     """
     return labelled_groups(docs, words, percent, text, id).drop("label")
 
 
 def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
     """near_groups with label, the component's own number whatever its ids are; null for texts without words."""
+    begun = mark()
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     frequent = frequent_shingles(docs, words)
     signed = materialise(signatures(docs.withColumn("digest", F.xxhash64("text")), words, percent, frequent), "signatures")
@@ -364,6 +378,7 @@ def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     named = classes.select("cid", "fp", "doc_id").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     smallest = materialise(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
     by_set = materialise(materialise(named.select("label", "fp"), "named").join(smallest, "label").select("fp", "component_id", "label"), "by-set")
+    discard_since(spark, begun, members, by_set)
     some = members.where("n > 0").join(by_set, "fp").select("doc_id", "digest", F.col("n").cast("long").alias("n_shingles"), "component_id", "label")
     none = members.where("n = 0").select("doc_id", "digest", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("label"))
     return some.unionByName(none)
@@ -373,18 +388,22 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text
     """docs with one row of each group of near duplicates, the one of the smallest doc_id, columns as they were.
 
     Rows without words all stay. Of several rows of that doc_id in one group, and of
-    a group of null ids alone, one stays; groups are apart even if they share ids.
+    a group of null ids alone, one stays, the first by its other columns; groups are
+    apart even if they share ids. Ids may be of any type that has an order, and
+    columns may have any name and type.
     """
+    begun = mark()
     found = labelled_groups(docs, words, percent, text, id)
     texts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
     # one text of each label; without one, all
-    apart = [F.when(F.col("label").isNull(), F.col(c)).alias(f"__{c}") for c in ("doc_id", "digest")]
+    apart = [F.when(F.col("label").isNull(), F.col(c)).alias(f"own_{c}") for c in ("doc_id", "digest")]
     chosen = texts.groupBy("label", *apart).agg(F.min(F.struct("digest", "doc_id", "n")).alias("c"))
     several = F.col("label").isNotNull() & (F.col("c.n") > 1)
-    chosen = materialise(chosen.select(F.col("c.doc_id").alias("__id"), F.col("c.digest").alias("__digest"), F.col("label").alias("__label"), several.alias("__several")), "chosen")
-    own = docs.withColumn("__hash", F.xxhash64(text))
-    out = own.join(chosen, own[id].eqNullSafe(chosen["__id"]) & (own["__hash"] == chosen["__digest"]))
-    if chosen.where("__several").isEmpty():
-        return out.select(*docs.columns)
-    once = out.where("__several").groupBy("__label").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
-    return once.unionByName(out.where("not __several").select(*docs.columns))
+    chosen = materialise(chosen.select(F.col("c.doc_id").alias("chosen_id"), F.col("c.digest").alias("chosen_digest"), "label", several.alias("several")), "chosen")
+    discard_since(docs.sparkSession, begun, chosen)
+    own = docs.select(whole(docs), F.col(id).alias("id"), F.xxhash64(text).alias("digest"))
+    out = own.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("digest") == F.col("chosen_digest")))
+    if chosen.where("several").isEmpty():
+        return out.select("doc.*")
+    once = out.where("several").groupBy("label").agg(F.min_by("doc", order(docs)).alias("doc")).select("doc.*")
+    return once.unionByName(out.where("not several").select("doc.*"))

@@ -109,16 +109,22 @@ def mix_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", sourc
     A row taken 2.5 times comes twice whole and once with the first half of its
     words; only the one row of each source at which its budget ends is cut.
     n_chars, where there is such a column, follows the text. Rows of no words are
-    not taken.
+    not taken. Columns may have any name and type.
     """
-    own = docs.withColumn("__size", word_count(F.col(text)))
-    own = materialise(own.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    mixed = mix(own.select(F.col("__row").alias("row"), F.col(id).alias("doc_id"), F.col(source).alias("source"), F.col("__size").alias("size")), **options)
-    taken = mixed.where("taken > 0").select(F.col("row").alias("__row"), F.col("taken").alias("__taken"))
-    copies = own.join(taken, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
-    left = F.least(F.col("__size"), F.col("__taken") - (F.col("__copy") - 1) * F.col("__size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"{SPACE}?{WORD}".replace("+?", "*")), F.lit(0)), F.lit(1), left.cast("int")), "")
-    out = copies.withColumn(text, F.when(left < F.col("__size"), cut).otherwise(F.col(text)))
-    if n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
-    return out.select(*docs.columns)
+    named = {text: "text", id: "id", source: "source"}
+    rest = F.struct(F.lit(0).alias("any"), *[F.col(f"`{c}`") for c in docs.columns if c not in named]).alias("doc")
+    own = docs.select(rest, *[F.col(f"`{c}`").alias(n) for c, n in named.items()], word_count(F.col(text)).alias("size"))
+    own = materialise(own.withColumn("row", F.monotonically_increasing_id()), "rows")
+    mixed = mix(own.select("row", F.col("id").alias("doc_id"), "source", "size"), **options)
+    taken = mixed.where("taken > 0").select("row", "taken")
+    copies = own.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
+    left = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"{SPACE}?{WORD}".replace("+?", "*")), F.lit(0)), F.lit(1), left.cast("int")), "")
+    out = copies.withColumn("text", F.when(left < F.col("size"), cut).otherwise(F.col("text")))
+
+    def column(c):
+        if c == n_chars:
+            return F.length("text").cast(docs.schema[c].dataType).alias(c)
+        return F.col(named[c]).alias(c) if c in named else F.col("doc")[c].alias(c)
+
+    return out.select(*map(column, docs.columns))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rows import whole
 from .storage import materialise
 from .words import WORD
 
@@ -21,6 +22,7 @@ WINDOW = 5
 MAX_HOST_RATE = 0.5
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
 def _let(value: Column, body) -> Column:
@@ -100,18 +102,22 @@ def host_verdicts(flagged: DataFrame, host: str = "source", max_rate: float = MA
 def judged(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """base_rules(docs) with host_rate and kept: the document passes its own rules and its host is kept.
 
-    docs and its measures are written once; text is parsed once.
+    docs and its measures are written once; text is parsed once. Columns of these
+    names in docs are replaced.
     """
-    flagged = materialise(base_rules(docs, text), "measured")
-    hosts = host_verdicts(flagged.select(host, "base_failed"), host, max_rate).select(F.col("host").alias("__host"), "host_rate", "host_kept")
-    out = flagged.join(hosts, flagged[host].eqNullSafe(hosts["__host"]), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).drop("__host", "host_kept")
+    own = docs.drop("host_rate", "kept", *MEASURES)
+    keep = [c for c in own.columns if c not in (text, host)]
+    flagged = own.select(F.struct(F.lit(0).alias("any"), *[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(text).alias("text"), F.col(host).alias("host"))
+    flagged = materialise(base_rules(flagged), "measured")
+    hosts = host_verdicts(flagged.select("host", "base_failed"), "host", max_rate).select(F.col("host").alias("of"), "host_rate", "host_kept")
+    out = flagged.join(hosts, flagged["host"].eqNullSafe(hosts["of"]), "left")
+    columns = [F.col("text").alias(c) if c == text else F.col("host").alias(c) if c == host else F.col("doc")[c].alias(c) for c in own.columns]
+    return out.select(*columns, *MEASURES, "host_rate", (~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).alias("kept"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """docs without the rows that the rules reject, columns as they were."""
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("doc")
-    flagged = base_rules(docs.select(own, F.col(text).alias("text"), F.col(host).alias("host")))
+    """docs without the rows that the rules reject, columns as they were, whatever their names and types."""
+    flagged = base_rules(docs.select(whole(docs), F.col(text).alias("text"), F.col(host).alias("host")))
     flagged = materialise(flagged.select("doc", "host", "base_failed"), "measured")
     bad = host_verdicts(flagged, "host", max_rate).where(~F.col("host_kept")).select(F.col("host").alias("gone"))
     kept = flagged.where(~F.col("base_failed"))

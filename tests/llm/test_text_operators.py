@@ -17,13 +17,14 @@ from longtide.llm.labelled import held_out
 from longtide.llm.tokens import PartCache, encoder, tokenizer_path
 from longtide.llm.words import shingle_sets
 
-DDL = "doc_id long, text string, lang string, source string, n_chars long, row long, name string, size int"
+#: Columns beside those of documents, with names that operators use inside, and a map, which has no order.
+DDL = "doc_id long, text string, lang string, source string, n_chars long, row long, name string, size int, doc int, host_kept int, __hash int, level int, m map<string,int>, `a.b` int"
 LONG = " ".join(f"word{i % 997}x{i}" for i in range(30_000))
 
 
 def _docs(spark, rows):
     """rows (doc_id, text, source) with extra columns that operators use names of."""
-    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 7, "n", 3) for i, t, s in rows], DDL)
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 7, "n", 3, 1, 2, 3, 4, {"k": 1}, 5) for i, t, s in rows], DDL)
 
 
 ODD = [
@@ -142,6 +143,39 @@ def test_near_dedup(spark):
     assert jaccard_join.near_dedup(_empty(spark)).count() == 0
 
 
+def test_ids_of_text(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
+    rows = [("d3", texts[0] + " end", "s"), ("d10", texts[0], "s"), ("x", texts[1], "t"), (None, texts[1], "t"), ("x", texts[1], "t")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert {(r.doc_id, r.component_id) for r in jaccard_join.near_groups(docs).collect()} == {("d3", "d10"), ("d10", "d10"), ("x", "x"), (None, "x")}
+    assert sorted(r.doc_id for r in jaccard_join.near_dedup(docs).collect()) == ["d10", "x"]
+    assert sorted(r.doc_id for r in exact_dedup.exact_dedup(docs).collect()) == ["d10", "d3", "x"]
+    assert mixing.mix_documents(docs).columns == docs.columns
+    assert [r.doc_id for r in token_counts.token_counts(docs).collect()] == [r[0] for r in rows]
+
+
+def test_rows_are_picked_alike_by_filter_and_by_join(spark, monkeypatch):
+    rows = _near_rows()
+    want = _components(rows, 5, 80)
+    monkeypatch.setattr(jaccard_join, "MOST_FILTERED", 10)
+    got = jaccard_join.near_groups(_docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
+def test_a_hot_passage_makes_no_pairs_of_unrelated_texts(spark, monkeypatch):
+    """A passage that all of many dissimilar texts share is late in the order, so its bucket stays out of prefixes."""
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) + " " + passage, "s") for i in range(2000)]
+    seen = []
+    monkeypatch.setattr(jaccard_join, "_open_pairs", lambda buckets, *rest: seen.append(buckets.count()) or _open_pairs(buckets, *rest))
+    got = jaccard_join.near_groups(_docs(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.doc_id == r.component_id} == set(range(2000)) and seen[0] < 2000
+
+
+_open_pairs = jaccard_join._open_pairs
+
+
 def test_near_dedup_keeps_unrelated_rows_of_one_id(spark):
     texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcde"]
     a, b, c, d, e = texts
