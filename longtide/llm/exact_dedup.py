@@ -57,9 +57,12 @@ def identities(docs: DataFrame, text: str = "text", id: str = "doc_id", block_by
             ),
             "blocks",
         )
-        # one order of all blocks, in which names ascend
+        # one order of all blocks, in which names ascend: by their first bytes, a hash and then all; what is sampled
+        # for the ranges is short, and many blocks of one beginning are dealt out by the hash
         distinct = base.select(F.explode(_blocks(F.col("text"), block_bytes)).alias("block")).distinct()
-        first = materialise(distinct.orderBy("block").select(route(F.col("block"), salt).alias("route"), F.monotonically_increasing_id().alias("name")), "names")
+        keys = [F.substring("block", 1, 16), F.xxhash64("block")]
+        sorted_blocks = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys, "block")
+        first = materialise(sorted_blocks.select(route(F.col("block"), salt).alias("route"), F.monotonically_increasing_id().alias("name")), "names")
         if first.groupBy("route").count().where("count > 1").isEmpty():
             break
         salt += 1
