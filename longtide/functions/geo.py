@@ -28,10 +28,14 @@ def hilbert_index(x: Column, y: Column, order: int = 16) -> Column:
 
 
 def hilbert_key(lon: Column, lat: Column, order: int = 16) -> Column:
-    """Hilbert distance of a point in degrees; points outside lie on the border."""
-    side = (1 << order) - 1
-    cell = lambda v, lo, span: F.greatest(F.lit(0).cast("long"), F.least(F.lit(side).cast("long"), ((v - lo) / span * side).cast("long")))
-    return F.when(lon.isNotNull() & lat.isNotNull(), hilbert_index(cell(lon, -180.0, 360.0), cell(lat, -90.0, 180.0), order))
+    """Hilbert distance of a point's cell on a grid of 2^order by 2^order over the globe; points outside lie on the border."""
+    last = (1 << order) - 1
+
+    def cell(degrees: Column, reach: float) -> Column:
+        share = (degrees + reach) / (2 * reach)
+        return F.least(F.greatest((share * last).cast("long"), F.lit(0)), F.lit(last)).cast("long")
+
+    return F.when(lon.isNotNull() & lat.isNotNull(), hilbert_index(cell(lon, 180.0), cell(lat, 90.0), order))
 
 
 @F.pandas_udf(BinaryType())

@@ -50,6 +50,10 @@ def bytes_per_row(size: Column, rows: Column) -> Column:
     return F.try_divide(size.cast("double"), rows)
 
 
+#: Fixed value: what a multihash of SHA-256 begins with, in hex: 12 (sha2-256), 20 (32 bytes).
+MULTIHASH_SHA256 = "1220"
+
+
 def multihash(content: Column) -> Column:
-    """SHA-256 as a multihash in hex: 12 (sha2-256), 20 (32 bytes), digest."""
-    return F.concat(F.lit("1220"), F.sha2(content, 256))
+    """The SHA-256 of a column of bytes as a multihash in hex."""
+    return F.concat(F.lit(MULTIHASH_SHA256), F.sha2(content, 256))

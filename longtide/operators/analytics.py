@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.labels import bytes_per_row
 from ..functions.times import month
 
 #: Dimensions up to this estimated size are broadcast by hint; larger ones are left to the optimiser.
@@ -41,11 +42,12 @@ def monthly_means(rows: DataFrame, stations: DataFrame, variables: DataFrame) ->
     return joined.groupBy("station_name", month(F.col("obs_time")).alias("month")).agg(F.round(F.avg("value"), 2).alias("mean"), F.count("*").alias("n"))
 
 
-def series(rows: DataFrame, stations: DataFrame, variables: DataFrame, network: str, native_id: str, name: str) -> DataFrame:
-    """obs_time, value of one station and variable by their natural keys, in order."""
-    st = stations.where((F.col("network_name") == network) & (F.col("native_id") == native_id)).select("station_id")
-    va = variables.where(F.col("name") == name).select("variable_id")
-    return rows.join(small(st), "station_id").join(small(va), "variable_id").select("obs_time", "value").orderBy("obs_time", "value")
+def series(rows: DataFrame, stations: DataFrame, variables: DataFrame, wanted: DataFrame) -> DataFrame:
+    """network_name, native_id, name, obs_time, value of the series wanted by natural key (network_name, native_id, name), in order."""
+    keys = wanted.select("network_name", "native_id", "name").distinct()
+    st = small(stations.join(small(keys), ["network_name", "native_id"]).select("network_name", "native_id", "name", "station_id"))
+    found = rows.join(st, "station_id").join(small(variables.select("variable_id", "name")), ["variable_id", "name"])
+    return found.select("network_name", "native_id", "name", "obs_time", "value").orderBy("network_name", "native_id", "name", "obs_time", "value")
 
 
 def station_means(rows: DataFrame, stations: DataFrame) -> DataFrame:
@@ -63,15 +65,20 @@ def variable_groups(variables: DataFrame) -> DataFrame:
 
 
 def freshness(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.max("obs_time").alias("latest_observation"), F.count_distinct("station_id").alias("stations_reporting"))
+    """The newest time in rows, and how many stations they are from."""
+    return rows.agg(F.max("obs_time").alias("newest"), F.count_distinct("station_id").alias("n_stations"))
 
 
 def inventory(manifest: DataFrame) -> DataFrame:
-    """period, files, rows, mib, bytes_per_row."""
-    return manifest.groupBy("period").agg(
-        F.count("*").alias("files"), F.sum("rows").alias("rows"), F.round(F.sum("file_bytes") / 1024.0 / 1024.0, 1).alias("mib"),
-        F.round(F.try_divide(F.sum("file_bytes").cast("double"), F.sum("rows")), 2).alias("bytes_per_row"),
-    )
+    """What the manifest says of each period: n_files, n_rows, size_mib, row_bytes."""
+    size = F.sum("file_bytes")
+    columns = {
+        "n_files": F.count("path"),
+        "n_rows": F.sum("rows"),
+        "size_mib": F.round(size / float(1 << 20), 1),
+        "row_bytes": F.round(bytes_per_row(size, F.sum("rows")), 2),
+    }
+    return manifest.groupBy("period").agg(*[c.alias(n) for n, c in columns.items()])
 
 
 def extent(points: DataFrame, default=(-180.0, -90.0, 180.0, 90.0)) -> DataFrame:
@@ -83,16 +90,20 @@ def extent(points: DataFrame, default=(-180.0, -90.0, 180.0, 90.0)) -> DataFrame
     )
 
 
-def point_grid(points: DataFrame, width: int = 480, height: int = 320, pad: int = 12) -> DataFrame:
-    """px, py, n of the points in a frame of their own extent, with longitude shortened by the middle latitude's cosine."""
-    known = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    box = known.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()  # four numbers
-    if box[0] is None:
-        return known.select(F.lit(0).alias("px"), F.lit(0).alias("py"), F.lit(0).cast("bigint").alias("n")).limit(0)
-    west, east, south, north = (F.lit(x) for x in box)
-    k = F.greatest(F.lit(0.1), F.cos(F.radians((south + north) / 2)))
-    wide, high = F.greatest((east - west) * k, F.lit(1e-6)), F.greatest(north - south, F.lit(1e-6))
-    scale = F.least((width - 2 * pad) / wide, (height - 2 * pad) / high)
-    px = ((width - wide * scale) / 2 + (F.col("lon") - west) * k * scale).cast("int")
-    py = (height - (height - high * scale) / 2 - (F.col("lat") - south) * scale).cast("int")
-    return known.groupBy(px.alias("px"), py.alias("py")).agg(F.count("*").alias("n"))
+def point_grid(points: DataFrame, cells: int = 100, least_squeeze: float = 0.1) -> DataFrame:
+    """col, row, n: how many points lie in each square cell of a grid over their own extent, rows counted from the north.
+
+    The longer side of the extent, with degrees of longitude squeezed to the
+    length they have at its middle latitude, has `cells` cells. Points without
+    coordinates are left out; points at one place are one cell.
+    """
+    at = points.select("lon", "lat").na.drop()
+    bounds = at.agg(F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"))
+    squeeze = F.greatest(F.cos(F.radians(F.col("south") + (F.col("north") - F.col("south")) / 2)), F.lit(least_squeeze))
+    side = F.greatest((F.col("east") - F.col("west")) * squeeze, F.col("north") - F.col("south"))
+    frame = bounds.select("west", "north", squeeze.alias("squeeze"), F.try_divide(side, F.lit(float(cells))).alias("cell"))
+    # one row, so a broadcast of a fixed size
+    placed = at.join(F.broadcast(frame))
+    bin_of = lambda distance: F.least(F.lit(cells - 1), F.coalesce(F.floor(F.try_divide(distance, F.col("cell"))), F.lit(0))).cast("int")
+    col, row = bin_of((F.col("lon") - F.col("west")) * F.col("squeeze")), bin_of(F.col("north") - F.col("lat"))
+    return placed.groupBy(col.alias("col"), row.alias("row")).agg(F.count("*").alias("n"))

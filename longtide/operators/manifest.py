@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.labels import path_period
+from ..functions.labels import bytes_per_row, path_period
 from ..schema import KEYS
 from ..sources.sinks import MIN_BYTES, ROW_GROUP_ROWS
 from .merge import duplicate_keys
@@ -39,7 +39,9 @@ def summarize(manifest: DataFrame) -> DataFrame:
 
 
 def by_period(manifest: DataFrame) -> DataFrame:
-    return manifest.groupBy("period").agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("file_bytes").alias("bytes"))
+    """period, files, rows, bytes, bytes_per_row of each period."""
+    out = manifest.groupBy("period").agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("file_bytes").alias("bytes"))
+    return out.withColumn("bytes_per_row", F.round(bytes_per_row(F.col("bytes"), F.col("rows")), 3))
 
 
 def last_data_year(manifest: DataFrame) -> DataFrame:

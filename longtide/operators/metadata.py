@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import size_or_zero, uri_id
 from ..functions.times import iso_naive
+from .analytics import small
 
 
 def networks(raw: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def station_rollup(raw: DataFrame, nets: DataFrame) -> DataFrame:
         F.count("h").cast("smallint").alias("history_count"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("h.variable_ids", F.array().cast("array<int>")))))).cast("array<smallint>").alias("variable_ids"),
     )
-    named = rolled.join(F.broadcast(nets.select("network_id", "network_name")), "network_id", "left")
+    named = rolled.join(small(nets.select("network_id", "network_name")), "network_id", "left")
     return named.select(F.col("id").alias("station_id"), "network_id", "network_name", "native_id", "recent.*", "min_obs_time", "max_obs_time", "history_count", "variable_ids")
 
 
@@ -46,7 +47,7 @@ def attach_histories(raw_histories: DataFrame, raw_stations: DataFrame, nets: Da
     """Flat histories with the station that nests them; those that no station has are left out, of several stations the last is taken."""
     owners = raw_stations.select(F.col("id").alias("station_id"), "native_id", uri_id(F.col("network_uri")).cast("smallint").alias("network_id"), F.explode("histories").alias("h"))
     owners = owners.groupBy(F.col("h.id").alias("id")).agg(F.max(F.struct("station_id", "native_id", "network_id")).alias("s")).select("id", "s.*")
-    own = raw_histories.join(owners, "id").join(F.broadcast(nets.select("network_id", "network_name")), "network_id", "left")
+    own = raw_histories.join(owners, "id").join(small(nets.select("network_id", "network_name")), "network_id", "left")
     return own.select(
         F.col("id").alias("history_id"), "station_id", "network_name", "native_id", "station_name", "lon", "lat", "elevation", "province", "country", "freq",
         F.col("tz_offset").cast("string").alias("tz_offset"), "sdate", "edate", iso_naive(F.col("min_obs_time")).alias("min_obs_time"), iso_naive(F.col("max_obs_time")).alias("max_obs_time"),

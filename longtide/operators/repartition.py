@@ -19,13 +19,13 @@ def spans(manifest: DataFrame) -> DataFrame:
 
 
 def plan_moves(manifest: DataFrame, layout: DataFrame) -> DataFrame:
-    """written, period, verdict, action ('keep', 'fold' of several files, 'move', 'refuse') of every written period."""
+    """written, lo, hi, period, verdict, files, action ('keep', 'fold' of several files, 'move', 'refuse') of every written period."""
     own = spans(manifest)
     judged = nesting(own.select("written", "lo", "hi"), layout).join(own.select("written", "files"), "written")
     action = (
         F.when(F.col("verdict") != "ok", "refuse").when(F.col("written") != F.col("period"), "move").when(F.col("files") > 1, "fold").otherwise("keep")
     )
-    return judged.withColumn("action", action)
+    return judged.select("written", "lo", "hi", "period", "verdict", "files", action.alias("action"))
 
 
 def repartitioned(rows: DataFrame, manifest: DataFrame, layout: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.labels import short_error
@@ -19,32 +18,39 @@ def merge_marks(states: DataFrame) -> DataFrame:
 
 
 def fold_attempts(state: DataFrame, attempts: DataFrame) -> DataFrame:
-    """state after attempts (station_id, at, status 'ok' or 'error', max_time, rows, error).
+    """state after attempts (station_id, at, status 'ok' or 'error', max_time, rows, error), in whatever order they come in.
 
-    A mark only moves forward; a success clears the failures, a failure adds one;
-    rows of successes add up in rows_fetched_total.
+    A mark only moves forward; rows of successes add up in rows_fetched_total. A
+    failure counts if it is later than every success, those in state too. A
+    success clears the failures in state if it is later than the last attempt in
+    it; one that comes in late does not, as it says nothing of the attempts
+    after it. last_error is that of the latest failure that counts.
     """
     ok = F.col("status") == "ok"
-    last_ok = F.max(F.when(ok, F.col("at"))).over(W.partitionBy("station_id"))
-    rows = attempts.withColumn("__last_ok", last_ok)
-    after = F.col("__last_ok").isNull() | (F.col("at") > F.col("__last_ok"))
-    new = rows.groupBy("station_id").agg(
+    successes = attempts.groupBy("station_id").agg(F.max(F.when(ok, F.col("at"))).alias("success_at"))
+    known = successes.join(state.select("station_id", "last_success_at"), "station_id", "left")
+    last_ok = known.select("station_id", F.greatest("success_at", "last_success_at").alias("last_ok"))
+    counts = ~ok & (F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok")))
+    new = attempts.join(last_ok, "station_id").groupBy("station_id").agg(
         F.max(F.when(ok, F.col("max_time"))).alias("new_mark"),
         F.max("at").alias("attempt_at"),
         F.max(F.when(ok, F.col("at"))).alias("success_at"),
         F.coalesce(F.sum(F.when(ok, F.col("rows"))), F.lit(0)).alias("new_rows"),
-        F.sum((~ok & after).cast("int")).alias("failures"),
-        F.max_by(short_error(F.col("error")), F.struct("at", "error")).alias("error"),
+        F.count_if(counts).alias("failures"),
+        F.max(F.when(counts, F.struct("at", short_error(F.col("error")).alias("error")))).alias("failure"),
     )
     both = state.join(new, "station_id", "full_outer")
+    cleared = F.coalesce(F.col("success_at") > F.col("last_attempt_at"), F.col("success_at").isNotNull() & F.col("last_attempt_at").isNull())
+    kept = F.when(cleared, F.lit(0)).otherwise(F.coalesce("consecutive_failures", F.lit(0)))
+    newest = F.coalesce(F.col("failure.at") > F.col("last_attempt_at"), F.col("failure").isNotNull()) | (F.col("failure").isNotNull() & (kept == 0))
     return both.select(
         "station_id",
         F.greatest("watermark", "new_mark").alias("watermark"),
         F.greatest("last_attempt_at", "attempt_at").alias("last_attempt_at"),
         F.greatest("last_success_at", "success_at").alias("last_success_at"),
         (F.coalesce("rows_fetched_total", F.lit(0)) + F.coalesce("new_rows", F.lit(0))).cast("bigint").alias("rows_fetched_total"),
-        F.when(F.col("success_at").isNotNull(), F.col("failures")).otherwise(F.coalesce("consecutive_failures", F.lit(0)) + F.coalesce("failures", F.lit(0))).cast("int").alias("consecutive_failures"),
-        F.when(F.col("attempt_at").isNull(), F.col("last_error")).when(F.col("failures") > 0, F.col("error")).alias("last_error"),
+        (kept + F.coalesce("failures", F.lit(0))).cast("int").alias("consecutive_failures"),
+        F.when(newest, F.col("failure.error")).when(kept > 0, F.col("last_error")).alias("last_error"),
     )
 
 

@@ -15,8 +15,7 @@ from ..operators import planning as pl
 from ..operators import repartition as rp
 from ..operators import state as st
 from ..operators import work as wk
-from ..sources import files, payloads, sinks, tables
-from ..streaming import fold
+from ..sources import payloads, sinks, tables
 from . import views as v
 from .views import sql
 
@@ -47,16 +46,16 @@ def _strings(df: DataFrame, *arrays: str) -> DataFrame:
 # analytics
 
 
-@query(sql("SELECT period, count(*) AS files, CAST(sum(rows) AS BIGINT) AS rows, round(sum(file_bytes) / 1024.0 / 1024, 1) AS mib, round(sum(file_bytes)::DOUBLE / sum(rows), 2) AS bytes_per_row FROM manifest GROUP BY period", "manifest"))
+@query(sql("SELECT period, n_files, n_rows, round(size / 1048576.0::DOUBLE, 1) AS size_mib, round(size / n_rows::DOUBLE, 2) AS row_bytes FROM (SELECT period, count(*) AS n_files, CAST(sum(rows) AS BIGINT) AS n_rows, sum(file_bytes)::DOUBLE AS size FROM manifest GROUP BY period)", "manifest"))
 def inventory_by_period(spark, d):
     return an.inventory(v.manifest(spark, d))
 
 
-@query(sql("SELECT o.obs_time, o.value FROM obs o JOIN stations s USING (station_id) JOIN variables v USING (variable_id) WHERE s.network_name = (SELECT network_name FROM stations WHERE native_id = 'N7') AND s.native_id = 'N7' AND v.name = 'v2' AND o.obs_time >= TIMESTAMP '1996-01-01' AND o.obs_time < TIMESTAMP '2000-01-01'", "obs", "stations", "variables"))
+@query(sql("SELECT s.network_name, s.native_id, v.name, o.obs_time, o.value FROM obs o JOIN stations s USING (station_id) JOIN variables v USING (variable_id) WHERE s.native_id = 'N7' AND v.name IN ('v2', 'v5') AND o.obs_time >= TIMESTAMP '1996-01-01' AND o.obs_time < TIMESTAMP '2000-01-01'", "obs", "stations", "variables"))
 def station_series(spark, d):
-    network = v.stations(spark, d).where("native_id = 'N7'").select("network_name").first()
     rows = an.between(v.observations(spark, d), "1996-01-01", "2000-01-01")
-    return an.series(rows, v.stations(spark, d), v.variables(spark, d), network.network_name if network else "", "N7", "v2")
+    wanted = v.stations(spark, d).where("native_id = 'N7'").withColumn("name", F.explode(F.array(F.lit("v2"), F.lit("v5"))))
+    return an.series(rows, v.stations(spark, d), v.variables(spark, d), wanted)
 
 
 @query(sql("SELECT station_id, variable_id, obs_time, value FROM obs ORDER BY obs_time, station_id, variable_id, value LIMIT 20", "obs"))
@@ -64,19 +63,6 @@ def first_readings(spark, d):
     return v.observations(spark, d).orderBy("obs_time", "station_id", "variable_id", "value").limit(20)
 
 
-@query(sql("""SELECT s.station_name, date_trunc('month', o.obs_time)::TIMESTAMP AS month, round(avg(o.value), 2) AS mean, count(*) AS n FROM obs o
-    JOIN (SELECT * FROM stations WHERE lon BETWEEN -135 AND -120 AND lat BETWEEN 49 AND 57) s USING (station_id)
-    JOIN (SELECT * FROM variables WHERE standard_name = 'air_temperature' AND cell_method = 'time: point') v USING (variable_id) GROUP BY 1, 2""", "obs", "stations", "variables"))
-def monthly_mean_box(spark, d):
-    near = an.in_box(v.stations(spark, d), -135, 49, -120, 57)
-    return an.monthly_means(v.observations(spark, d), near, an.of_kind(v.variables(spark, d), "air_temperature", "time: point"))
-
-
-@query(sql("SELECT max(obs_time) AS latest_observation, count(DISTINCT station_id) AS stations_reporting FROM placed WHERE period IN (SELECT period FROM layout WHERE end_year >= 2001 AND start_year <= 2001)", "placed"))
-def freshness(spark, d):
-    return an.freshness(an.in_periods(_placed(spark, d), lo.planned_periods(v.layout_file(spark, d), 2001, 2001)))
-
-
 @query(sql("SELECT station_id, mean, n, station_name, lon, lat FROM (SELECT station_id, avg(value) AS mean, count(*) AS n FROM obs WHERE obs_time >= TIMESTAMP '1997-01-01' AND obs_time < TIMESTAMP '1998-01-01' GROUP BY 1) JOIN stations USING (station_id)", "obs", "stations"))
 def station_means(spark, d):
     return an.station_means(an.between(v.observations(spark, d), "1997-01-01", "1998-01-01"), v.stations(spark, d))
@@ -92,16 +78,12 @@ def variable_groups(spark, d):
     return _strings(an.variable_groups(v.variables(spark, d)), "variable_ids")
 
 
-@query(sql("SELECT period, count(*) AS n, sum(value) AS total FROM placed WHERE period IN (SELECT period FROM layout WHERE end_year >= 1996 AND start_year <= 1998) GROUP BY period", "placed"))
-def period_semi_join(spark, d):
-    rows = an.in_periods(_placed(spark, d), lo.planned_periods(v.layout_file(spark, d), 1996, 1998))
-    return rows.groupBy("period").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-
-
-@query(sql("SELECT station_name, network_name, lon, lat FROM stations WHERE lon > -138.5 AND lon < -116 AND lat > 49 AND lat < 55.5", "stations"))
+@query(sql("SELECT station_id FROM stations WHERE lon > -138.5 AND lat > 49 AND lon < -116 AND lat < 55.5", "stations"))
 def bbox_struct_filter(spark, d):
-    boxed = v.stations(spark, d).withColumn("bbox", geo.bbox(F.col("lon"), F.col("lat")))
-    return boxed.where(geo.bbox_inside("bbox", -138.5, 49, -116, 55.5)).select("station_name", "network_name", "lon", "lat")
+    """On the written covering column, so that the scan can skip row groups."""
+    path = v.scratch(spark, "spatial")
+    sinks.write_spatial(v.stations(spark, d), path)
+    return spark.read.parquet(path).where(geo.bbox_inside("bbox", -138.5, 49, -116, 55.5)).select("station_id")
 
 
 @query(sql("SELECT min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north, min(min_obs_time) AS first_time, max(max_obs_time) AS last_time, count(*) AS rows FROM spans", "spans"))
@@ -109,9 +91,9 @@ def extent(spark, d):
     return an.extent(v.spans(spark, d))
 
 
-@query(sql("""SELECT CAST(trunc(((480 - wide * scale) / 2) + (lon - west) * k * scale) AS INTEGER) AS px, CAST(trunc(320 - (320 - high * scale) / 2 - (lat - south) * scale) AS INTEGER) AS py, count(*) AS n
-    FROM stations, (SELECT *, least(456 / wide, 296 / high) AS scale FROM (SELECT west, south, k, greatest((east - west) * k, 1e-6) AS wide, greatest(north - south, 1e-6) AS high
-      FROM (SELECT *, greatest(0.1::DOUBLE, cos(radians((south + north) / 2))) AS k FROM (SELECT min(lon) AS west, max(lon) AS east, min(lat) AS south, max(lat) AS north FROM stations)))) GROUP BY 1, 2""", "stations"))
+@query(sql("""SELECT CAST(least(99, floor((lon - west) * squeeze / cell)) AS INTEGER) AS col, CAST(least(99, floor((north - lat) / cell)) AS INTEGER) AS row, count(*) AS n
+    FROM stations, (SELECT *, greatest((east - west) * squeeze, north - south) / 100.0::DOUBLE AS cell FROM (SELECT *, greatest(0.1::DOUBLE, cos(radians(south + (north - south) / 2))) AS squeeze
+      FROM (SELECT min(lon) AS west, max(lon) AS east, min(lat) AS south, max(lat) AS north FROM stations))) GROUP BY 1, 2""", "stations"))
 def point_grid(spark, d):
     return an.point_grid(v.stations(spark, d))
 
@@ -219,7 +201,10 @@ def _documents(spark, d):
     raw = h.groupBy("user_id").agg(F.sort_array(F.collect_list(nested)).alias("histories")).select(
         F.col("user_id").cast("int").alias("id"), F.concat(F.lit("n"), F.col("user_id").cast("string")).alias("native_id"), F.concat(F.lit("http://x/networks/"), (F.col("user_id") % 25).cast("string")).alias("network_uri"), "histories"
     )
-    return raw, h.drop("user_id")
+    path = v.scratch(spark, "documents")
+    raw.write.json(f"{path}/stations")
+    h.drop("user_id").write.json(f"{path}/histories")
+    return payloads.read_document(spark, f"{path}/stations", "stations", lines=True), payloads.read_document(spark, f"{path}/histories", "histories", lines=True)
 
 
 _HIST_SQL = """WITH h AS (SELECT user_id, event_type, length(event_type) AS kind, date_trunc('second', min(ts))::TIMESTAMP AS lo, date_trunc('second', max(ts))::TIMESTAMP AS hi,
@@ -237,10 +222,10 @@ def station_rollup(spark, d):
     return _strings(out, "variable_ids").drop("lon", "lat", "elevation", "province", "freq")
 
 
-@query(_HIST_SQL + "SELECT id AS history_id, CAST(max(user_id) AS INTEGER) AS station_id, lo AS min_obs_time, hi AS max_obs_time, event_type || '-' || user_id AS station_name FROM h GROUP BY id, lo, hi, event_type, user_id")
+@query(_HIST_SQL + "SELECT id AS history_id, CAST(max(user_id) AS INTEGER) AS station_id, lo AS min_obs_time, hi AS max_obs_time, event_type || '-' || user_id AS station_name, '-8' AS tz_offset, n_name AS network_name FROM h LEFT JOIN nation ON n_nationkey = user_id % 25 GROUP BY id, lo, hi, event_type, user_id, n_name")
 def history_attach(spark, d):
     raw, flat = _documents(spark, d)
-    return md.attach_histories(flat, raw, v.networks(spark, d)).select("history_id", "station_id", "min_obs_time", "max_obs_time", "station_name")
+    return md.attach_histories(flat, raw, v.networks(spark, d)).select("history_id", "station_id", "min_obs_time", "max_obs_time", "station_name", "tz_offset", "network_name")
 
 
 # layout and planning
@@ -471,67 +456,12 @@ def compact_stats(spark, d):
     return mg.compact_stats(_placed(spark, d), after, deltas)
 
 
-@query()
-def full_plan(spark, d):
-    measured = pl.measured_year_rows(v.observations(spark, d)).where("year < 1999")
-    return pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1 << 20, 1.06)
-
-
-@query()
-def spatial_points(spark, d):
-    return sinks.spatial(v.stations(spark, d)).select("station_id", F.hex("geometry").alias("wkb"), "bbox.xmin", "bbox.ymin", "bbox.xmax", "bbox.ymax")
-
-
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 3 AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'")
 def shard_and_range(spark, d):
     rows = an.between(v.table(spark, d, "lineitem"), "1996-01-01", "1997-01-01", "l_shipdate")
     return rows.where(wk.in_shard(3, 4, "l_orderkey")).select("l_orderkey", "l_linenumber")
 
 
-def _archive(spark, d) -> str:
-    """The observations written as an archive, one key once."""
-    root = v.scratch(spark, "archive")
-    rows = lo.with_period(mg.merged(v.observations(spark, d), None), v.layout(spark, d))
-    sinks.write_observations(rows, f"{root}/observations", target=1 << 16, floor=1 << 15, ceiling=1 << 20)
-    sinks.write_layout(v.layout(spark, d), f"{root}/layout.json")
-    return root
-
-
-_KEYS = "keyed AS (SELECT period, station_id, variable_id, obs_time, max(value) AS value FROM placed GROUP BY 1, 2, 3, 4)"
-
-
-def _keyed(body: str) -> str:
-    return sql("@", "placed").replace(" @", f", {_KEYS} {body}")
-
-
-@query(_keyed("SELECT period, count(*) AS rows, min(station_id) AS station_id_min, max(station_id) AS station_id_max, min(obs_time) AS obs_time_min, max(obs_time) AS obs_time_max FROM keyed GROUP BY period"))
-def manifest_build(spark, d):
-    manifest = mf.build_manifest(files.footers(spark, _archive(spark, d) + "/observations"), NOW)
-    return manifest.groupBy("period").agg(F.sum("rows").alias("rows"), F.min("station_id_min").alias("station_id_min"), F.max("station_id_max").alias("station_id_max"), F.min("obs_time_min").alias("obs_time_min"), F.max("obs_time_max").alias("obs_time_max"))
-
-
-@query(_keyed("SELECT station_id, variable_id, obs_time, value, period FROM keyed WHERE year(obs_time) BETWEEN 1997 AND 1998"))
-def read_range(spark, d):
-    return tables.read_range(spark, _archive(spark, d), 1997, 1998)
-
-
-@query()
-def footer_statistics(spark, d):
-    return files.footers(spark, _archive(spark, d) + "/observations").select("row_group", "rows", "column", "type", "min_int", "max_int", "min_time", "max_time")
-
-
-@query()
-def file_checksums(spark, d):
-    return files.checksums(spark, _archive(spark, d) + "/observations", "*.parquet").select("file_bytes", "multihash")
-
-
-@query(_keyed("SELECT CAST('none' AS VARCHAR) AS check, CAST('none' AS VARCHAR) AS subject, CAST('none' AS VARCHAR) AS detail FROM keyed WHERE false"))
-def verify_archive(spark, d):
-    root = _archive(spark, d)
-    footers = files.footers(spark, root + "/observations")
-    return mf.verify(footers, mf.build_manifest(footers, NOW), tables.observations(spark, root), floor=1)
-
-
 @query(sql("SELECT variable_id, obs_time, station_id, value, CAST(year(obs_time) AS VARCHAR) AS period FROM (SELECT *, row_number() OVER (PARTITION BY station_id, variable_id, obs_time ORDER BY value DESC) AS r FROM obs) WHERE r = 1", "obs"))
 def repartition_yearly(spark, d):
     own = v.observations(spark, d).withColumn("period", F.year("obs_time").cast("string"))
@@ -543,24 +473,3 @@ def repartition_yearly(spark, d):
 def repartition_plan(spark, d):
     manifest = v.manifest(spark, d).groupBy("period").agg(F.min("obs_time_min").alias("obs_time_min"), F.max("obs_time_max").alias("obs_time_max"))
     return rp.plan_moves(manifest, lo.yearly_layout(spark, 1990, 2005)).select("written", "lo", "hi", "action")
-
-
-# streaming
-
-
-@query(sql("SELECT station_id, variable_id, obs_time, value, ingested_at FROM (SELECT *, row_number() OVER (PARTITION BY station_id, variable_id, obs_time ORDER BY ingested_at DESC, value DESC) AS r FROM deltas) WHERE r = 1", "deltas"))
-def stream_lww(spark, d):
-    root = v.scratch(spark, "stream-lww")
-    v.deltas(spark, d).repartition(8).write.parquet(f"{root}/deltas")
-    newest = fold.merge_stream(spark, f"{root}/deltas", f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(newest)
-
-
-@query(sql("SELECT station_id, watermark, rows_fetched_total, consecutive_failures FROM folded", "attempts").replace(" SELECT station_id, watermark, rows", f", {_FOLD} SELECT station_id, watermark, rows", 1))
-def stream_state(spark, d):
-    root = v.scratch(spark, "stream-state")
-    rows = v.attempts(spark, d).select("station_id", F.col("at").cast("timestamp").alias("at"), "status", F.col("max_time").cast("timestamp").alias("max_time"), "rows")
-    # in the order in which attempts are made, file after file
-    rows.repartitionByRange(8, "at").write.parquet(f"{root}/attempts")
-    out = fold.run_state_stream(spark, f"{root}/attempts", "station_id long, at timestamp, status string, max_time timestamp, rows long", f"{root}/out", f"{root}/checkpoint")
-    return out.withColumn("watermark", F.col("watermark").cast("timestamp_ntz"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.layout import plan_periods
+from ..operators.analytics import small
 from ..operators.planning import measured_year_rows
+from ..sources.scratch import scratch
 
 ROW_BYTES = 40.0
 FLOOR_SHARE = 0.3
@@ -18,15 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one that spark.checkpoint.dir names."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
+def by(*keys):
+    from pyspark.sql import Window as W
 
-        root = "file://" + tempfile.mkdtemp(prefix="longtide-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/archive/{name}-{uuid.uuid4().hex}"
+    return W.partitionBy(*keys)
 
 
 def observations(spark, sf_dir):
@@ -44,7 +39,7 @@ def stations(spark, sf_dir):
         F.col("s_suppkey").cast("int").alias("station_id"), F.col("s_nationkey").cast("smallint").alias("network_id"), F.col("s_name").alias("station_name"),
         F.concat(F.lit("N"), F.col("s_suppkey").cast("string")).alias("native_id"), (F.lit(-140) + (F.col("s_suppkey") * 37 % 2600) / F.lit(100.0)).alias("lon"), (F.lit(48) + (F.col("s_suppkey") * 53 % 1200) / F.lit(100.0)).alias("lat"),
     )
-    return s.join(F.broadcast(networks(spark, sf_dir)), "network_id")
+    return s.join(small(networks(spark, sf_dir)), "network_id")
 
 
 def variables(spark, sf_dir):

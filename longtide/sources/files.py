@@ -1,36 +1,74 @@
-"""Files as rows: listings, Parquet footers, checksums."""
+"""Files as rows: listings, Parquet footers, checksums. Contents stay where they are; paths travel."""
 
 from __future__ import annotations
 
-import io
+import hashlib
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import multihash, path_period
+from ..functions.labels import MULTIHASH_SHA256, path_period
 
 FOOTERS = (
     "path string, file_bytes bigint, row_group int, rows bigint, column string, type string, encodings string, "
     "min_int bigint, max_int bigint, min_time timestamp_ntz, max_time timestamp_ntz"
 )
+CHUNK_BYTES = 4 << 20
+
+
+@contextmanager
+def opened(path: str):
+    """A seekable file of a local path, or of any store that pyarrow knows."""
+    if path.startswith("file:") or "://" not in path:
+        with pa.OSFile("/" + path.removeprefix("file:").lstrip("/")) as f:
+            yield f
+        return
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("abfss://", "abfs://", 1))
+    with store.open_input_file(inner) as f:
+        yield f
+
+
+def _listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """path, length of the files below root, dealt out by name: the reader of a whole file is not asked for its content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return files.select("path", "length")
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """path, file_bytes, period of every file below root; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select("path", F.col("length").alias("file_bytes"), path_period(F.col("path")).alias("period"))
+    return _listed(spark, root, pattern).select("path", F.col("length").alias("file_bytes"), path_period(F.col("path")).alias("period"))
+
+
+def sha256_of(file) -> str:
+    """The digest of an open file, a bounded chunk at a time."""
+    digest = hashlib.sha256()
+    while chunk := file.read(CHUNK_BYTES):
+        digest.update(chunk)
+    return digest.hexdigest()
 
 
 def checksums(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """path, file_bytes, multihash of every file below root."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select("path", F.col("length").alias("file_bytes"), multihash(F.col("content")).alias("multihash"))
+    """path, file_bytes, multihash of every file below root; a file is read in chunks, so its size does not matter."""
 
+    def read(batches):
+        for batch in batches:
+            hashes = []
+            for path in batch.column("path").to_pylist():
+                with opened(path) as f:
+                    hashes.append(MULTIHASH_SHA256 + sha256_of(f))
+            yield pa.record_batch([batch.column("path"), batch.column("length"), pa.array(hashes, pa.string())], ["path", "file_bytes", "multihash"])
 
-def _rows(path: str, size: int, meta) -> list[tuple]:
-    out = []
+    return _listed(spark, root, pattern).mapInArrow(read, "path string, file_bytes bigint, multihash string")
+
+
+def footer_rows(path: str, size: int, file) -> list[tuple]:
+    """A row for each row group and column of an open Parquet file; only its tail is read."""
+    meta, out = pq.read_metadata(file), []
     for g in range(meta.num_row_groups):
         group = meta.row_group(g)
         for c in range(group.num_columns):
@@ -44,20 +82,16 @@ def _rows(path: str, size: int, meta) -> list[tuple]:
 
 
 def footers(spark: SparkSession, root: str) -> DataFrame:
-    """A row for each file, row group and column below root, read from the footers on the executors.
-
-    The contents come through Spark's reader, so any store that Spark reads will
-    do. Files are bounded by the writer (B2), one at a time is in memory.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    """A row for each file, row group and column below root, from the files' tails, read on the executors."""
     kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.timestamp("us"), pa.timestamp("us"))
     names = [x.split()[0] for x in FOOTERS.split(", ")]
 
     def read(batches):
         for batch in batches:
-            for path, size, content in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), batch.column("content"), strict=True):
-                rows = _rows(path, size, pq.read_metadata(io.BytesIO(content.as_buffer())))
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                with opened(path) as f:
+                    rows = footer_rows(path, size, f)
                 if rows:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return files.select("path", "length", "content").mapInArrow(read, FOOTERS)
+    return _listed(spark, root, "*.parquet").mapInArrow(read, FOOTERS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import NULL_TOKENS
 from ..functions.times import strict_time
+from ..operators.analytics import small
 
 #: Fixed value: the first line of a payload.
 SEQUENCE = "station_observations"
@@ -61,7 +62,7 @@ def long_cells(triaged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def unmapped_columns(cells: DataFrame, variables: DataFrame, networks: DataFrame) -> DataFrame:
     """network_name, name of columns that no variable of the network has, also where all their cells are missing."""
-    known = variables.join(F.broadcast(networks.select("network_id", "network_name")), "network_id").select("network_name", "name").distinct()
+    known = variables.join(small(networks.select("network_id", "network_name")), "network_id").select("network_name", "name").distinct()
     return cells.select("network_name", "name").distinct().join(known, ["network_name", "name"], "left_anti")
 
 
@@ -70,9 +71,9 @@ def observations_of(cells: DataFrame, stations: DataFrame, variables: DataFrame,
 
     Of variables that share (network, name) the largest id is taken.
     """
-    lookup = variables.join(F.broadcast(networks.select("network_id", "network_name")), "network_id").groupBy("network_name", "name").agg(F.max("variable_id").alias("variable_id"))
-    own = cells.where(F.col("value").isNotNull()).join(stations.select("network_name", "native_id", "station_id"), ["network_name", "native_id"])
-    return own.join(lookup, ["network_name", "name"]).select("station_id", "variable_id", "obs_time", "value")
+    lookup = variables.join(small(networks.select("network_id", "network_name")), "network_id").groupBy("network_name", "name").agg(F.max("variable_id").alias("variable_id"))
+    own = cells.where(F.col("value").isNotNull()).join(small(stations.select("network_name", "native_id", "station_id")), ["network_name", "native_id"])
+    return own.join(small(lookup), ["network_name", "name"]).select("station_id", "variable_id", "obs_time", "value")
 
 
 def unpivot(wide: DataFrame, ids: list[str], values: list[str]) -> DataFrame:
@@ -94,6 +95,6 @@ DOCUMENTS = {
 }
 
 
-def read_document(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One of the landed JSON arrays, with its schema declared."""
-    return spark.read.schema(DOCUMENTS[name]).option("multiLine", True).json(path)
+def read_document(spark: SparkSession, path: str, name: str, lines: bool = False) -> DataFrame:
+    """One of the landed JSON arrays, with its schema declared; lines: one object a line, which is read in parallel."""
+    return spark.read.schema(DOCUMENTS[name]).option("multiLine", not lines).json(path)

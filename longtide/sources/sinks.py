@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import bbox, hilbert_key, wkb_point
-from ..schema import KEYS
+from ..schema import KEYS, MANIFEST, struct
 
 ROW_GROUP_ROWS = 150_000
 TARGET_BYTES, MIN_BYTES, MAX_BYTES = 256 << 20, 128 << 20, 1 << 30
-#: Small row groups on sorted ids, dictionary ids, delta-coded times.
+#: Small row groups on sorted ids, delta-coded times and stations (sorted, so runs of zero), a Bloom filter of stations,
+#: which Parquet only writes for a column without a dictionary.
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.compression.codec.zstd.level": "9",
     "parquet.writer.version": "v2",
     "parquet.enable.dictionary#obs_time": "false",
+    "parquet.enable.dictionary#station_id": "false",
+    "parquet.bloom.filter.enabled#station_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
     "parquet.block.row.count.limit": str(ROW_GROUP_ROWS),
     "parquet.page.size": str(1 << 20),
 }
@@ -29,33 +33,57 @@ def files_per_period(period_rows: DataFrame, bytes_per_row: float, target: int =
     return period_rows.select("period", F.greatest(F.lit(1), F.floor(F.col("rows") * float(bytes_per_row) / target)).cast("int").alias("files"))
 
 
-#: Quantiles of station_id that file bounds are taken from; no period is cut into more files.
+#: Quantiles of time at which a series that lies across file bounds can be cut.
 QUANTILES = 1000
+_FIRST_TIME = "0001-01-01 00:00:00"
 
 
 def file_plan(rows: DataFrame, bytes_per_row: float, target: int = TARGET_BYTES, floor: int = MIN_BYTES, ceiling: int = MAX_BYTES) -> DataFrame:
-    """period, files, cuts, first_file: a row a period. cuts are the station ids at which a new file begins."""
+    """period, files, cuts, first_file: a row a period. cuts are the keys (station, variable, time) at which a new file begins.
+
+    A period's files have equal numbers of rows in key order. Rows are counted by
+    series, so a bound lies at the start of a series or at a quantile of the
+    times of the one across it: a station or series of any size spans files.
+    """
+    series = rows.groupBy("period", "station_id", "variable_id").agg(F.count("*").alias("n"))
+    counted = files_per_period(series.groupBy("period").agg(F.sum("n").alias("rows")), bytes_per_row, target, floor, ceiling)
+    before = W.partitionBy("period").orderBy("station_id", "variable_id").rowsBetween(W.unboundedPreceding, -1)
+    placed = series.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(W.partitionBy("period"))).join(F.broadcast(counted), "period")
+    share = F.col("total") / F.col("files")
+    first, last = F.greatest(F.lit(1), F.ceil(F.col("before") / share).cast("int")), F.least(F.col("files") - 1, (F.ceil((F.col("before") + F.col("n")) / share) - 1).cast("int"))
+    cut = placed.withColumn("lo", first).withColumn("hi", last).where("lo <= hi").withColumn("share", share)  # no more than there are files
+    inside = cut.where("lo * share > before or lo < hi").select("period", "station_id", "variable_id")
     shares = [k / QUANTILES for k in range(1, QUANTILES)]
-    periods = rows.groupBy("period").agg(F.count("*").alias("rows"), F.percentile_approx("station_id", shares, 10 * QUANTILES).alias("q"))
-    counted = files_per_period(periods, bytes_per_row, target, floor, ceiling).join(periods, "period")
-    files = F.least(F.col("files"), F.lit(QUANTILES))
-    cut = F.transform(F.sequence(F.lit(1), files), lambda i: F.get("q", F.round(i * QUANTILES / files).cast("int") - 1))
-    cuts = F.array_distinct(F.slice(cut, F.lit(1), files - 1))
-    before = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
-    return counted.select("period", files.alias("files"), cuts.alias("cuts")).withColumn("first_file", F.coalesce(F.sum("files").over(before), F.lit(0)).cast("int"))
+    times = rows.join(F.broadcast(inside), ["period", "station_id", "variable_id"]).groupBy("period", "station_id", "variable_id").agg(F.percentile_approx(F.unix_micros(F.col("obs_time").cast("timestamp")), shares, 10 * QUANTILES).alias("q"))
+    bounds = cut.join(times, ["period", "station_id", "variable_id"], "left").withColumn("file", F.explode(F.sequence("lo", "hi")))
+    at = F.floor((F.col("file") * F.col("share") - F.col("before")) / F.col("n") * QUANTILES).cast("int")
+    time = F.when(at > 0, F.timestamp_micros(F.get("q", at - 1)).cast("timestamp_ntz")).otherwise(F.lit(_FIRST_TIME).cast("timestamp_ntz"))
+    cuts = bounds.groupBy("period").agg(F.array_sort(F.collect_list(F.struct("station_id", "variable_id", time.alias("obs_time")))).alias("cuts"))
+    earlier = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
+    return counted.join(cuts, "period", "left").withColumn("first_file", F.coalesce(F.sum("files").over(earlier), F.lit(0)).cast("int"))
+
+
+def _cuts_up_to(cuts: Column, key: Column) -> Column:
+    """How many of the sorted cuts are not above key: whole strides first, then inside one, so of n cuts about 2 sqrt(n) are looked at."""
+    stride = F.greatest(F.lit(1), F.floor(F.sqrt(F.size(cuts))).cast("int"))
+    strides = F.size(F.filter(F.sequence(stride, F.size(cuts), stride), lambda i: F.get(cuts, i - 1) <= key))
+    return F.when(F.size(cuts) < 1, F.lit(0)).otherwise(strides * stride + F.size(F.filter(F.slice(cuts, strides * stride + 1, stride), lambda c: c <= key)))
 
 
 def write_observations(rows: DataFrame, path: str, bytes_per_row: float = 1.4, target: int = TARGET_BYTES, floor: int = MIN_BYTES, ceiling: int = MAX_BYTES, mode: str = "error") -> None:
     """Sorted files of bounded size by period.
 
-    A period of n files' size is cut at the n-quantiles of station_id, so its files
-    are consecutive and of about equal size; a station lies in one file. Each
-    file is one partition, dealt out by its number.
+    A period of n files' size is cut into n runs of its key order of equal numbers
+    of rows; each is one partition, dealt out by its number, and one file. rows
+    is read once for the plan and once to be written, so it should be a table.
     """
-    plan = file_plan(rows, bytes_per_row, target, floor, ceiling).collect()  # a row a period: some hundreds
+    plan = file_plan(rows, bytes_per_row, target, floor, ceiling).collect()  # a row a period, a key a file
     total = max(1, sum(r.files for r in plan))
-    known = rows.sparkSession.createDataFrame([(r.period, r.cuts, r.first_file) for r in plan], "period string, __cuts array<int>, __first int")
-    numbered = rows.join(F.broadcast(known), "period").withColumn("__file", F.col("__first") + F.size(F.filter("__cuts", lambda c: c <= F.col("station_id"))))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    cut_type = f"array<struct<{', '.join(f'{k}: {kinds[k]}' for k in KEYS)}>>"
+    known = rows.sparkSession.createDataFrame([(r.period, r.cuts or [], r.first_file) for r in plan], f"period string, __cuts {cut_type}, __first int")
+    key = F.struct(*KEYS)
+    numbered = rows.join(F.broadcast(known), "period").withColumn("__file", F.col("__first") + _cuts_up_to(F.col("__cuts"), key))
     dealt = numbered.repartitionById(total, "__file").select(*rows.columns)
     writer = dealt.sortWithinPartitions("period", *KEYS).write.options(**WRITE_OPTIONS).partitionBy("period")
     if mode == "replace_periods":
@@ -65,6 +93,17 @@ def write_observations(rows: DataFrame, path: str, bytes_per_row: float = 1.4, t
         writer.mode(mode).parquet(path)
 
 
+def write_manifest(manifest: DataFrame, root: str) -> None:
+    """The manifest by path and its summaries, whole and by period, below root; a row a file, so each is one sorted file."""
+    from ..operators.manifest import by_period, summarize
+
+    spark = manifest.sparkSession
+    manifest.orderBy("path").coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest")
+    written = spark.read.schema(struct(MANIFEST)).parquet(f"{root}/_manifest")
+    summarize(written).coalesce(1).write.mode("overwrite").parquet(f"{root}/_summary")
+    by_period(written).orderBy("period").coalesce(1).write.mode("overwrite").parquet(f"{root}/_summary_by_period")
+
+
 def write_delta(rows: DataFrame, path: str, run_id: str, ingested_at) -> None:
     """Rows stamped with one time, sorted, below run_id=."""
     stamped = rows.withColumn("ingested_at", F.date_trunc("second", F.lit(ingested_at).cast("timestamp_ntz")).cast("timestamp_ntz")).withColumn("run_id", F.lit(run_id))
@@ -110,5 +149,5 @@ def write_layout(layout: DataFrame, path: str) -> None:
 
 
 def write_state(state: DataFrame, path: str, writer: str) -> None:
-    """One folder a writer, so that writers do not meet."""
-    state.coalesce(1).write.mode("overwrite").parquet(f"{path}/writer={writer}")
+    """By station, one folder a writer, so that writers do not meet."""
+    state.orderBy("station_id").coalesce(1).write.mode("overwrite").parquet(f"{path}/writer={writer}")

@@ -21,9 +21,22 @@ def observations(spark: SparkSession, root: str, value: str = "double") -> DataF
     return spark.read.schema(schema.observations(value)).parquet(f"{root}/observations")
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def delete(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def base_and_deltas(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Both by column name; columns that a file lacks are null."""
     base = observations(spark, root)
+    if not exists(spark, f"{root}/deltas"):
+        return base, spark.createDataFrame([], schema.struct(schema.DELTA))
     deltas = spark.read.schema(schema.struct(schema.DELTA)).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/deltas")
     return base, deltas
 
@@ -69,3 +82,14 @@ def files_meeting(files: DataFrame, station_lo: int, station_hi: int, time_lo, t
     """Rows of a manifest whose file may hold stations lo..hi at times in [lo, hi)."""
     lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (time_lo, time_hi))
     return files.where((F.col("station_id_min") <= station_hi) & (F.col("station_id_max") >= station_lo) & (F.col("obs_time_min") < hi) & (F.col("obs_time_max") >= lo))
+
+
+def read_files_meeting(spark: SparkSession, root: str, station_lo: int, station_hi: int, time_lo, time_hi) -> DataFrame:
+    """Observations of stations lo..hi at times in [lo, hi) from the files that the manifest names for them."""
+    found = files_meeting(manifest(spark, root), station_lo, station_hi, time_lo, time_hi)
+    paths = [r.path for r in found.select("path").collect()]  # the names of the files that are read
+    if not paths:
+        return spark.createDataFrame([], schema.observations())
+    rows = spark.read.schema(schema.observations()).option("basePath", f"{root}/observations").parquet(*paths)
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (time_lo, time_hi))
+    return rows.where(F.col("station_id").between(station_lo, station_hi) & (F.col("obs_time") >= lo) & (F.col("obs_time") < hi))

@@ -1,74 +1,96 @@
-"""The two stateful operators on Structured Streaming: merging deltas, and state by station."""
+"""The two stateful operators on Structured Streaming: merging deltas, and state by station.
+
+Both keep their table below `out` in generations, one a micro-batch, each
+written whole or not at all. A batch that runs again reads what was there before
+it and writes the same generation.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..operators.layout import with_period
 from ..operators.merge import latest
+from ..operators.state import fold_attempts
+
+STATE = "station_id long, watermark timestamp_ntz, last_attempt_at timestamp_ntz, last_success_at timestamp_ntz, rows_fetched_total bigint, consecutive_failures int, last_error string"
+ATTEMPTS = "station_id long, at timestamp_ntz, status string, max_time timestamp_ntz, rows long, error string"
+
+
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [str(f.getPath().toString()) for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def _generations(spark: SparkSession, out: str) -> list[int]:
+    """The generations that are written whole."""
+    return sorted(int(re.search(r"generation=(\d+)/_SUCCESS$", f)[1]) for f in _matching(spark, f"{out}/generation=*/_SUCCESS"))
+
+
+def _newest_folders(spark: SparkSession, out: str, before: int | None = None) -> dict[str, str]:
+    """period -> the folder of its newest generation, of those before a batch."""
+    whole = {g for g in _generations(spark, out) if before is None or g < before}
+    newest: dict[str, tuple[int, str]] = {}
+    for folder in _matching(spark, f"{out}/generation=*/period=*"):
+        found = re.search(r"generation=(\d+)/period=([^/]+)$", folder)
+        if int(found[1]) in whole:
+            newest[found[2]] = max(newest.get(found[2], (-1, "")), (int(found[1]), folder))
+    return {period: folder for period, (_, folder) in newest.items()}
+
+
+def _read(spark: SparkSession, out: str, folders: list[str]) -> DataFrame:
+    ddl = schema.struct(schema.DELTA + ", generation int, period string")
+    rows = spark.read.schema(ddl).option("basePath", out).parquet(*folders) if folders else spark.createDataFrame([], ddl)
+    return rows.drop("generation")
+
 
+def merged_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The table that merge_stream keeps: of every period its newest generation."""
+    return _read(spark, out, list(_newest_folders(spark, out).values()))
 
-def merge_stream(spark: SparkSession, deltas: str, out: str, checkpoint: str) -> str:
-    """Fold all delta files that have landed below `deltas` into the table below `out`; the path of its newest generation.
 
-    Each batch reads the generation before it and writes the next one, named by
-    its batch id, so a batch that runs again writes the same. Rows keep their
-    stamp, hence late or repeated deltas can't undo newer ones.
+def merge_stream(spark: SparkSession, deltas: str, out: str, checkpoint: str, layout: DataFrame | None = None, files_a_batch: int = 4) -> DataFrame:
+    """Fold all delta files that have landed below `deltas` into the table below `out`; the table as it is then.
+
+    A batch reads and writes the periods that it touches and no others. Without
+    a layout every year is a period. Rows keep their stamp, hence late or
+    repeated deltas can't undo newer ones, however late they are.
     """
-    ddl = schema.struct(schema.DELTA)
 
     def fold(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if number:
-            rows = rows.unionByName(batch.sparkSession.read.schema(ddl).parquet(f"{out}/generation={number - 1:09d}"))
-        latest(rows).write.mode("overwrite").parquet(f"{out}/generation={number:09d}")
-
-    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 4).parquet(deltas)
-    query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
-    return f"{out}/generation={max(batches):09d}"
-
-
-STATE = "station_id long, watermark timestamp, rows_fetched_total long, consecutive_failures int"
-
-
-def _advance(key: tuple, attempts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    mark, rows, failures = state.get if state.exists else (None, 0, 0)
-    frame = pd.concat(list(attempts)).sort_values(["at", "status"])
-    ok = frame[frame.status == "ok"]
-    if len(ok):
-        newest = ok.max_time.max()
-        if pd.notna(newest):
-            newest = newest.to_pydatetime()
-            mark = newest if mark is None or newest > mark else mark
-        rows += int(ok["rows"].sum())
-        failures = int((frame["at"] > ok["at"].max()).sum())
-    else:
-        failures += len(frame)
-    state.update((mark, rows, failures))
-    yield pd.DataFrame({"station_id": [key[0]], "watermark": [pd.Timestamp(mark) if mark is not None else pd.NaT], "rows_fetched_total": [rows], "consecutive_failures": [failures]})
-
-
-def station_state_stream(attempts: DataFrame) -> DataFrame:
-    """State after each batch of attempts (station_id, at, status, max_time, rows), for the stations it has."""
-    return attempts.groupBy("station_id").applyInPandasWithState(
-        _advance, STATE, "watermark timestamp, rows_fetched_total long, consecutive_failures int", "update", "NoTimeout"
-    )
-
-
-def run_state_stream(spark: SparkSession, attempts: str, ddl: str, out: str, checkpoint: str) -> DataFrame:
-    """The newest state of every station after all attempt files below `attempts`."""
-    stream = station_state_stream(spark.readStream.schema(ddl).option("maxFilesPerTrigger", 4).parquet(attempts))
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    every = spark.read.schema(f"{STATE}, batch int").parquet(out)
-    rest = ["watermark", "rows_fetched_total", "consecutive_failures"]
-    return every.groupBy("station_id").agg(F.max_by(F.struct(*rest), "batch").alias("s")).select("station_id", "s.*")
+        own = batch.sparkSession
+        placed = with_period(batch, layout) if layout is not None else batch.withColumn("period", F.year("obs_time").cast("string"))
+        touched = [r.period for r in placed.select("period").distinct().collect()]  # labels
+        known = _newest_folders(own, out, number)
+        rows = placed.unionByName(_read(own, out, [known[p] for p in touched if p in known]))
+        latest(rows, [*schema.KEYS, "period"]).write.mode("overwrite").partitionBy("period").parquet(f"{out}/generation={number:09d}")
+
+    stream = spark.readStream.schema(schema.struct(schema.DELTA)).option("maxFilesPerTrigger", files_a_batch).parquet(deltas)
+    stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return merged_rows(spark, out)
+
+
+def station_states(spark: SparkSession, out: str, before: int | None = None) -> DataFrame:
+    """The state that run_state_stream keeps, a row a station; before the first batch an empty one."""
+    whole = [g for g in _generations(spark, out) if before is None or g < before]
+    return spark.read.schema(STATE).parquet(f"{out}/generation={whole[-1]:09d}") if whole else spark.createDataFrame([], STATE)
+
+
+def run_state_stream(spark: SparkSession, attempts: str, out: str, checkpoint: str, files_a_batch: int = 4) -> DataFrame:
+    """The newest state of every station after all attempt files below `attempts`, which may come in any order.
+
+    State is a row a station, so a batch writes all of it; batch and stream fold
+    attempts alike.
+    """
+
+    def fold(batch: DataFrame, number: int) -> None:
+        state = station_states(batch.sparkSession, out, number)
+        fold_attempts(state, batch).write.mode("overwrite").parquet(f"{out}/generation={number:09d}")
+
+    stream = spark.readStream.schema(ATTEMPTS).option("maxFilesPerTrigger", files_a_batch).parquet(attempts)
+    stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return station_states(spark, out)

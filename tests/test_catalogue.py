@@ -5,9 +5,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from longtide.plans import catalogue
+from longtide.plans import archive, catalogue
 
 SF = "/root/testdata/sf0.001"
+#: Queries without a row on these tables: all years have a plan.
+EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -28,10 +30,9 @@ def _plain(df, columns):
 
 @pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, duck, name):
+    assert archive
     got = catalogue.QUERIES[name](spark, SF).toPandas()
-    if name not in catalogue.ORACLE_SQL:
-        assert len(got)
-        return
+    assert len(got) or name in EMPTY
     want = duck.execute(catalogue.ORACLE_SQL[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)

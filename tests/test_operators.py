@@ -4,6 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from longtide.operators import analytics as an
+from longtide.operators import compaction as cp
 from longtide.operators import layout as lo
 from longtide.operators import manifest as mf
 from longtide.operators import merge as mg
@@ -231,13 +233,250 @@ def test_full_plan(spark):
     assert pl.full_plan(history.limit(0), measured.limit(0), 1900, 1902, 1.0).count() == 3
 
 
-def test_merge_stream_is_idempotent(spark, tmp_path):
-    ddl = "station_id int, variable_id smallint, obs_time timestamp_ntz, value double, ingested_at timestamp_ntz"
-    one = spark.createDataFrame([(1, 1, T(2020, 1, 1), 1.0, T(2026, 1, 2))], ddl)
-    late = spark.createDataFrame([(1, 1, T(2020, 1, 1), 2.0, T(2026, 1, 1)), (2, 1, T(2020, 1, 1), 3.0, T(2026, 1, 1))], ddl)
+DELTA = "station_id int, variable_id smallint, obs_time timestamp_ntz, value double, ingested_at timestamp_ntz"
+
+
+def test_merge_stream_folds_late_deltas_and_idles(spark, tmp_path):
+    one = spark.createDataFrame([(1, 1, T(2020, 1, 1), 1.0, T(2026, 1, 2)), (5, 1, T(2021, 1, 1), 5.0, T(2026, 1, 2))], DELTA)
+    late = spark.createDataFrame([(1, 1, T(2020, 1, 1), 2.0, T(2026, 1, 1)), (2, 1, T(2020, 1, 1), 3.0, T(2026, 1, 1))], DELTA)
     where = [str(tmp_path / x) for x in ("in", "out", "ck")]
+    rows = lambda df: sorted((r.station_id, r.value) for r in df.collect())
     one.write.mode("append").parquet(where[0])
-    fold.merge_stream(spark, *where)
+    assert rows(fold.merge_stream(spark, *where)) == [(1, 1.0), (5, 5.0)]
     late.write.mode("append").parquet(where[0])
-    newest = fold.merge_stream(spark, *where)
-    assert sorted((r.station_id, r.value) for r in spark.read.parquet(newest).collect()) == [(1, 1.0), (2, 3.0)]
+    merged = fold.merge_stream(spark, *where)
+    assert rows(merged) == [(1, 1.0), (2, 3.0), (5, 5.0)]
+    # the second batch has written the one period it touched
+    assert {f.rsplit("/", 1)[0].split("/out/")[1] for f in merged.inputFiles()} == {"generation=000000000/period=2021", "generation=000000001/period=2020"}
+    assert rows(fold.merge_stream(spark, *where)) == [(1, 1.0), (2, 3.0), (5, 5.0)]
+    # a batch that was not finished is not read
+    spark.createDataFrame([(9, 9.0)], "station_id int, value double").write.parquet(f"{where[1]}/generation=000000007/period=2020")
+    assert rows(fold.merged_rows(spark, where[1])) == [(1, 1.0), (2, 3.0), (5, 5.0)]
+
+
+def test_state_stream_takes_attempts_in_any_order(spark, tmp_path):
+    where = [str(tmp_path / x) for x in ("in", "out", "ck")]
+    files_ = [[(1, T(2020, 3, 1), "ok", T(2020, 3, 1), 5, None)], [(1, T(2020, 2, 1), "error", None, 0, "late"), (2, T(2020, 1, 1), "error", None, 0, "x")], [(1, T(2020, 4, 1), "error", None, 0, "new")]]
+    for rows in files_:
+        spark.createDataFrame(rows, fold.ATTEMPTS).coalesce(1).write.mode("append").parquet(where[0])
+        state = fold.run_state_stream(spark, *where)
+    got = {r.station_id: r for r in state.collect()}
+    assert (got[1].consecutive_failures, got[1].last_error, got[1].rows_fetched_total) == (1, "new", 5) and got[2].consecutive_failures == 1
+    assert {r.station_id for r in fold.run_state_stream(spark, *where).collect()} == {1, 2}
+
+
+def test_late_attempts(spark):
+    attempts = "station_id long, at timestamp_ntz, status string, max_time timestamp_ntz, rows long, error string"
+    fold_ = lambda state, *rows: st.fold_attempts(state, spark.createDataFrame([(1, *r) for r in rows], attempts))
+    state = fold_(spark.createDataFrame([], fold.STATE), (T(2020, 3, 1), "ok", T(2020, 3, 1), 5, None))
+    late = fold_(state, (T(2020, 2, 1), "error", None, 0, "late")).first()
+    assert late.consecutive_failures == 0 and late.last_error is None and late.last_attempt_at == T(2020, 3, 1)
+    failed = fold_(state, (T(2020, 4, 1), "error", None, 0, "a"), (T(2020, 5, 1), "error", None, 0, "b"))
+    # a success that comes in late does not clear the failures after it, but moves mark and rows
+    late = fold_(failed, (T(2020, 3, 15), "ok", T(2020, 3, 10), 7, None)).first()
+    assert (late.consecutive_failures, late.last_error, late.rows_fetched_total, late.watermark, late.last_success_at) == (2, "b", 12, T(2020, 3, 10), T(2020, 3, 15))
+    cleared = fold_(failed, (T(2020, 6, 1), "ok", None, 1, None)).first()
+    assert cleared.consecutive_failures == 0 and cleared.last_error is None and cleared.watermark == T(2020, 3, 1)
+
+
+OBS = "station_id int, variable_id smallint, obs_time timestamp_ntz, value double, period string"
+
+
+def _random_rows(spark, n, hot=0.0, seed=0):
+    """n rows of 400 stations and 90 variables in one period; a share of them of one series."""
+    u = lambda k: F.rand(seed + k)
+    is_hot = u(0) < hot
+    time = (F.lit("2000-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (u(3) * 1e8).cast("int"))).alias("obs_time")
+    return spark.range(n).select(F.when(is_hot, 7).otherwise((u(1) * 400).cast("int")).alias("station_id"), F.when(is_hot, 3).otherwise((u(2) * 90).cast("int")).cast("smallint").alias("variable_id"), time, F.round(F.randn(seed + 4) * 50, 1).alias("value"), F.lit("p").alias("period"))
+
+
+@pytest.mark.parametrize(("n", "hot"), [(20_000, 0.0), (60_000, 0.0), (70_000, 0.4), (130_000, 0.0), (400_000, 0.7)])
+def test_every_file_is_in_the_size_band(spark, tmp_path, n, hot):
+    """400 KiB wanted, at least 200 KiB and at most 4 MiB, a hot series included."""
+    root = str(tmp_path / "observations")
+    _random_rows(spark, n, hot).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    sinks.write_observations(rows.limit(20_000), str(tmp_path / "sample"))
+    rate = files.list_files(spark, str(tmp_path / "sample")).agg(F.sum("file_bytes")).first()[0] / 20_000
+    sinks.write_observations(rows, root, bytes_per_row=rate, target=400 << 10, floor=200 << 10, ceiling=4 << 20)
+    sizes = [r.file_bytes for r in files.list_files(spark, root).collect()]
+    assert sum(sizes) < 200 << 10 or all(200 << 10 <= x <= 4 << 20 for x in sizes), sizes
+    assert len(sizes) >= n * rate // (400 << 10) and spark.read.parquet(root).count() == n
+    found = mf.build_manifest(files.footers(spark, root), T(2026, 1, 1)).orderBy("station_id_min", "station_id_max").collect()
+    assert all(a.station_id_max <= b.station_id_min for a, b in zip(found, found[1:], strict=False))  # files are in key order
+    assert mg.sort_violations(spark.read.parquet(root).select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")), ["f"], "i").isEmpty()
+
+
+def test_stations_have_a_bloom_filter(spark, tmp_path):
+    import duckdb
+
+    sinks.write_observations(_random_rows(spark, 5000), str(tmp_path / "o"))
+    found = duckdb.execute(f"SELECT path_in_schema, bloom_filter_length FROM parquet_metadata('{tmp_path}/o/*/*.parquet')").fetchall()
+    assert {c for c, n in found if n} == {"station_id"}
+
+
+class _Counted:
+    """A file that counts what is read of it."""
+
+    def __init__(self, path):
+        self._file, self.read_bytes, self.closed = open(path, "rb"), 0, False
+
+    def read(self, n=-1):
+        data = self._file.read(n)
+        self.read_bytes += len(data)
+        return data
+
+    def __getattr__(self, name):
+        return getattr(self._file, name)
+
+
+def test_footers_read_the_tail_only(spark, tmp_path):
+    spark.range(2_000_000).select("id", F.rand(1).alias("x")).coalesce(1).write.parquet(str(tmp_path / "f"))
+    (path,) = (tmp_path / "f").glob("*.parquet")
+    file = _Counted(path)
+    assert len(files.footer_rows("p", 0, file)) == 2 * files.footers(spark, str(tmp_path / "f")).select("row_group").distinct().count()
+    assert path.stat().st_size > 10 << 20 and file.read_bytes <= 128 << 10
+
+
+def test_checksums(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "c").mkdir()
+    data = b"x" * (9 << 20) + b"y"
+    (tmp_path / "c" / "a.bin").write_bytes(data)
+    assert files.checksums(spark, str(tmp_path / "c")).first().multihash == "1220" + hashlib.sha256(data).hexdigest()
+
+
+def _files_read(df):
+    """numFiles of the scans of the executed plan, after the query has run."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name.startswith("Scan parquet"):
+            found.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_files_read_by_pruning(spark, tmp_path):
+    """Four periods of one file each: one is read for years inside a period, two for years over two, four for times alone."""
+    root = str(tmp_path)
+    spans = [(1872, 1903), (1904, 1935), (2024, 2024), (2025, 2025)]
+    layout = spark.createDataFrame([(f"{a}-{b}" if a != b else str(a), a, b) for a, b in spans], "period string, start_year int, end_year int")
+    rows = [(s, 1, T(y, 1, 1) + dt.timedelta(minutes=43 * k), 1.0) for a, b in spans for y in range(a, b + 1) for s in (1, 2) for k in range(20)]
+    obs = lo.with_period(spark.createDataFrame(rows, OBS.rsplit(",", 1)[0]), layout)
+    sinks.write_observations(obs, f"{root}/observations")
+    sinks.write_layout(layout, f"{root}/layout.json")
+    read = tables.layout(spark, f"{root}/layout.json")
+
+    def asked(a, b, periods):
+        found = an.between(tables.observations(spark, root), f"{a}-01-01", f"{b + 1}-01-01")
+        if periods:
+            found = an.in_periods(found, lo.planned_periods(read, a, b))
+        own = found.groupBy("station_id").count()
+        files_read = _files_read(own)
+        assert sum(r["count"] for r in own.collect()) == sum(a <= r[2].year <= b for r in rows)
+        return max(files_read)
+
+    assert asked(1880, 1890, True) == 1 and asked(2024, 2025, True) == 2 and asked(1903, 1904, True) == 2
+    assert asked(1880, 1890, False) == 4
+    ranged = tables.read_range(spark, root, 1880, 1890).groupBy("station_id").count()
+    assert max(_files_read(ranged)) == 1
+    # labels are no years: a comparison of texts finds other rows
+    assert tables.observations(spark, root).where("period = '1890'").isEmpty()
+    assert tables.observations(spark, root).where("period >= '1900'").agg(F.min(F.year("obs_time"))).first()[0] == 1904
+
+
+def _small_archive(spark, root, periods):
+    layout = spark.createDataFrame(periods, "period string, start_year int, end_year int")
+    rows = [(s, 1, T(y, 1, 1) + dt.timedelta(hours=h), float(h)) for s in (1, 2) for _, a, b in periods for y in range(a, b + 1) for h in range(5)]
+    sinks.write_observations(lo.with_period(spark.createDataFrame(rows, OBS.rsplit(",", 1)[0]), layout), f"{root}/observations")
+    sinks.write_layout(layout, f"{root}/layout.json")
+    cp.rebuild_manifest(spark, root, "2026-01-01 00:00:00")
+    return layout, len(rows)
+
+
+def test_compaction_touches_what_it_has_to(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    layout, n = _small_archive(spark, root, [("2000-2001", 2000, 2001), ("2002", 2002, 2002)])
+    ddl = OBS.rsplit(",", 1)[0]
+    first = spark.createDataFrame([(1, 1, T(2002, 1, 1), 99.0), (9, 1, T(2002, 5, 1), 1.0), (9, 1, T(2005, 5, 1), 1.0)], ddl)
+    later = spark.createDataFrame([(2, 1, T(2000, 1, 1), 77.0)], ddl)
+    sinks.write_delta(first, f"{root}/deltas", "r1", "2026-01-01 00:00:00")
+    before = {r.path for r in files.list_files(spark, f"{root}/observations").where("period = '2000-2001'").collect()}
+    write = sinks.write_observations
+
+    def arrives_meanwhile(*args, **options):
+        sinks.write_delta(later, f"{root}/deltas", "r2", "2026-01-02 00:00:00")
+        write(*args, **options)
+
+    monkeypatch.setattr(sinks, "write_observations", arrives_meanwhile)
+    stats = {r.period: tuple(r)[1:] for r in cp.compact_archive(spark, root, layout, now="2026-01-03 00:00:00").collect()}
+    monkeypatch.setattr(sinks, "write_observations", write)
+    assert stats == {"2002": (10, 2, 11), "2005": (0, 1, 1)}  # a year without a plan is its own label
+    assert {r.path for r in files.list_files(spark, f"{root}/observations").where("period = '2000-2001'").collect()} == before
+    obs = tables.observations(spark, root)
+    assert obs.where("value = 99").count() == 1 and obs.count() == n + 2
+    assert tables.manifest(spark, root).agg(F.sum("rows")).first()[0] == n + 2
+    paths = [r.path for r in tables.manifest(spark, root).collect()]
+    assert paths == sorted(paths)
+    # what came in while the fold ran is still there, and is folded next
+    assert tables.base_and_deltas(spark, root)[1].count() == 1
+    assert [r.period for r in cp.compact_archive(spark, root, layout).collect()] == ["2000-2001"]
+    assert tables.observations(spark, root).where("value = 77").count() == 1
+    assert cp.compact_archive(spark, root, layout).isEmpty()
+    # given periods: an unknown label without rows is skipped, a known one is rewritten without deltas
+    got = cp.compact_archive(spark, root, layout, ["1950-1960", "2002"]).collect()
+    assert [tuple(r) for r in got] == [("2002", 11, 0, 11)] and tables.observations(spark, root).count() == n + 2
+
+
+def test_label_spans(spark):
+    layout = spark.createDataFrame([("2000-2001", 2000, 2001)], "period string, start_year int, end_year int")
+    labels_ = spark.createDataFrame([("2000-2001",), ("1990-1995",), ("2024",)], "period string")
+    assert {tuple(r) for r in cp.label_spans(labels_, layout).collect()} == {("2000-2001", 2000, 2001), ("1990-1995", 1990, 1995), ("2024", 2024, 2024)}
+
+
+def test_repartition_is_dry_unless_told(spark, tmp_path):
+    root = str(tmp_path)
+    _, n = _small_archive(spark, root, [("2000", 2000, 2000), ("2001", 2001, 2001), ("2002", 2002, 2002)])
+    to = spark.createDataFrame([("2000-2001", 2000, 2001), ("2002", 2002, 2002)], "period string, start_year int, end_year int")
+    periods = lambda: sorted(r.period for r in tables.observations(spark, root).select("period").distinct().collect())
+    kept = {r.path for r in files.list_files(spark, f"{root}/observations").where("period = '2002'").collect()}
+    assert {r.written: r.action for r in cp.apply_repartition(spark, root, to).collect()} == {"2000": "move", "2001": "move", "2002": "keep"}
+    assert periods() == ["2000", "2001", "2002"]
+    cp.apply_repartition(spark, root, to, dry_run=False, now="2026-01-01 00:00:00")
+    assert periods() == ["2000-2001", "2002"] and tables.observations(spark, root).count() == n
+    assert {r.path for r in files.list_files(spark, f"{root}/observations").where("period = '2002'").collect()} == kept
+    assert {r.period for r in tables.layout(spark, f"{root}/layout.json").collect()} == {"2000-2001", "2002"}
+    # several files of a period are folded in place
+    obs = tables.observations(spark, root)
+    again = obs.where("period = '2002'").withColumn("value", F.lit(5.0)).limit(3)
+    again.write.mode("append").partitionBy("period").parquet(f"{root}/observations")
+    assert {r.written: r.action for r in cp.apply_repartition(spark, root, to, dry_run=False).collect()} == {"2000-2001": "keep", "2002": "fold"}
+    assert tables.observations(spark, root).count() == n
+    with pytest.raises(ValueError, match="straddles"):
+        cp.apply_repartition(spark, root, spark.createDataFrame([("2000", 2000, 2000), ("2001-2002", 2001, 2002)], "period string, start_year int, end_year int"), dry_run=False)
+
+
+def test_documents_are_arrays(spark, tmp_path):
+    (tmp_path / "networks.json").write_text('[{"id": 3, "name": "EC"},\n {"id": 4, "name": "X", "publish": true}]')
+    assert [(r.id, r.name, r.publish) for r in payloads.read_document(spark, str(tmp_path / "networks.json"), "networks").collect()] == [(3, "EC", None), (4, "X", True)]
+
+
+def test_point_grid(spark):
+    points = spark.createDataFrame([(-120.0, 50.0), (-120.0, 50.0), (-110.0, 60.0), (None, 1.0), (-115.0, 55.0)], "lon double, lat double")
+    got = {(r.col, r.row): r.n for r in an.point_grid(points, cells=10).collect()}
+    assert sum(got.values()) == 4 and got[(0, 9)] == 2 and max(c for c, _ in got) < 10
+    same = spark.createDataFrame([(1.0, 1.0)] * 3, "lon double, lat double")
+    assert [tuple(r) for r in an.point_grid(same).collect()] == [(0, 0, 3)]
+    assert an.point_grid(points.limit(0)).isEmpty()
