@@ -2,8 +2,10 @@
 
 Twenty statistics of the whole text, standardised, are mapped to cosines of
 random projections, which approximate a Gaussian kernel. Ridge regression on
-them needs only sums of outer products, which partitions of the training rows
-add up; the scores are then made probabilities by isotonic regression.
+them needs only sums of outer products, which slices of the training rows add
+up; the scores are then made probabilities by isotonic regression. For that every
+training row is scored by weights that its own slice had no part in, which are
+the solution of all sums but that slice's.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import training_labels
+from .labelled import training_labels, usable
 from .storage import materialise
 from .tokens import text_batches
 from .words import Words, packed, windows
@@ -22,10 +24,12 @@ FEATURES = 200
 GAMMA = 0.05
 RIDGE = 1e-3
 SEED = 7
-#: The most labelled rows that are learned from, half of each label.
+#: The most labelled rows that are learned from, half of each label; they are weighted back to the labels' true odds.
 TRAINING_ROWS = 40_000
 SLICES = 8
 BINS = 1_000
+#: Rows of the overall rate that every step of the calibration counts besides its own, so that none is certain.
+PRIOR_ROWS = 1.0
 THRESHOLD = 0.5
 
 _CLASSES = [
@@ -124,39 +128,64 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
+def calibrated(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The isotonic fit with PRIOR_ROWS of the overall rate in every step; still non-decreasing."""
+    fit, rate = isotonic(x, y, w), np.average(y, weights=w)
+    starts = np.concatenate(([True], fit[1:] != fit[:-1]))
+    size = np.bincount(np.cumsum(starts) - 1, w[np.argsort(x, kind="stable")])[np.cumsum(starts) - 1]
+    return np.maximum.accumulate((fit * size + rate * PRIOR_ROWS) / (size + PRIOR_ROWS))
+
+
+def solve(sums: np.ndarray, ridge: float) -> np.ndarray:
+    """Ridge weights of normal equations (features and bias by features, bias and label); the bias is not penalised."""
+    k = len(sums)
+    penalty = ridge * sums[-1, -2] * np.diag([1.0] * (k - 1) + [0.0]) + 1e-9 * np.eye(k)
+    return np.linalg.solve(sums[:, :-1] + penalty, sums[:, -1])
+
+
 def fit(rows: DataFrame, features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = SEED, slices: int = SLICES, bins: int = BINS) -> Model:
-    """A model of rows (x, label), a bounded sample. No rows give 0.5 for all."""
+    """A model of rows (doc_id, x, label, weight), a bounded sample. No rows give 0.5 for all."""
     d = N_STATISTICS
-    moments = rows.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()  # a row a statistic
+    mean_of = lambda c: F.sum(c * F.col("weight")) / F.sum("weight")
+    moments = rows.select("weight", F.posexplode("x").alias("k", "v")).groupBy("k").agg(mean_of(F.col("v")).alias("m"), mean_of(F.col("v") * F.col("v")).alias("q")).collect()  # a row a statistic
     if not moments:
         return Model(np.zeros(d), np.ones(d), features, gamma, seed)
     mean, scale = np.zeros(d), np.ones(d)
     for r in moments:
-        mean[r.k], scale[r.k] = r.m, max(r.s, 1e-6)
+        mean[r.k], scale[r.k] = r.m, max(np.sqrt(max(r.q - r.m * r.m, 0.0)), 1e-6)
     model = Model(mean, scale, features, gamma, seed)
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int"))
 
     def sums(batches):
-        total = np.zeros((features + 1, features + 2))
+        total = {}
         for batch in batches:
-            x = model.features(np.array(batch.column("x").to_pylist()))
-            total += x.T @ np.column_stack((x, np.array(batch.column("label"), float)))
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    # `slices` partitions of fixed number, so the driver adds that many matrices, 0.3 MB each
-    total = np.zeros((features + 1, features + 2))
-    for r in rows.repartition(slices).mapInArrow(sums, "sums binary").toLocalIterator():
-        total += np.frombuffer(r.sums).reshape(total.shape)
-    n = total[-1, -2]
-    model.weights = np.linalg.solve(total[:, :-1] + ridge * n * np.diag([1.0] * features + [0.0]) + 1e-9 * np.eye(features + 1), total[:, -1])
+            x, of, w = model.features(np.array(batch.column("x").to_pylist())), batch.column("slice").to_numpy(), batch.column("weight").to_numpy()
+            xy = np.column_stack((x, batch.column("label").to_numpy()))
+            for k in np.unique(of):
+                own = of == k
+                total[int(k)] = total.get(int(k), 0.0) + (x[own] * w[own, None]).T @ xy[own]
+        for k, s in total.items():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([s.tobytes()], pa.binary())], ["slice", "sums"])
+
+    # a slice lies in one partition, so the driver adds as many matrices as there are slices, 0.3 MB each
+    by_slice = np.zeros((slices, features + 1, features + 2))
+    for r in sliced.repartition(slices, "slice").mapInArrow(sums, "slice int, sums binary").toLocalIterator():
+        by_slice[r.slice] += np.frombuffer(r.sums).reshape(features + 1, features + 2)
+    total = by_slice.sum(0)
+    model.weights = solve(total, ridge)
+    others = [total - s for s in by_slice]
+    apart = np.stack([solve(s, ridge) if s[-1, -2] > 0 else model.weights for s in others], 1)
 
     def scores(batches):
         for batch in batches:
-            yield pa.record_batch([pa.array(model.raw(np.array(batch.column("x").to_pylist()))), batch.column("label")], ["raw", "label"])
+            raw = (model.features(np.array(batch.column("x").to_pylist())) * apart[:, batch.column("slice").to_numpy()].T).sum(1)
+            yield pa.record_batch([pa.array(raw), batch.column("label"), batch.column("weight")], ["raw", "label", "weight"])
 
     bin_of = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(2.0), F.col("raw"))) * (bins // 3))
-    binned = rows.mapInArrow(scores, "raw double, label int").groupBy(bin_of.alias("b")).agg(F.avg("raw").alias("x"), F.avg("label").alias("y"), F.count("*").alias("n")).orderBy("x").collect()
+    scored = sliced.mapInArrow(scores, "raw double, label int, weight double").groupBy(bin_of.alias("b"))
+    binned = scored.agg(mean_of(F.col("raw")).alias("x"), mean_of(F.col("label")).alias("y"), F.sum("weight").alias("n")).orderBy("x").collect()  # a row a bin
     x, y, w = (np.array([r[k] for r in binned], float) for k in ("x", "y", "n"))
-    model.steps = x, isotonic(x, y, w)
+    model.steps = x, calibrated(x, y, w)
     return model
 
 
@@ -168,7 +197,10 @@ def quality(docs: DataFrame, labels: DataFrame, held, label: str = "quality", th
     """
     measured = materialise(document_statistics(docs, text, id), "statistics")
     ids = training_labels(labels, label, held, training_rows)
-    model = fit(materialise(measured.join(ids, "doc_id"), "training"))
+    # a label of which only some rows are taken counts for all of them
+    odds = usable(labels, label, held).groupBy("label").agg(F.count("*").alias("every")).join(ids.groupBy("label").agg(F.count("*").alias("taken")), "label")
+    weighted = ids.join(F.broadcast(odds), "label").select("doc_id", "label", (F.col("every") / F.col("taken")).alias("weight"))  # two rows
+    model = fit(materialise(measured.join(weighted, "doc_id"), "training"))
     kind = measured.schema[0].dataType.simpleString()
 
     def apply(batches):

@@ -551,3 +551,68 @@ def test_classifiers_on_odd_tables(spark, operator):
 def test_isotonic():
     fit = quality_classifier.isotonic(np.arange(6.0), np.array([0, 2, 1, 1, 5, 4.0]), np.ones(6))
     assert fit.tolist() == pytest.approx([0, 4 / 3, 4 / 3, 4 / 3, 4.5, 4.5])
+
+
+def test_calibration_is_never_certain():
+    fit = quality_classifier.calibrated(np.arange(4.0), np.array([0, 0, 1.0, 1]), np.array([5.0, 4, 1, 8]))
+    assert 0 < fit[0] == fit[1] < 0.1 and fit[2] == fit[3] and 0.9 < fit[3] < 1
+
+
+def test_ridge_on_random_features_against_numpy(spark):
+    """Sums by slice give the weights of all rows at once, and of all but a slice; the calibration uses the latter."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (300, quality_classifier.N_STATISTICS)) * np.arange(1, quality_classifier.N_STATISTICS + 1)
+    y, w = (x[:, 0] + x[:, 1] / 2 + rng.normal(0, 0.5, 300) > 0).astype(int), rng.choice([1.0, 3.0], 300)
+    rows = spark.createDataFrame([(i, list(map(float, x[i])), int(y[i]), float(w[i])) for i in range(300)], "doc_id long, x array<double>, label int, weight double").repartition(3)
+    model = quality_classifier.fit(rows, features=40)
+    mean = (x * w[:, None]).sum(0) / w.sum()
+    assert model.mean == pytest.approx(mean) and model.scale == pytest.approx(np.sqrt((x**2 * w[:, None]).sum(0) / w.sum() - mean**2))
+    f = model.features(x)
+    penalty = np.diag([quality_classifier.RIDGE] * 40 + [0.0])
+
+    def by_hand(own):
+        a, v = f[own], w[own]
+        return np.linalg.solve((a * v[:, None]).T @ a + penalty * v.sum() + 1e-9 * np.eye(41), (a * v[:, None]).T @ y[own])
+
+    assert model.weights == pytest.approx(by_hand(np.ones(300, bool)), rel=1e-6, abs=1e-8)
+    slices = np.array([r[0] for r in rows.orderBy("doc_id").select(F.pmod(F.xxhash64("doc_id"), F.lit(quality_classifier.SLICES))).collect()])
+    raw = np.array([f[i] @ by_hand(slices != slices[i]) for i in range(300)])
+    bins = np.round(np.clip(raw, -1, 2) * (quality_classifier.BINS // 3))
+    groups = [np.flatnonzero(bins == b) for b in np.unique(bins)]
+    at = np.array([np.average(raw[g], weights=w[g]) for g in groups])
+    assert model.steps[0] == pytest.approx(at, abs=1e-6)
+    assert model.steps[1] == pytest.approx(quality_classifier.calibrated(at, np.array([np.average(y[g], weights=w[g]) for g in groups]), np.array([w[g].sum() for g in groups])), abs=1e-6)
+
+
+def test_ftrl_against_plain_python(spark):
+    """Weights of train() against the update rule coordinate by coordinate."""
+    import math
+
+    texts = ["you fool", "a fine day", "fool of a day", "a day", "you are a fool", "fine", ""]
+    labels = [1, 0, 1, 0, 1, 0, 0]
+    rows = spark.createDataFrame([(i, labels[i % 7], texts[i % 7] + f" w{i % 3}") for i in range(40)], "doc_id long, label int, text string")
+    got = toxicity.train(rows, 40, bits=10, passes=3)
+    ordered = rows.withColumn("order", F.xxhash64("doc_id", F.lit("order"))).orderBy("order", "doc_id").collect()
+    z, n, bias = {}, {}, 1 << 10
+
+    def weight(i):
+        l1 = 0.0 if i == bias else toxicity.L1
+        s = z.get(i, 0.0)
+        return 0.0 if abs(s) <= l1 else (math.copysign(l1, s) - s) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(3):
+        for r in ordered:
+            own = [*map(int, toxicity.features(pa.array([r.text]), 10)[0]), bias]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - r.label
+            for i in own:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA
+                z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    want = np.array([weight(i) for i in range(bias + 1)])
+    assert got == pytest.approx(want, abs=1e-5) and 0 < np.count_nonzero(got[:-1]) < len(z) and got[:-1].max() > 0
+
+
+def test_features_of_toxicity_are_words_pairs_skips_and_stems():
+    of = lambda t: set(toxicity.features(pa.array([t]))[0].tolist())
+    assert len(of("ab cd ef")) == 3 + 2 + 1 + 2 * 3 and of("AB, cd! ef") == of("ab cd ef") and not of(" .. ")
+    assert len(of("ab cd ef") & of("cd ef gh")) == 2 + 1 + 2 * 2
