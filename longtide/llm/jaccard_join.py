@@ -48,8 +48,8 @@ LARGE_BUCKET = 8
 HUB_ROUNDS = 1
 #: Bits of a parity bitmap at least; it has as many as its set has shingles, or more.
 BITMAP_BITS = 1024
-#: Bits of a filter of ids to each id, and the most ids that are broadcast as one, in 64 MB; beyond that rows are picked by a join.
-FILTER_RATIO, MOST_FILTERED = 16, 1 << 25
+#: Bits of a filter of ids to each id, and the most ids that are broadcast as one, in 16 MB; beyond that rows are picked by a join.
+FILTER_RATIO, MOST_FILTERED = 16, 1 << 23
 
 
 def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT, least: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray]:
