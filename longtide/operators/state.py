@@ -18,7 +18,7 @@ def merge_marks(states: DataFrame) -> DataFrame:
 
 
 def fold_attempts(state: DataFrame, attempts: DataFrame) -> DataFrame:
-    """state after attempts (station_id, at, status 'ok' or 'error', max_time, rows, error), in whatever order they come in.
+    """state after attempts (station_id, at, status 'ok' or 'error', max_time, rows, error), early or late ones.
 
     A mark only moves forward; rows of successes add up in rows_fetched_total. A
     failure counts if it is later than every success, those in state too. A

@@ -327,7 +327,9 @@ def stream_lww(spark, d):
 
 @query(sql("SELECT station_id, watermark, last_attempt_at, last_success_at, rows_fetched_total, consecutive_failures, CASE WHEN consecutive_failures > 0 THEN error END AS last_error FROM folded", "attempts").replace(" SELECT station_id, watermark, last", f", {_FOLD} SELECT station_id, watermark, last", 1))
 def stream_state(spark, d):
-    """In the order in which attempts are made, file after file."""
+    """Files that land one after the other, in the order in which attempts are made: a file a week and a file a batch."""
     root = v.scratch(spark, "stream-state")
-    v.attempts(spark, d).select("station_id", "at", "status", "max_time", "rows", "error").repartitionByRange(8, "at").write.parquet(f"{root}/attempts")
-    return fold.run_state_stream(spark, f"{root}/attempts", f"{root}/out", f"{root}/checkpoint")
+    rows = v.attempts(spark, d).select("station_id", "at", "status", "max_time", "rows", "error", F.floor(F.dayofmonth("at") / 8).alias("week"))
+    for week in range(4):
+        rows.where(F.col("week") == week).drop("week").coalesce(1).write.mode("append").parquet(f"{root}/attempts")
+    return fold.run_state_stream(spark, f"{root}/attempts", f"{root}/out", f"{root}/checkpoint", files_a_batch=1)

@@ -81,10 +81,11 @@ def station_states(spark: SparkSession, out: str, before: int | None = None) ->
 
 
 def run_state_stream(spark: SparkSession, attempts: str, out: str, checkpoint: str, files_a_batch: int = 4) -> DataFrame:
-    """The newest state of every station after all attempt files below `attempts`, which may come in any order.
+    """The newest state of every station after all attempt files below `attempts`, batch by batch through fold_attempts.
 
-    State is a row a station, so a batch writes all of it; batch and stream fold
-    attempts alike.
+    State is a row a station, so a batch writes all of it. Attempts that land late
+    follow the same rules: a late failure counts only if no success is later, and
+    failures in state stay until a success that is later than all attempts.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
