@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import text_batches
+
 #: Put inside a control string of a text, after its first character; a backslash of a text is doubled.
 _MARK = "\\:"
+#: A conversation of more characters is given out in parts of about so many.
+PART_CHARS = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -50,14 +53,24 @@ TRANSITIONS = {
 }
 
 
-def turn_order(roles: list[str]) -> tuple[bool, int]:
-    """Whether the roles are in order and complete, and the first turn that no transition allows (-1: none)."""
-    state = "start"
-    for k, role in enumerate(roles):
-        if role not in TRANSITIONS[state]:
-            return False, k
-        state = TRANSITIONS[state][role]
-    return state == "answered", -1
+class TurnOrder:
+    """The machine over one conversation's roles: bad_turn is the first turn that no transition allows (-1: none)."""
+
+    def __init__(self):
+        self.state, self.turns, self.bad_turn = "start", 0, -1
+
+    def take(self, role: str) -> None:
+        if self.bad_turn < 0:
+            if role in TRANSITIONS[self.state]:
+                self.state = TRANSITIONS[self.state][role]
+            else:
+                self.bad_turn = self.turns
+        self.turns += 1
+
+    @property
+    def valid(self) -> bool:
+        """Whether the turns so far are in order and complete."""
+        return self.bad_turn < 0 and self.state == "answered"
 
 
 def escape(text: str, controls: re.Pattern) -> str:
@@ -68,23 +81,17 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\|:)", lambda m: "\\" if m[1] == "\\" else "", text)
 
 
-def segments(turns: list[tuple[str, str]], template: Template = TEMPLATE) -> Iterator[tuple[str, bool]]:
-    """(part of the formatted conversation, is it learned from) in order."""
-    controls = template.pattern()
-    yield template.begin, False
-    for role, text in turns:
-        if role in template.marks:
-            before, after = template.marks[role]
-        else:
-            before, after = template.other[0] + escape(role, controls) + template.other[1], template.other[2]
-        yield before, False
-        yield escape(text, controls), role in template.learned
-        yield after, False
-    yield template.end, False
+def turn_segments(role: str, text: str, template: Template, controls: re.Pattern) -> tuple[tuple[str, bool], ...]:
+    """(text segment, is it learned from) of one turn, in order."""
+    if role in template.marks:
+        before, after = template.marks[role]
+    else:
+        before, after = template.other[0] + escape(role, controls) + template.other[1], template.other[2]
+    return (before, False), (escape(text, controls), role in template.learned), (after, False)
 
 
 def parse(formatted: str, template: Template = TEMPLATE) -> list[tuple[str, str]]:
-    """The turns of a formatted conversation."""
+    """The turns of a formatted conversation, or of one of its parts."""
     openings = {a: role for role, (a, _) in template.marks.items()}
     turns, role, start = [], None, 0
     for m in template.pattern().finditer(formatted):
@@ -99,53 +106,117 @@ def parse(formatted: str, template: Template = TEMPLATE) -> list[tuple[str, str]
     return turns
 
 
-def format_conversations(conversations: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """conv_id, formatted, loss_spans (array of start, length in code points), valid, bad_turn of each conversation.
+class _Part:
+    """A part of a formatted conversation: whole turns, with the opening mark in the first and the closing one in the last."""
+
+    def __init__(self, number: int):
+        self.number, self.texts, self.spans, self.size = number, [], [], 0
+
+    def add(self, text: str, learned: bool) -> None:
+        if learned:
+            self.spans.append({"start": self.size, "length": len(text)})
+        self.texts.append(text)
+        self.size += len(text)
+
+
+def format_conversations(conversations: DataFrame, template: Template = TEMPLATE, part_chars: int = PART_CHARS) -> DataFrame:
+    """conv_id, part, formatted, loss_spans (array of start, length in code points), last, valid, bad_turn of each conversation.
 
     The input has conv_id, turn, role, text; other columns are ignored. Turns
     that share a number are ordered by role and text, null turns first; null
     roles and texts are empty; rows without conv_id are one conversation. A
     conversation out of order is formatted as it is and marked valid = false.
-    A conversation is one string, so its turns meet in one task; conversations
-    are dealt out by their id.
+
+    A conversation is one row, part 0, unless it is of more than part_chars
+    characters: then every so many characters of whole turns are a part, numbered
+    from 0, and the formatted conversation is its parts end to end. Spans count
+    from the start of their part. valid and bad_turn (of the whole conversation)
+    are in its last part, and null in the others. Turns meet in a task in order and go
+    through one at a time, so a conversation of any length takes the memory of
+    one part.
     """
-    own = conversations.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    grouped = own.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    kind = grouped.schema["conv_id"].dataType.simpleString()
+    text = lambda c: F.coalesce(c, F.lit(""))
+    turns = conversations.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"))
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+    types = (pa.int32(), pa.string(), spans, pa.bool_(), pa.bool_(), pa.int32())
+    names = ["conv_id", "part", "formatted", "loss_spans", "last", "valid", "bad_turn"]
 
     def write(batches):
-        for batch in batches:
-            rows = []
-            for turns in batch.column("turns").to_pylist():
-                parts, spans, n = [], [], 0
-                for part, learned in segments([(t["role"], t["text"]) for t in turns], template):
-                    if learned:
-                        spans.append({"start": n, "length": len(part)})
-                    parts.append(part)
-                    n += len(part)
-                rows.append(("".join(parts), spans, *turn_order([t["role"] for t in turns])))
-            spans = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), spans, pa.bool_(), pa.int32()))]
-            yield pa.record_batch([batch.column("conv_id"), *columns], ["conv_id", "formatted", "loss_spans", "valid", "bad_turn"])
-
-    return grouped.mapInArrow(write, f"conv_id {kind}, formatted string, loss_spans array<struct<start: bigint, length: bigint>>, valid boolean, bad_turn int")
+        controls = template.pattern()
+        done, size = [], 0
+        of, conversation, order, part = None, None, None, None
+
+        def rows():
+            columns = [pa.array([r[k + 1] for r in done], t) for k, t in enumerate(types)]
+            return pa.record_batch([pa.array([r[0] for r in done], of), *columns], names)
+
+        def close(last):
+            if last:
+                part.add(template.end, False)
+            done.append((conversation[0], part.number, "".join(part.texts), part.spans, last, *((order.valid, order.bad_turn) if last else (None, None))))
+            return part.size
+
+        for batch in text_batches(batches, "text"):
+            of = batch.schema.field("conv_id").type
+            for id, role, said in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
+                if conversation is None or not _same(conversation[0], id):
+                    if conversation is not None:
+                        size += close(True)
+                    conversation, order, part = (id,), TurnOrder(), _Part(0)
+                    part.add(template.begin, False)
+                elif part.size >= part_chars:
+                    size += close(False)
+                    part = _Part(part.number + 1)
+                order.take(role)
+                for segment in turn_segments(role, said, template, controls):
+                    part.add(*segment)
+                if size >= part_chars:
+                    yield rows()
+                    done, size = [], 0
+        if conversation is not None:
+            close(True)
+            yield rows()
+
+    return ordered.mapInArrow(write, f"conv_id {kind}, part int, formatted string, loss_spans array<struct<start: bigint, length: bigint>>, last boolean, valid boolean, bad_turn int")
+
+
+def _same(a, b) -> bool:
+    """Equal ids; not-a-number is one id."""
+    return a == b or (a != a and b != b)
 
 
 def digests(formatted: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """What the formatted conversations say, read back from them: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid."""
+    """What the formatted conversations say, read back from them: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid.
+
+    The parts of a conversation follow each other, as format_conversations gives them.
+    """
     kind = formatted.schema["conv_id"].dataType.simpleString()
+    types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
 
     def read(batches):
-        for batch in batches:
+        n_turns = loss_chars = chars = 0
+        said, learned = hashlib.sha256(), hashlib.sha256()
+        for batch in text_batches(batches, "formatted"):
             rows = []
-            for text, spans in zip(batch.column("formatted").to_pylist(), batch.column("loss_spans").to_pylist(), strict=True):
-                turns = parse(text, template)
-                learned = "".join(unescape(text[s["start"] : s["start"] + s["length"]]) for s in spans)
-                said = "".join(f"{role}\n{said}\n" for role, said in turns)
-                rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text)))
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))]
-            yield pa.record_batch([batch.column("conv_id"), *columns, batch.column("valid")], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"])
-
-    return formatted.select("conv_id", "formatted", "loss_spans", "valid").mapInArrow(
+            for id, text, spans, last, valid in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_spans", "last", "valid")), strict=True):
+                for role, turn in parse(text, template):
+                    n_turns += 1
+                    said.update(f"{role}\n{turn}\n".encode())
+                for s in spans:
+                    own = unescape(text[s["start"] : s["start"] + s["length"]])
+                    loss_chars += len(own)
+                    learned.update(own.encode())
+                chars += len(text)
+                if last:
+                    rows.append((id, n_turns, said.hexdigest(), loss_chars, learned.hexdigest(), chars, valid))
+                    n_turns = loss_chars = chars = 0
+                    said, learned = hashlib.sha256(), hashlib.sha256()
+            columns = [pa.array([r[k + 1] for r in rows], t) for k, t in enumerate(types)]
+            yield pa.record_batch([pa.array([r[0] for r in rows], batch.schema.field("conv_id").type), *columns], names)
+
+    return formatted.select("conv_id", "formatted", "loss_spans", "last", "valid").mapInArrow(
         read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )

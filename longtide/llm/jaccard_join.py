@@ -329,10 +329,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tex
     return labelled_groups(docs, words, percent, text, id).drop("label")
 
 
-def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """near_groups with label, the component's own number whatever its ids are; null for texts without words."""
-    begun = mark()
-    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+def _bucketed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of docs (doc_id, text): members (doc_id, digest, n, fp) of every row, classes of equal sets, and their postings by bucket."""
     frequent = frequent_shingles(docs, words)
     signed = materialise(signatures(docs.withColumn("digest", F.xxhash64("text")), words, percent, frequent), "signatures")
     # the same for all of one set but the id
@@ -345,8 +343,14 @@ def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     sizes = materialise(tokens.groupBy("token").agg(F.count("*").cast("int").alias("size")).where("size > 1"), "bucket-sizes")
     first = F.col("n") - F.ceil(percent * F.col("n") / F.lit(100.0) - F.lit(1e-9)) + 1
     postings = _postings(classes, sizes).withColumn("level", F.greatest(F.lit(1), F.col("pos") - first + 2).cast("int"))
-    buckets = materialise(postings.join(sizes, "token"), "buckets")
+    return members, classes, materialise(postings.join(sizes, "token"), "buckets")
 
+
+def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """near_groups with label, the component's own number whatever its ids are; null for texts without words."""
+    begun = mark()
+    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    members, classes, buckets = _bucketed(docs, words, percent)
     facts = classes.select("cid", "n", "bitmap")
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
@@ -384,6 +388,36 @@ def labelled_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return some.unionByName(none)
 
 
+def near_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Every link, as (links, members): links has class_a < class_b, the classes of equal sets that are linked, and
+    members has doc_id, n_shingles, class_id, n_links of every row of docs.
+
+    Rows of one class are linked by being in it and are not given as pairs; n_links
+    counts a row's links to other rows, copies included. Texts without words have no
+    class and no links. Here every pair of a bucket that shares enough of its prefixes is
+    a candidate, so work grows with the links there are, by the square in a
+    group of texts that are all alike and all different; near_groups does not.
+    """
+    begun = mark()
+    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    members, classes, buckets = _bucketed(docs, words, percent)
+    unlabelled = docs.sparkSession.createDataFrame([], "cid long, label long")
+    pairs = materialise(_passing_bitmaps(_open_pairs(buckets, unlabelled, percent), classes, percent), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = materialise(classes.select("cid", "fp", "doc_id").join(wanted, "cid"), "wanted")
+    sets = materialise(_sets_of(docs, wanted, words), "sets")
+    links = materialise(_verified(pairs, sets, percent).select(F.col("a").alias("class_a"), F.col("b").alias("class_b")), "links")
+    sizes = members.where("n > 0").groupBy("fp").agg(F.count("*").alias("rows"))
+    sized = materialise(classes.select("cid", "fp").join(sizes, "fp"), "class-sizes")
+    both = links.select("class_a", "class_b").unionByName(links.select(F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b")))
+    others = both.join(sized.select(F.col("cid").alias("class_b"), "rows"), "class_b").groupBy(F.col("class_a").alias("cid")).agg(F.sum("rows").alias("others"))
+    counted = sized.join(others, "cid", "left").select("fp", F.col("cid").alias("class_id"), (F.coalesce("others", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    counted = materialise(counted, "counted")
+    discard_since(docs.sparkSession, begun, members, links, counted)
+    found = members.join(counted, "fp", "left")
+    return links, found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", id: str = "doc_id") -> DataFrame:
     """docs with one row of each group of near duplicates, the one of the smallest doc_id, columns as they were.
 

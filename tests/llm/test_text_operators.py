@@ -137,6 +137,27 @@ def test_near_groups(spark, k, percent, monkeypatch):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id or -1) for r in got) == _components(rows, k, percent)
 
 
+def test_near_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FREQUENT_FROM", 4)
+    odd = [("a b c d e f g", 2), ("A b c d e f g", 1), ("one two", 3), ("", 2), (None, 1)]
+    rows = _near_rows() + [(None, t, "s") if k == 0 else (500 + 10 * i + k, t, "s") for i, (t, n) in enumerate(odd) for k in range(n)]
+    links, members = jaccard_join.near_links(_docs(spark, rows).repartition(4))
+    sets = {}
+    for i, t, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets[i, t] = frozenset(" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset()
+    own = [sets[i, t] for i, t, _ in rows]
+    alike = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    want = sorted((i or -1, len(s), sum(alike(s, o) for o in own) - 1 if s else 0) for (i, *_), s in zip(rows, own, strict=True))
+    got = members.collect()
+    assert sorted((r.doc_id or -1, r.n_shingles, r.n_links) for r in got) == want
+    distinct = sorted({s for s in own if s}, key=sorted)
+    assert links.count() == sum(alike(a, b) for k, a in enumerate(distinct) for b in distinct[:k]) == links.distinct().count() > 100
+    assert len({r.class_id for r in got if r.n_shingles}) == len(distinct) and all(r.class_id is None for r in got if not r.n_shingles)
+    links, members = jaccard_join.near_links(_empty(spark))
+    assert links.count() == members.count() == 0
+
+
 def test_near_dedup(spark):
     out = jaccard_join.near_dedup(_docs(spark, ODD))
     assert sorted((r.doc_id or -1) for r in out.collect()) == [-1, 1, 3, 4, 5, 6, 7, 9]
@@ -304,11 +325,34 @@ def test_chat(spark):
     assert got[1].loss_sha256 == hashlib.sha256(odd.encode()).hexdigest() and got[1].loss_chars == len(odd)
     assert {i: r.valid for i, r in got.items()} == {1: True, 2: False, 3: False, None: False, 4: False, 5: True}
     assert chat_format.digests(chat_format.format_conversations(df.limit(0))).count() == 0
+    # in parts of a few turns each, which end to end are the same conversation
+    parts = chat_format.format_conversations(df, part_chars=1).cache()
+    assert parts.where("part > 0").count() == len(rows) - len({r[0] for r in rows}) and parts.where("last").count() == len(got)
+    assert {r.conv_id: r for r in chat_format.digests(parts).collect()} == got
+    joined = {}
+    for r in sorted(parts.collect(), key=lambda r: r.part):
+        joined[r.conv_id] = joined.get(r.conv_id, "") + r.formatted
+        assert r.last or (r.valid is None and r.bad_turn is None)
+    assert joined == {r.conv_id: r.formatted for r in formatted.collect()}
     controls = chat_format.TEMPLATE.pattern()
     for text in (odd, "[[INST]INST]", "<<SYS>><s<s>>", "\\", ""):
         assert chat_format.unescape(chat_format.escape(text, controls)) == text and not controls.search(chat_format.escape(text, controls))
 
 
+def test_chat_takes_a_long_conversation_in_parts(spark):
+    """A conversation of a third of all turns, most without conv_id, and one very long turn."""
+    turn = F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id"))
+    hot = spark.range(3000).select(turn.alias("conv_id"), "id", F.lit("user").alias("role"), F.concat(F.lit("</s> x"), "id").alias("text")).withColumnRenamed("id", "turn")
+    long = spark.createDataFrame([(7, 9000, "assistant", LONG)], "conv_id long, turn long, role string, text string")
+    df = hot.unionByName(long)
+    formatted = chat_format.format_conversations(df, part_chars=2000).cache()
+    assert formatted.where("conv_id IS NULL").agg(F.max(F.length("formatted"))).first()[0] < 2100 and formatted.where("conv_id IS NULL").count() > 5
+    got = {r.conv_id: r for r in chat_format.digests(formatted).collect()}
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in df.collect()]
+    assert got[None].turns_sha256 == _conversation([r for r in rows if r[0] is None]) and got[None].n_turns == 1000
+    assert got[7].turns_sha256 == _conversation([r for r in rows if r[0] == 7]) and got[7].loss_chars == len(LONG) and got[7].valid
+
+
 # tokens
 
 TOKEN_TEXTS = ["", None, "Hello world", "a  b\n\nc \t d ", "<|endoftext|>x <|endoftext|>", " \n <|endoftext|>", "don't we'll ü 日本語 x\x1cy\x85z", "trailing ", "\nlead", "." * 200, "a" * 500, LONG[:5000]]
