@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, jaccard_join, mixing, nbest_pieces, quality_classifier, quality_rules, token_counts, token_shards, toxicity
+from . import chat_format, exact_dedup, jaccard_join, mixing, nbest_pieces, periodic_runs, quality_classifier, quality_rules, token_counts, token_shards, toxicity
 from .labelled import held_out
+from .words import WORD
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +64,31 @@ def op10_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest_pieces.segmentations(_table(spark, sf_dir, "documents")).drop("best_ids")
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text; where a tenth of the ids' checksums says so, words from a place on are taken from one period. Rows without id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    g, n = F.floor(h / 10), F.size("words")
+    a = F.pmod(g, n)
+    planted = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    planted = planted.withColumn("a", F.when(n > 0, a).cast("int")).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    from_period = lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", F.col("a") + (i - F.col("a")) % F.col("p")))
+    text = F.when(F.col("p").isNotNull(), F.array_join(F.transform("words", from_period), " ")).otherwise(F.col("text"))
+    return planted.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_periods(_table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = F.col("strongest")
+    milli = F.floor(1000 * best["length"] / best["period"]).cast("long")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.when(best.isNotNull(), milli).alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for name, f in list(globals().items()) if name.startswith("op")}
 
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"

@@ -72,8 +72,21 @@ class Words:
         self.counts = np.diff(self.firsts)
         self._lower, self._run = lower, None
 
+    def coded(self) -> tuple[np.ndarray, pa.Array]:
+        """A number of each word, the same for equal words and no others, and the distinct words (bytes) by it."""
+        lengths = self.ends - self.starts
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] += 1
+        inside[self.ends] -= 1
+        solid = self.data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        if self._lower:
+            solid = _LOWER[solid]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)))
+        array = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(solid))]).dictionary_encode()
+        return array.indices.to_numpy(), array.dictionary
+
     def hashes(self, first: int | None = None) -> np.ndarray:
-        """A hash of each word, or of its first bytes only."""
+        """A hash of each word, or of its first bytes only, for features: words that share one can be made."""
         n = len(self.data)
         up, down = _powers_to(n + 1)
         if self._run is None:
