@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, hard_negatives, jaccard_join, mixing, nbest_pieces, periodic_runs, quality_classifier, quality_rules, token_counts, token_shards, toxicity
+from . import chat_format, exact_dedup, hard_negatives, jaccard_join, katz, mixing, nbest_pieces, periodic_runs, quality_classifier, quality_rules, token_counts, token_shards, toxicity
 from .labelled import held_out
 from .words import WORD
 
@@ -89,6 +89,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out(F.col("doc_id"), 10, 0)
+    scored = katz.katz_scores(_table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0)

@@ -7,6 +7,8 @@ the character class [^\\x20\\x09-\\x0D]+ since those are all ASCII. Hashes are
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -54,6 +56,12 @@ def packed(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def names(words: pa.Array, lane: int = 0) -> np.ndarray:
+    """64-bit names of words (bytes) by a keyed cryptographic hash; lanes are independent of each other."""
+    key = b"longtide %d" % lane
+    return np.frombuffer(b"".join([blake2b(w, digest_size=8, key=key).digest() for w in words.to_pylist()]), np.uint64)
+
+
 class Words:
     """Where the words of a batch start and end, which text each is in, and their hashes."""
 
