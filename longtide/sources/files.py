@@ -81,8 +81,8 @@ def footer_rows(path: str, size: int, file) -> list[tuple]:
     return out
 
 
-def footers(spark: SparkSession, root: str) -> DataFrame:
-    """A row for each file, row group and column below root, from the files' tails, read on the executors."""
+def footers(spark: SparkSession, root: str, of: DataFrame | None = None) -> DataFrame:
+    """A row for each file, row group and column below root, or of the files given (path, file_bytes), from the files' tails, read on the executors."""
     kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.timestamp("us"), pa.timestamp("us"))
     names = [x.split()[0] for x in FOOTERS.split(", ")]
 
@@ -94,4 +94,5 @@ def footers(spark: SparkSession, root: str) -> DataFrame:
                 if rows:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return _listed(spark, root, "*.parquet").mapInArrow(read, FOOTERS)
+    listed = _listed(spark, root, "*.parquet") if of is None else of.select("path", F.col("file_bytes").alias("length"))
+    return listed.mapInArrow(read, FOOTERS)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import bbox, hilbert_key, wkb_point
 from ..schema import KEYS, MANIFEST, struct
+from . import versions
 
 ROW_GROUP_ROWS = 150_000
 TARGET_BYTES, MIN_BYTES, MAX_BYTES = 256 << 20, 128 << 20, 1 << 30
@@ -63,7 +66,7 @@ def file_plan(rows: DataFrame, bytes_per_row: float, target: int = TARGET_BYTES,
     return counted.join(cuts, "period", "left").withColumn("first_file", F.coalesce(F.sum("files").over(earlier), F.lit(0)).cast("int"))
 
 
-def _cuts_up_to(cuts: Column, key: Column) -> Column:
+def cuts_up_to(cuts: Column, key: Column) -> Column:
     """How many of the sorted cuts are not above key: whole strides first, then inside one, so of n cuts about 2 sqrt(n) are looked at."""
     stride = F.greatest(F.lit(1), F.floor(F.sqrt(F.size(cuts))).cast("int"))
     strides = F.size(F.filter(F.sequence(stride, F.size(cuts), stride), lambda i: F.get(cuts, i - 1) <= key))
@@ -83,7 +86,7 @@ def write_observations(rows: DataFrame, path: str, bytes_per_row: float = 1.4, t
     cut_type = f"array<struct<{', '.join(f'{k}: {kinds[k]}' for k in KEYS)}>>"
     known = rows.sparkSession.createDataFrame([(r.period, r.cuts or [], r.first_file) for r in plan], f"period string, __cuts {cut_type}, __first int")
     key = F.struct(*KEYS)
-    numbered = rows.join(F.broadcast(known), "period").withColumn("__file", F.col("__first") + _cuts_up_to(F.col("__cuts"), key))
+    numbered = rows.join(F.broadcast(known), "period").withColumn("__file", F.col("__first") + cuts_up_to(F.col("__cuts"), key))
     dealt = numbered.repartitionById(total, "__file").select(*rows.columns)
     writer = dealt.sortWithinPartitions("period", *KEYS).write.options(**WRITE_OPTIONS).partitionBy("period")
     if mode == "replace_periods":
@@ -149,5 +152,10 @@ def write_layout(layout: DataFrame, path: str) -> None:
 
 
 def write_state(state: DataFrame, path: str, writer: str) -> None:
-    """By station, one folder a writer, so that writers do not meet."""
-    state.orderBy("station_id").coalesce(1).write.mode("overwrite").parquet(f"{path}/writer={writer}")
+    """By station, one folder a writer, so that writers do not meet. A new table is published by one rename; what was there before is then deleted."""
+    spark, folder = state.sparkSession, f"{path}/writer={writer}"
+    number = (versions.latest(spark, folder) or 0) + 1
+    name = f"g{number:06d}-{uuid.uuid4().hex[:12]}"
+    state.orderBy("station_id").coalesce(1).write.parquet(f"{folder}/{name}")
+    versions.publish(spark, folder, number, {"list": name, "removed": []})
+    versions.drop_others(spark, folder, number, name)

@@ -11,13 +11,17 @@ from .. import schema
 from ..functions.times import start_of_year
 from ..operators.layout import periods_for_range
 from ..operators.state import merge_marks
+from . import versions
 
 
 def observations(spark: SparkSession, root: str, value: str = "double") -> DataFrame:
     """All observations with period from the path.
 
     The schema is given: labels that all look like years would be read as numbers.
+    Of an archive with versions the newest one's.
     """
+    if versions.versioned(spark, root):
+        return versions.observations(spark, root, value=value)
     return spark.read.schema(schema.observations(value)).parquet(f"{root}/observations")
 
 
@@ -34,18 +38,29 @@ def delete(spark: SparkSession, folders: list[str]) -> None:
 
 def base_and_deltas(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Both by column name; columns that a file lacks are null."""
-    base = observations(spark, root)
+    return observations(spark, root), deltas(spark, root)
+
+
+def deltas(spark: SparkSession, root: str) -> DataFrame:
+    """All staged deltas."""
     if not exists(spark, f"{root}/deltas"):
-        return base, spark.createDataFrame([], schema.struct(schema.DELTA))
-    deltas = spark.read.schema(schema.struct(schema.DELTA)).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/deltas")
-    return base, deltas
+        return spark.createDataFrame([], schema.struct(schema.DELTA))
+    return spark.read.schema(schema.struct(schema.DELTA)).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/deltas")
+
+
+def none(spark: SparkSession) -> DataFrame:
+    """Observations without rows."""
+    return spark.createDataFrame([], schema.observations())
 
 
 def layout(spark: SparkSession, path: str) -> DataFrame:
     """period, start_year, end_year of a JSON document with an array `periods`.
 
-    Read as a file, so that a semi-join with it prunes partitions at run time.
+    Read as a file, so that a semi-join with it prunes partitions at run time. The
+    layout.json of an archive whose versions have changed it is the newest one's.
     """
+    if path.endswith("/layout.json"):
+        path = versions.layout_path(spark, path.removesuffix("/layout.json"))
     doc = schema.struct(f"version int, periods array<struct<{schema.LAYOUT.replace(' string', ':string').replace(' int', ':int')}>>")
     return spark.read.schema(doc).option("multiLine", True).json(path).select(F.explode("periods").alias("p")).select("p.*")
 
@@ -63,12 +78,19 @@ def dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """A row a file, by path; of an archive with versions the newest one's list."""
+    if versions.versioned(spark, root):
+        return versions.listed(spark, root).select(*[c.split()[0] for c in schema.MANIFEST.split(", ")])
     return spark.read.schema(schema.struct(schema.MANIFEST)).parquet(f"{root}/_manifest")
 
 
 def state(spark: SparkSession, root: str) -> DataFrame:
-    """The merged state of all writers."""
-    return merge_marks(spark.read.schema(schema.struct(schema.STATE)).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/_state"))
+    """The merged state of all writers, of each the newest that is published."""
+    folders = [str(f.getPath().toString()) for f in versions.children(spark, f"{root}/_state") if f.isDirectory()]
+    newest = [(f, versions.latest(spark, f)) for f in folders]
+    paths = [f if n is None else f"{f}/{versions.describe(spark, f, n)['list']}" for f, n in newest]
+    read = spark.read.schema(schema.struct(schema.STATE)).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return merge_marks(read.parquet(*paths) if paths else spark.createDataFrame([], schema.struct(schema.STATE)))
 
 
 def union_all(tables: list[DataFrame], spark: SparkSession | None = None, ddl: str | None = None) -> DataFrame:

@@ -16,7 +16,10 @@ from .. import schema
 from ..operators.layout import with_period
 from ..operators.merge import latest
 from ..operators.state import fold_attempts
+from ..sources.tables import delete
 
+#: Generations that are kept of a period, and of state.
+KEPT = 2
 STATE = "station_id long, watermark timestamp_ntz, last_attempt_at timestamp_ntz, last_success_at timestamp_ntz, rows_fetched_total bigint, consecutive_failures int, last_error string"
 ATTEMPTS = "station_id long, at timestamp_ntz, status string, max_time timestamp_ntz, rows long, error string"
 
@@ -53,6 +56,37 @@ def merged_rows(spark: SparkSession, out: str) -> DataFrame:
     return _read(spark, out, list(_newest_folders(spark, out).values()))
 
 
+def drop_superseded(spark: SparkSession, out: str, before: int, keep: int = KEPT) -> None:
+    """Delete what batches before this one have superseded: of each period all but its newest `keep` whole generations.
+
+    A batch is not run again once the next has begun, so none of these is read by
+    a batch any more; `keep` above one is for readers that began earlier.
+    """
+    whole = {g for g in _generations(spark, out) if g < before}
+    of_period: dict[str, list[tuple[int, str]]] = {}
+    for folder in _matching(spark, f"{out}/generation=*/period=*"):
+        found = re.search(r"generation=(\d+)/period=([^/]+)$", folder)
+        if int(found[1]) in whole:
+            of_period.setdefault(found[2], []).append((int(found[1]), folder))
+    needed = set()
+    for generations in of_period.values():
+        needed |= {g for g, _ in sorted(generations)[-keep:]}
+        delete(spark, [folder for _, folder in sorted(generations)[:-keep]])
+    if of_period:
+        delete(spark, [f"{out}/generation={g:09d}" for g in whole - needed])
+
+
+def fold_batch(batch: DataFrame, number: int, out: str, layout: DataFrame | None = None) -> None:
+    """Fold a batch of deltas into the table below out, as its generation `number`."""
+    own = batch.sparkSession
+    drop_superseded(own, out, number)
+    placed = with_period(batch, layout) if layout is not None else batch.withColumn("period", F.year("obs_time").cast("string"))
+    touched = [r.period for r in placed.select("period").distinct().collect()]  # labels
+    known = _newest_folders(own, out, number)
+    rows = placed.unionByName(_read(own, out, [known[p] for p in touched if p in known]))
+    latest(rows, [*schema.KEYS, "period"]).write.mode("overwrite").partitionBy("period").parquet(f"{out}/generation={number:09d}")
+
+
 def merge_stream(spark: SparkSession, deltas: str, out: str, checkpoint: str, layout: DataFrame | None = None, files_a_batch: int = 4) -> DataFrame:
     """Fold all delta files that have landed below `deltas` into the table below `out`; the table as it is then.
 
@@ -62,12 +96,7 @@ def merge_stream(spark: SparkSession, deltas: str, out: str, checkpoint: str, la
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        own = batch.sparkSession
-        placed = with_period(batch, layout) if layout is not None else batch.withColumn("period", F.year("obs_time").cast("string"))
-        touched = [r.period for r in placed.select("period").distinct().collect()]  # labels
-        known = _newest_folders(own, out, number)
-        rows = placed.unionByName(_read(own, out, [known[p] for p in touched if p in known]))
-        latest(rows, [*schema.KEYS, "period"]).write.mode("overwrite").partitionBy("period").parquet(f"{out}/generation={number:09d}")
+        fold_batch(batch, number, out, layout)
 
     stream = spark.readStream.schema(schema.struct(schema.DELTA)).option("maxFilesPerTrigger", files_a_batch).parquet(deltas)
     stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
@@ -89,6 +118,8 @@ def run_state_stream(spark: SparkSession, attempts: str, out: str, checkpoint: s
     """
 
     def fold(batch: DataFrame, number: int) -> None:
+        old = [g for g in _generations(batch.sparkSession, out) if g < number][:-KEPT]
+        delete(batch.sparkSession, [f"{out}/generation={g:09d}" for g in old])
         state = station_states(batch.sparkSession, out, number)
         fold_attempts(state, batch).write.mode("overwrite").parquet(f"{out}/generation={number:09d}")
 
