@@ -190,18 +190,22 @@ def _same(a, b) -> bool:
 def digests(formatted: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     """What the formatted conversations say, read back from them: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid.
 
-    The parts of a conversation follow each other, as format_conversations gives them.
+    Rows may come in any order: they are dealt out by conversation and sorted by
+    part. A conversation that lacks a part, or has one twice, is an error.
     """
     kind = formatted.schema["conv_id"].dataType.simpleString()
     types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
 
     def read(batches):
-        n_turns = loss_chars = chars = 0
-        said, learned = hashlib.sha256(), hashlib.sha256()
+        n_turns = loss_chars = chars = due = 0
+        said, learned, of = hashlib.sha256(), hashlib.sha256(), None
         for batch in text_batches(batches, "formatted"):
             rows = []
-            for id, text, spans, last, valid in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_spans", "last", "valid")), strict=True):
+            for id, part, text, spans, last, valid in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "part", "formatted", "loss_spans", "last", "valid")), strict=True):
+                if part != due or (due and not _same(of, id)):
+                    raise ValueError(f"conversation {of if due else id} has no part {due}, or one part twice")
+                of, due = id, 0 if last else due + 1
                 for role, turn in parse(text, template):
                     n_turns += 1
                     said.update(f"{role}\n{turn}\n".encode())
@@ -216,7 +220,10 @@ def digests(formatted: DataFrame, template: Template = TEMPLATE) -> DataFrame:
                     said, learned = hashlib.sha256(), hashlib.sha256()
             columns = [pa.array([r[k + 1] for r in rows], t) for k, t in enumerate(types)]
             yield pa.record_batch([pa.array([r[0] for r in rows], batch.schema.field("conv_id").type), *columns], names)
+        if due:
+            raise ValueError(f"conversation {of} has no last part")
 
-    return formatted.select("conv_id", "formatted", "loss_spans", "last", "valid").mapInArrow(
+    ordered = formatted.select("conv_id", "part", "formatted", "loss_spans", "last", "valid").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return ordered.mapInArrow(
         read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )

@@ -115,6 +115,11 @@ def bits_between(x: bytes, y: bytes) -> int:
     return (big ^ int.from_bytes(y, "big")).bit_count()
 
 
+def _set_name(both: np.ndarray) -> bytes:
+    """128 bits of a set, from all 128 of each of its shingles."""
+    return hashlib.blake2b(both.tobytes(), digest_size=16).digest()
+
+
 def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, digest, n, fp, matches, bitmap, prefix of every row of docs (doc_id, text, digest).
 
@@ -128,7 +133,8 @@ def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple[np.nda
         known, counts = table.value
         for batch in text_batches(batches, "text"):
             rows = []
-            for own in shingle_sets(batch.column("text"), words):
+            for both in shingle_sets(batch.column("text"), words, 2):
+                own = both[0]
                 n = len(own)
                 if not n:
                     rows.append((0, None, 0, None, own))
@@ -143,7 +149,7 @@ def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple[np.nda
                     ordered, frequency = own, np.ones(n)
                 needed = -(-percent * n // 100)
                 matches = matches_asked(frequency, needed, percent)
-                rows.append((n, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), matches, parity_bitmap(own), ordered[: n - needed + matches]))
+                rows.append((n, _set_name(both), matches, parity_bitmap(own), ordered[: n - needed + matches]))
             values = np.concatenate([r[4] for r in rows]).view(np.int64)
             offsets = np.concatenate(([0], np.cumsum([len(r[4]) for r in rows]))).astype(np.int32)
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.int32(), pa.binary()))]
@@ -276,7 +282,7 @@ def _postings(classes: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """cid, set (bytes of sorted shingles) of the classes wanted (cid, fp, doc_id), from their documents' texts.
+    """cid, set (bytes of sorted shingles, then of each one's second lane) of the classes wanted (cid, fp, doc_id), from their documents' texts.
 
     The texts are not shuffled: a filter of the wanted ids' hashes picks them where
     they are read. Where that would be too large, a join picks them.
@@ -291,26 +297,32 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in text_batches(batches, "text"):
             if picked:
                 batch = batch.filter(pa.array(picked.value(batch.column("key").to_numpy())))
-            sets = [s for s in shingle_sets(batch.column("text"), words) if len(s)]
+            sets = [s for s in shingle_sets(batch.column("text"), words, 2) if s.shape[1]]
             if sets:
-                yield pa.record_batch([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "set"])
+                yield pa.record_batch([pa.array(list(map(_set_name, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "set"])
 
     found = own.mapInArrow(read, "fp binary, set binary")
     # equal sets met under several ids are one; dealt out by fp once for that and for the join
     return found.groupBy("fp").agg(F.min("set").alias("set")).join(wanted.select("fp", "cid"), "fp").select("cid", "set")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets (2 x n, both lanes) are a link; a shingle is shared if both its lanes are."""
+    first = np.concatenate((x[0], y[0]))
+    order = np.argsort(first, kind="stable")
+    first, second = first[order], np.concatenate((x[1], y[1]))[order]
+    shared = int(((first[1:] == first[:-1]) & (second[1:] == second[:-1])).sum())
+    return 100 * shared >= percent * (x.shape[1] + y.shape[1] - shared)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links."""
+    """The pairs (a, b) that are links, by 128 bits of each shingle."""
 
     def check(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate((x, y)), kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                keep.append(_similar(*(np.frombuffer(s.as_buffer(), np.uint64).reshape(2, -1) for s in (x, y)), percent))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("y")), "b")

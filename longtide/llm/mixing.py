@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .rows import others
 from .storage import materialise
 from .words import SPACE, WORD
 
@@ -71,15 +72,16 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, bucke
 
     taken counts the words that the mix takes of the row, repeats counted:
     floor(target / source_size) whole passes and what the cut leaves of the last
-    one, so a source's taken words add up to floor(target). Ties of key and
-    doc_id (repeated rows, null doc_ids) are ordered by row.
+    one, so a source's taken words add up to floor(target). Rows of one doc_id
+    are ordered by tie, where sizes has it (a hash of the text), then by size and row; rows without doc_id have their key from it,
+    so that they are not all one bucket.
     """
-    sizes = materialise(sizes, "sizes")
+    sizes = materialise(sizes if "tie" in sizes.columns else sizes.withColumn("tie", F.lit(0).cast("long")), "sizes")
     targets = materialise(source_targets(sizes, weights, max_epochs), "targets")
     uniform = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     per_bucket = F.greatest(F.lit(float(bucket_rows)), 4 * F.sqrt("rows"))
     keyed = (
-        sizes.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+        sizes.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("tie"), F.col("tie").cast("string"))).cast("binary")))
         .join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
         .drop("of")
         .withColumn("bucket", F.floor(uniform * F.ceil(F.col("rows") / per_bucket)).cast("long"))
@@ -87,7 +89,7 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, bucke
     sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = materialise(sums.select(F.col("source").alias("of"), F.col("bucket").alias("nr"), F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset")), "bucket-sums")
-    inside = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "row").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "tie", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     placed = keyed.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         sums, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("nr"))
     )
@@ -100,7 +102,7 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, bucke
 
 
 def document_sizes(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "source") -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("tie"))
 
 
 def mix_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "source", n_chars: str = "n_chars", **options) -> DataFrame:
@@ -112,10 +114,9 @@ def mix_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", sourc
     not taken. Columns may have any name and type.
     """
     named = {text: "text", id: "id", source: "source"}
-    rest = F.struct(F.lit(0).alias("any"), *[F.col(f"`{c}`") for c in docs.columns if c not in named]).alias("doc")
-    own = docs.select(rest, *[F.col(f"`{c}`").alias(n) for c, n in named.items()], word_count(F.col(text)).alias("size"))
+    own = docs.select(others(docs, named), *[F.col(f"`{c}`").alias(n) for c, n in named.items()], word_count(F.col(text)).alias("size"))
     own = materialise(own.withColumn("row", F.monotonically_increasing_id()), "rows")
-    mixed = mix(own.select("row", F.col("id").alias("doc_id"), "source", "size"), **options)
+    mixed = mix(own.select("row", F.col("id").alias("doc_id"), "source", "size", F.xxhash64("text").alias("tie")), **options)
     taken = mixed.where("taken > 0").select("row", "taken")
     copies = own.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
     left = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))

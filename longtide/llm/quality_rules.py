@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import whole
+from .rows import others, whole
 from .storage import materialise
 from .words import WORD
 
@@ -99,19 +99,18 @@ def host_verdicts(flagged: DataFrame, host: str = "source", max_rate: float = MA
     return hosts.select("host", "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk <= max_rate).alias("host_kept"))
 
 
-def judged(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE, keep_text: bool = True) -> DataFrame:
     """base_rules(docs) with host_rate and kept: the document passes its own rules and its host is kept.
 
-    docs and its measures are written once; text is parsed once. Columns of these
-    names in docs are replaced.
+    docs and its measures are written once, without the text unless keep_text;
+    text is parsed once. Columns of these names in docs are replaced.
     """
     own = docs.drop("host_rate", "kept", *MEASURES)
-    keep = [c for c in own.columns if c not in (text, host)]
-    flagged = own.select(F.struct(F.lit(0).alias("any"), *[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(text).alias("text"), F.col(host).alias("host"))
-    flagged = materialise(base_rules(flagged), "measured")
+    flagged = base_rules(own.select(others(own, (text, host)), F.col(text).alias("text"), F.col(host).alias("host")))
+    flagged = materialise(flagged if keep_text else flagged.drop("text"), "measured")
     hosts = host_verdicts(flagged.select("host", "base_failed"), "host", max_rate).select(F.col("host").alias("of"), "host_rate", "host_kept")
     out = flagged.join(hosts, flagged["host"].eqNullSafe(hosts["of"]), "left")
-    columns = [F.col("text").alias(c) if c == text else F.col("host").alias(c) if c == host else F.col("doc")[c].alias(c) for c in own.columns]
+    columns = [F.col("text").alias(c) if c == text else F.col("host").alias(c) if c == host else F.col("doc")[c].alias(c) for c in own.columns if keep_text or c != text]
     return out.select(*columns, *MEASURES, "host_rate", (~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).alias("kept"))
 
 

@@ -42,7 +42,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return quality_rules.judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.judged(docs, keep_text=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

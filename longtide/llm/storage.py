@@ -3,16 +3,71 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders of tables that are written and not yet deleted, in order, and the folder that a frame reads.
-_written: list[str] = []
+
+class Scope:
+    """The folders of tables that some work has written and not yet deleted, in order.
+
+    Each thread works in a scope of its own, or in the one that it has entered.
+    Nothing that works in one scope deletes the folders of another. Leaving a
+    scope deletes nothing, as results may still read its tables; close does.
+    """
+
+    def __init__(self):
+        self.folders: list[str] = []
+
+    def __enter__(self) -> Scope:
+        _entered().append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _entered().pop()
+
+    def path(self, spark: SparkSession, name: str) -> str:
+        """A new folder."""
+        path = f"{shared_dir(spark)}/longtide/{name}-{uuid.uuid4().hex}"
+        self.folders.append(path)
+        return path
+
+    def delete(self, spark: SparkSession, folder: str) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.folders.remove(folder)
+
+    def delete_unread(self, docs: DataFrame) -> None:
+        """Delete the folders that docs does not read."""
+        read = docs.inputFiles() if self.folders else []
+        for folder in [*self.folders]:
+            if not any(folder.rsplit("/", 1)[1] in f for f in read):
+                self.delete(docs.sparkSession, folder)
+
+    def close(self, spark: SparkSession) -> None:
+        """Delete all of them; results that read them can't be used any more."""
+        for folder in [*self.folders]:
+            self.delete(spark, folder)
+
+
+_threads = threading.local()
+#: The folder that a frame reads.
 _folder_of: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
+def _entered() -> list[Scope]:
+    if not hasattr(_threads, "scopes"):
+        _threads.scopes = [Scope()]
+    return _threads.scopes
+
+
+def scope() -> Scope:
+    """The one that this thread works in."""
+    return _entered()[-1]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir.
 
@@ -30,9 +85,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/longtide/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    return path
+    return scope().path(spark, name)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -49,40 +102,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    _written.remove(folder)
-
-
 def discard(*tables: DataFrame) -> None:
-    """Delete the files of materialised tables that nothing reads any more."""
+    """Delete the files of tables that this scope has materialised and nothing reads any more."""
+    own = scope()
     for df in tables:
-        if (folder := _folder_of.get(df)) in _written:
-            _delete(df.sparkSession, folder)
+        if (folder := _folder_of.get(df)) in own.folders:
+            own.delete(df.sparkSession, folder)
 
 
 def mark() -> frozenset[str]:
-    """The folders that are there now, for the two below."""
-    return frozenset(_written)
-
-
-def written_since(point: frozenset[str]) -> list[str]:
-    return [folder for folder in _written if folder not in point]
+    """The scope's folders that are there now, for discard_since."""
+    return frozenset(scope().folders)
 
 
 def discard_since(spark: SparkSession, point: frozenset[str], *keep: DataFrame) -> None:
-    """Delete all tables written since that point but those to keep."""
-    kept = {_folder_of.get(df) for df in keep}
-    for folder in written_since(point):
+    """Delete all tables that the scope has written since that point but those to keep."""
+    own, kept = scope(), {_folder_of.get(df) for df in keep}
+    for folder in [f for f in own.folders if f not in point]:
         if folder not in kept:
-            _delete(spark, folder)
-
-
-def discard_unread(docs: DataFrame, folders: list[str]) -> None:
-    """Delete those of the folders that docs does not read."""
-    still = [folder for folder in folders if folder in _written]
-    read = docs.inputFiles() if still else []
-    for folder in still:
-        if not any(folder.rsplit("/", 1)[1] in f for f in read):
-            _delete(docs.sparkSession, folder)
+            own.delete(spark, folder)

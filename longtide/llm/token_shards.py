@@ -44,12 +44,16 @@ SHARD_BYTES = 256 << 20
 SLICE_BYTES = 2 << 20
 BITS_A_KEY, PROBES = 10, 7
 MAGIC = b"LTS2"
+#: What the format has room for; longer ids are an error.
+MOST_KEY_BYTES = 65_000
 _ENTRY, _INDEX, _FOOTER = struct.Struct("<HHI"), struct.Struct("<QIQ"), struct.Struct("<QIQIQQI4s")
 
 
 def encode_key(doc_id: int | str | None) -> bytes:
     if doc_id is None:
         return b"\x00"
+    if isinstance(doc_id, str) and len(doc_id.encode()) > MOST_KEY_BYTES:
+        raise ValueError(f"ids of more than {MOST_KEY_BYTES} bytes can't be keys")
     return b"\x02" + doc_id.encode() if isinstance(doc_id, str) else b"\x01" + (doc_id + (1 << 63)).to_bytes(8, "big")
 
 
@@ -202,7 +206,8 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", id: str = "do
     The rows are range-partitioned by id, sorted and encoded where they are
     written. Rows of one doc_id stay side by side; null texts are empty and have
     the end id alone; null doc_ids come first; an empty table writes nothing. Ids
-    that are no integers are taken as text. Vocabularies of up to 65,536 ids
+    that are no integers are taken as text, of 65,000 bytes at most. Rows of one id are in order of a
+    hash of their texts and may lie in several shards. Vocabularies of up to 65,536 ids
     take two bytes an id, others four. Evaluating the result writes the files.
     """
     path = tokenizer_path(tokenizer)
@@ -210,7 +215,8 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", id: str = "do
     parts = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.col("doc_id").asc_nulls_first()
     own = docs.select(F.col(id).cast(_key_type(docs, id)).alias("doc_id"), F.col(text).alias("text"))
-    ordered = own.repartitionByRange(parts, first).sortWithinPartitions(first, "text")
+    # a hash of the text parts the rows of an id that very many rows have, as null may be
+    ordered = own.repartitionByRange(parts, first, F.xxhash64("text")).sortWithinPartitions(first, F.xxhash64("text"), "text")
 
     def documents(batches):
         """(doc_id, bytes of its ids with the end id) in order."""

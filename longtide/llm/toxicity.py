@@ -99,11 +99,12 @@ def train(rows: DataFrame, n_rows: int, bits: int = BITS, passes: int = PASSES)
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": at, "w": w[at]})
 
+    kind = rows.schema["doc_id"].dataType.simpleString()
     shards = max(1, -(-n_rows // SHARD_ROWS))
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards))
     found = (
         rows.select("doc_id", "label", "text")
-        .mapInArrow(vectorise, "doc_id long, label int, x binary")
+        .mapInArrow(vectorise, f"doc_id {kind}, label int, x binary")
         .withColumns({"shard": shard, "order": F.xxhash64("doc_id", F.lit("order"))})
         .groupBy("shard")
         .applyInPandas(fit, "at long, w double")
@@ -134,15 +135,28 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", id: str = "d
     return docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(apply, f"doc_id {kind}, score double")
 
 
+def training_rows_of(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """doc_id, text, label of at most `most` rows of docs (doc_id, text) with these ids, at most half of them of each label.
+
+    Equal rows are one. Where an id has several texts they are taken in hash
+    order, so that copies of some ids can't outgrow the bound.
+    """
+    keyed = docs.join(F.broadcast(ids), "doc_id").withColumn("digest", F.xxhash64("text"))  # no more ids than rows
+    keys = keyed.select("doc_id", "digest", "label").distinct()
+    parts = [keys.where(F.col("label") == k).orderBy(F.xxhash64("doc_id", "digest"), "doc_id", "digest").limit(most // 2) for k in (0, 1)]
+    chosen = materialise(parts[0].unionByName(parts[1]), "training-rows")
+    return keyed.join(F.broadcast(chosen), ["doc_id", "digest", "label"]).groupBy("doc_id", "digest", "label").agg(F.min("text").alias("text")).drop("digest")
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, held, label: str = "toxic", threshold: float = THRESHOLD, text: str = "text", id: str = "doc_id", training_rows: int = TRAINING_ROWS) -> DataFrame:
     """doc_id, score, predicted (score >= threshold) of every row of docs; labelled ids where held is true are not learned from.
 
-    Repeated rows are scored alike. An empty table of labels gives 0.5 to all.
+    At most training_rows rows are learned from, half of each label, whatever
+    copies ids have. Ids may be of any type that has an order. Repeated rows are scored alike. An empty table of labels gives 0.5 to all.
     """
     ids = materialise(training_labels(labels, label, held, training_rows), "training-ids")
     taken = {r.label: r["count"] for r in ids.groupBy("label").count().collect()}
-    # at most training_rows ids
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), "doc_id")
+    rows = training_rows_of(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), ids, training_rows)
     weights = train(rows, sum(taken.values()))
     if len(taken) == 2:
         # the two labels were not sampled at one rate: the bias goes back to their true odds

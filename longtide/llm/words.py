@@ -1,8 +1,9 @@
 """Words and word shingles of whole batches of texts, on their UTF-8 bytes.
 
 A word is a run of bytes other than space and 0x09-0x0D, which is the same as
-the character class [^\\x20\\x09-\\x0D]+ since those are all ASCII. Hashes are
-64-bit: a polynomial over the bytes, then a mixing step.
+the character class [^\\x20\\x09-\\x0D]+ since those are all ASCII. Words are
+numbered exactly within a batch and named by a keyed cryptographic hash of each
+distinct one; features have hashes of their own, a polynomial over the bytes.
 """
 
 from __future__ import annotations
@@ -115,17 +116,37 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
-def shingle_sets(texts: pa.Array | pa.ChunkedArray, k: int) -> list[np.ndarray]:
-    """For each text its sorted distinct k-word shingles; with fewer words the whole sequence is one."""
+def chained(named: np.ndarray, k: int) -> np.ndarray:
+    """Shingles of k names in a row, mixed at every step, so that sums of names don't make equal ones."""
+    if len(named) < k:
+        return np.zeros(0, np.uint64)
+    out = np.full(len(named) - k + 1, k, np.uint64)
+    for i in range(k):
+        out = mix(out * np.uint64(_BASE) + named[i : len(named) - k + 1 + i])
+    return out
+
+
+def shingle_sets(texts: pa.Array | pa.ChunkedArray, k: int, lanes: int = 1) -> list[np.ndarray]:
+    """For each text its sorted distinct k-word shingles; with fewer words the whole sequence is one.
+
+    A shingle is made of its words' names. With two lanes each set is 2 x n: the shingles, and under each another
+    64 bits of it by independent names.
+    """
     data, offsets = packed(texts)
     words = Words(data, offsets)
-    hashes = words.hashes()
-    every = windows(hashes, k)
+    codes, distinct = words.coded()
+    named = [names(distinct, lane)[codes] for lane in range(lanes)]
+    every = [chained(n, k) for n in named]
     out = []
     for a, b in zip(words.firsts[:-1].tolist(), words.firsts[1:].tolist(), strict=True):
         if b - a >= k:
-            own = np.sort(every[a : b - k + 1])
-            out.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
+            own = [e[a : b - k + 1] for e in every]
+        else:
+            own = [chained(n[a:b], b - a) if b > a else np.zeros(0, np.uint64) for n in named]
+        if lanes == 1:
+            first = np.sort(own[0])
+            out.append(first[np.concatenate(([True], first[1:] != first[:-1]))] if len(first) else first)
         else:
-            out.append(windows(hashes[a:b], b - a) if b > a else np.zeros(0, np.uint64))
+            first, at = np.unique(own[0], return_index=True)
+            out.append(np.stack([first, *(x[at] for x in own[1:])]))
     return out

@@ -660,3 +660,78 @@ def test_features_of_toxicity_are_words_pairs_skips_and_stems():
     of = lambda t: set(toxicity.features(pa.array([t]))[0].tolist())
     assert len(of("ab cd ef")) == 3 + 2 + 1 + 2 * 3 and of("AB, cd! ef") == of("ab cd ef") and not of(" .. ")
     assert len(of("ab cd ef") & of("cd ef gh")) == 2 + 1 + 2 * 2
+
+
+def test_words_whose_plain_hashes_collide(spark):
+    """Texts of one word or few that share nothing, though polynomials over their bytes are equal."""
+    thue = "".join("ab"[i.bit_count() & 1] for i in range(2048))
+    morse = thue.translate(str.maketrans("ab", "ba"))
+    texts = [thue, morse, f"x y z {thue} x y z {morse}", f"p q {thue} r s", f"p q {morse} r s"]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id int, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_groups(docs, words=4, percent=85).collect()} == {1: (1, 1), 2: (1, 2), 3: (5, 3), 4: (2, 4), 5: (2, 5)}
+    links, members = jaccard_join.near_links(docs)
+    assert links.count() == 0 and not any(r.n_links for r in members.collect())
+    assert jaccard_join.near_dedup(docs).count() == 5
+
+
+def test_a_shared_shingle_is_shared_in_both_lanes():
+    x = np.array([[1, 2, 3], [7, 8, 9]], np.uint64)
+    assert jaccard_join._similar(x, x, 100) and not jaccard_join._similar(x, np.array([[1, 2, 3], [7, 8, 1]], np.uint64), 80)
+    assert jaccard_join._similar(x, np.array([[1, 2, 3], [7, 8, 1]], np.uint64), 50)
+
+
+def test_chat_parts_in_any_order(spark):
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c} said {t} " * 40) for c in (1, 2, None) for t in range(40)]
+    formatted = chat_format.format_conversations(spark.createDataFrame(turns, "conv_id int, turn int, role string, text string"), part_chars=2000)
+    want = sorted(map(str, chat_format.digests(formatted).collect()))
+    assert len(want) == 3 and formatted.count() > 12
+    for other in (formatted.repartition(4, "part"), formatted.orderBy("formatted"), formatted.orderBy(F.desc("part")).coalesce(1)):
+        assert sorted(map(str, chat_format.digests(other).collect())) == want
+    for bad in (formatted.where("part <> 1 or conv_id = 1"), formatted.where("not last"), formatted.union(formatted.where("part = 2"))):
+        with pytest.raises(Exception, match="no part|no last part"):
+            chat_format.digests(bad).collect()
+
+
+def test_toxicity_of_text_ids_and_copies(spark):
+    """Ids that are text, and an id of very many rows: no more are learned from than the bound says."""
+    words = ["calm", "kind", "vile", "rude"]
+    rows = [(f"d{i}", " ".join([words[2 * (i % 2)], words[2 * (i % 2) + 1]] * 3)) for i in range(40)]
+    rows += [("d0", f"calm kind {i}") for i in range(300)] + [("d1", rows[1][1])] * 300 + [(None, "vile rude")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(40)], "doc_id string, toxic int")
+    ids = toxicity.training_labels(labels, "toxic", F.lit(False), 100)
+    taken = toxicity.training_rows_of(docs, ids, 100).collect()
+    assert len(taken) == 70 and sum(r.label for r in taken) == 20 and len({(r.doc_id, r.text) for r in taken}) == 70
+    scored = toxicity.toxicity(docs, labels, F.lit(False)).collect()
+    assert len(scored) == len(rows) and {r.doc_id: r.predicted for r in scored if r.doc_id not in ("d0", None)} == {f"d{i}": i % 2 for i in range(1, 40)}
+
+
+def test_columns_of_any_name(spark):
+    """Names that could be an operator's own."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", "x", 5, 6, 7), (2, "l m", None, 5, 6, 7)], "doc_id int, text string, source string, any int, first int, _ int")
+    assert quality_rules.judged(docs).columns[:6] == docs.columns and quality_rules.judged(docs).count() == 2
+    assert "text" not in quality_rules.judged(docs, keep_text=False).columns and quality_rules.judged(docs, keep_text=False).where("any = 5").count() == 2
+    assert mixing.mix_documents(docs).columns == docs.columns and mixing.mix_documents(docs).count() >= 2
+
+
+def test_rows_without_id_are_spread(spark):
+    """Mixing: keys of rows without doc_id follow their texts, and reruns agree however the rows are dealt out."""
+    docs = spark.createDataFrame([(None, f"w{i} " * (1 + i % 7), "s") for i in range(400)] + [(7, "same id " * (1 + i), "t") for i in range(5)], "doc_id int, text string, source string")
+    runs = [sorted((str(r.doc_id), r.size, r.taken) for r in mixing.mix(mixing.document_sizes(docs.repartition(n)), bucket_rows=20).collect()) for n in (1, 5)]
+    assert runs[0] == runs[1]
+    for source in ("s", "t"):
+        own = mixing.mix(mixing.document_sizes(docs)).where(F.col("source") == source)
+        assert own.agg(F.sum("taken")).first()[0] == int(own.first().target)
+
+
+def test_shards_of_one_id(spark, tmp_path):
+    """Rows without id, or of one id, are not one task's."""
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(300)] + [(5, f"five {i}") for i in range(300)] + [(6, "six")], "doc_id int, text string")
+    written = token_shards.write_shards(docs, f"file://{tmp_path}/shards", shards=8).collect()
+    assert len(written) >= 6 and max(r.documents for r in written) < 300 and sum(r.documents for r in written) == 601
+    found = token_shards.round_trip(docs).collect()
+    assert len(found) == 601 and [r.doc_id for r in sorted(found, key=lambda r: r.start)] == [None] * 300 + [5] * 300 + [6]
+    starts = sorted((r.start, r.n_tokens) for r in found)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+    with pytest.raises(Exception, match="can't be keys"):
+        token_shards.write_shards(spark.createDataFrame([("k" * 70_000, "x")], "doc_id string, text string"), f"file://{tmp_path}/long").collect()
