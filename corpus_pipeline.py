@@ -8,26 +8,30 @@ the ids of its n best segmentations and its decoded text's hash.
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from longtide.llm import exact_dedup, jaccard_join, mixing, nbest_pieces, quality_rules
-from longtide.llm.storage import discard_unread, mark, scratch_path, written_since
+from longtide.llm.storage import Scope
 
-#: Folders of the tables that stages wrote beside their results.
-_left_over: list[str] = []
+_thread = threading.local()
 
 
 def _stage(f):
-    """A stage that first deletes what the stages before it left over, but for what its docs still read."""
+    """A stage that first deletes what the stages before it in its run left over, but for what its docs still read.
+
+    The first stage begins a run, with tables of its own; the others go on in the
+    run that their thread has begun last. No run deletes another's tables.
+    """
 
     @functools.wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard_unread(docs, _left_over)
-        before = mark()
-        out = f(spark, docs, sf_dir)
-        _left_over[:] = [*_left_over, *written_since(before)]
-        return out
+        if f.__name__ == "rules" or not hasattr(_thread, "run"):
+            _thread.run = Scope()
+        _thread.run.delete_unread(docs)
+        with _thread.run:
+            return f(spark, docs, sf_dir)
 
     return run_stage
 
@@ -70,11 +74,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's result, which reads tables of this run; they stay as long as the shared folder does."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        result = stage(spark, docs, sf_dir)
+        # the stage after the next one deletes it
+        path = _thread.run.path(spark, "stage-" + name.replace(" ", "-"))
+        result.write.parquet(path)
         docs = spark.read.parquet(path)
-        # the stage after the next one reads the next one's result
-        _left_over.append(path)
     return STAGES[-1][1](spark, docs, sf_dir)
