@@ -44,6 +44,14 @@ def described(spark: SparkSession, root: str, found: DataFrame, written_at=None)
     return spark.read.schema(schema.struct(versions.LISTED)).parquet(path)
 
 
+def index_stations(spark: SparkSession, root: str, names: list[str], as_: str) -> None:
+    """Write which stations these files have: a bitmap of each file and each 32,768 ids, beside the lists."""
+    rows = versions.read_files(spark, root, names).select("station_id", F.regexp_extract(F.col("_metadata.file_path"), r"/observations/(.+)$", 1).alias("name")) if names else None
+    if rows is not None:
+        bits = rows.where(F.col("station_id").isNotNull()).groupBy("name", F.bitmap_bucket_number("station_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("station_id")).alias("bits"))
+        bits.orderBy("bucket", "name").write.option("compression", "zstd").parquet(f"{root}/_versions/stations/{as_}")
+
+
 def _start(change: versions.Change) -> DataFrame:
     """The files that an operation starts from: the newest version's and those that others have put there, as a table."""
     spark, root = change.spark, change.root
@@ -51,16 +59,29 @@ def _start(change: versions.Change) -> DataFrame:
     return found if change.base is None else versions.listed(spark, root, change.base).unionByName(found)
 
 
+def adopt(spark: SparkSession, root: str) -> int:
+    """Make the files of an archive that has no versions its first one; the newest version's number."""
+    change = versions.Change(spark, root, "adopt")
+    if change.base is None:
+        before = _start(change)
+        index_stations(spark, root, [r.name for r in before.select("name").collect()], f"{change.id}-base")
+        change.adopt(before)
+    return change.base
+
+
 def _finish(change: versions.Change, before: DataFrame, removed: list[str], now, **more) -> None:
     """Place what is staged, check it, publish the version."""
     spark, root = change.spark, change.root
     if change.base is None:
+        index_stations(spark, root, [r.name for r in before.select("name").collect()], f"{change.id}-base")
         change.adopt(before)  # from here on only what a list names is read
     placed = spark.createDataFrame([(n,) for n in change.place()], "name string")
     new = described(spark, root, versions.data_files(spark, root).join(placed, "name", "left_semi"), now)
     bad = [r.name for r in new.where("not in_order").select("name").limit(20).collect()]
     if bad:
         raise ValueError("files with null, repeated or falling keys are not published: " + ", ".join(bad))
+    foreign = [] if not change.base else [r.name for r in before.join(versions.indexed(spark, root).select("name").distinct(), "name", "left_anti").select("name").collect()]
+    index_stations(spark, root, [r.name for r in placed.collect()] + foreign, change.id)
     kept = before.join(spark.createDataFrame([(n,) for n in removed], "name string"), "name", "left_anti")
     change.publish(kept.unionByName(new), removed, **more)
 

@@ -79,6 +79,36 @@ def cadence(rates: DataFrame, rate: float = BYTES_PER_ROW, floor_bytes: float =
     )
 
 
+def planned_sizes(histories: DataFrame, measured: DataFrame, start: int, end: int, measured_rate: float | None = None, ignore_manifest: bool = False) -> DataFrame:
+    """year, bytes that a plan goes by: what is measured, and estimates where nothing is."""
+    known = measured.limit(0) if ignore_manifest else measured
+    return year_bytes(estimated_year_rows(histories, start, end), known, measured_rate)
+
+
+def layout_run(histories: DataFrame, manifest: DataFrame, measured: DataFrame, start: int, end: int, min_bytes: float, ignore_manifest: bool = False, recut: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(plan, report) of an archive with this manifest: a layout that keeps its cuts unless recut, by the bytes a row that its files have.
+
+    report has a row a period that is planned or written: period, planned_bytes,
+    written, orphan. Orphans are written, but no plan has them; rows of their years go to
+    other periods, so they have to be moved.
+    """
+    from .layout import planned_bytes
+    from .manifest import last_data_year
+
+    rate = manifest.agg(F.try_divide(F.sum("file_bytes").cast("double"), F.sum("rows"))).first()[0]  # one number
+    ends = last_data_year(manifest).select("year").where("year is not null")
+    plan = full_plan(histories, measured, start, end, min_bytes, rate, None if ignore_manifest else ends, ignore_manifest, recut)
+    report = layout_report(plan, planned_bytes(plan, planned_sizes(histories, measured, start, end, rate, ignore_manifest)), manifest)
+    return plan, report
+
+
+def layout_report(plan: DataFrame, planned: DataFrame, written: DataFrame) -> DataFrame:
+    """period, planned_bytes, written, orphan of every period that is planned or written (period)."""
+    own = plan.select("period").distinct().withColumn("planned", F.lit(True)).join(planned.select("period", F.col("bytes").alias("planned_bytes")), "period", "left")
+    here = written.select("period").distinct().withColumn("here", F.lit(True))
+    return own.join(here, "period", "full_outer").select("period", "planned_bytes", F.coalesce("here", F.lit(False)).alias("written"), F.col("planned").isNull().alias("orphan"))
+
+
 def full_plan(
     histories: DataFrame, measured: DataFrame, start: int, end: int, min_bytes: float, measured_rate: float | None = None,
     written_ends: DataFrame | None = None, ignore_manifest: bool = False, recut: bool = False,
@@ -90,8 +120,7 @@ def full_plan(
     from .layout import allowed_cuts
 
     spark = histories.sparkSession
-    known = measured.limit(0) if ignore_manifest else measured
-    sizes = year_bytes(estimated_year_rows(histories, start, end), known, measured_rate)
+    sizes = planned_sizes(histories, measured, start, end, measured_rate, ignore_manifest)
     cuts = None if recut or written_ends is None else allowed_cuts(written_ends, end)
     plan = plan_periods(sizes, min_bytes, cut_after=cuts)
     return yearly_layout(spark, start, end).withColumn("bytes", F.lit(0.0)) if plan.isEmpty() else plan

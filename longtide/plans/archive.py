@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import analytics as an
@@ -9,15 +11,16 @@ from ..operators import compaction as cp
 from ..operators import layout as lo
 from ..operators import manifest as mf
 from ..operators import merge as mg
+from ..operators import neighbours as nb
 from ..operators import planning as pl
 from ..operators import state as st
 from ..operators import work as wk
 from ..functions import labels
 from ..schema import KEYS
-from ..sources import files, payloads, sinks, tables
-from ..streaming import fold
+from ..sources import files, payloads, sinks, tables, versions
+from ..streaming import fold, late
 from . import views as v
-from .catalogue import _EST, _FOLD, _STATES, _states, query
+from .catalogue import _EST, _FOLD, _STATES, ORACLE_SQL, _states, payload_contents, query
 from .views import sql
 
 NOW = "2026-01-01 00:00:00"
@@ -222,6 +225,53 @@ def repartition_apply(spark, d):
     return tables.manifest(spark, root).groupBy("period").agg(F.sum("rows").alias("rows"))
 
 
+# versions of files
+
+
+@query(_keyed("SELECT station_id, variable_id, obs_time, value, period FROM keyed WHERE station_id IN (1, 4, 9) AND obs_time >= TIMESTAMP '1996-01-01' AND obs_time < TIMESTAMP '1998-01-01'"))
+def stations_far_apart(spark, d):
+    """By a bitmap of the stations in each file, so that stations between them open no file."""
+    root = _write(spark, d, v.layout(spark, d))
+    cp.adopt(spark, root)
+    return versions.read_stations(spark, root, [1, 4, 9], "1996-01-01", "1998-01-01")
+
+
+@query(_keyed("""SELECT station_id, variable_id, obs_time, value, period FROM (SELECT *, row_number() OVER (PARTITION BY station_id, variable_id, obs_time ORDER BY newer DESC, value DESC) AS r
+    FROM (SELECT station_id, variable_id, obs_time, value, period, 0 AS newer FROM keyed UNION ALL SELECT station_id, variable_id, obs_time, value, l.period, 1 FROM deltas JOIN layout l ON year(obs_time) BETWEEN l.start_year AND l.end_year WHERE station_id = 3)) WHERE r = 1""", "deltas"))
+def compact_files(spark, d):
+    """Deltas of one station: no file is rewritten that does not have its place."""
+    root = _write(spark, d, v.layout(spark, d))
+    cp.adopt(spark, root)
+    holding = set(versions.files_of_stations(spark, root, [2, 3, 4]))
+    before = {r.name for r in versions.listed(spark, root).select("name").collect()}
+    sinks.write_delta(v.deltas(spark, d).where("station_id = 3").select(*KEYS, "value"), f"{root}/deltas", "r1", "2020-01-02 00:00:00")
+    cp.compact_archive(spark, root, tables.layout(spark, f"{root}/layout.json"), **SIZES)
+    replaced = before - {r.name for r in versions.listed(spark, root).select("name").collect()}
+    rows = tables.observations(spark, root)
+    return rows if replaced and replaced <= holding else rows.limit(0)
+
+
+@query(_keyed("""SELECT 1 AS version, period, count(*) AS rows, round(sum(value), 3) AS total FROM keyed GROUP BY period
+    UNION ALL SELECT 2, period, count(*), round(sum(value), 3) FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id, variable_id, obs_time ORDER BY ingested_at DESC, value DESC) AS r
+        FROM (SELECT station_id, variable_id, obs_time, value, period, TIMESTAMP '1970-01-01' AS ingested_at FROM keyed
+              UNION ALL SELECT station_id, variable_id, obs_time, value, l.period, ingested_at FROM runs JOIN layout l ON year(obs_time) BETWEEN l.start_year AND l.end_year)) WHERE r = 1) GROUP BY period""", "deltas", more=_RUNS))
+def read_versions(spark, d):
+    """The rows before a compaction and after it, both read after it."""
+    root = _with_deltas(spark, d)
+    cp.compact_archive(spark, root, tables.layout(spark, f"{root}/layout.json"), keep_versions=2, **SIZES)
+    of = lambda n: versions.observations(spark, root, n).groupBy("period").agg(F.count("*").alias("rows"), F.round(F.sum("value"), 3).alias("total")).select(F.lit(n).alias("version"), "period", "rows", "total")
+    return tables.union_all([of(1), of(2)])
+
+
+@query(sql("SELECT CAST(year(obs_time) AS VARCHAR) AS period, CAST(sum(n - 1) AS BIGINT) AS extra_rows FROM (SELECT station_id, variable_id, obs_time, count(*) AS n FROM obs GROUP BY 1, 2, 3 HAVING count(*) > 1) GROUP BY 1", "obs"))
+def duplicate_keys_in_files(spark, d):
+    """Sorted files whose repeated keys also lie on both sides of their borders."""
+    root = v.scratch(spark, "repeated")
+    rows = v.observations(spark, d).withColumn("period", F.year("obs_time").cast("string"))
+    rows.repartitionByRange(3, "period", *KEYS).sortWithinPartitions("period", *KEYS).write.option("maxRecordsPerFile", 97).partitionBy("period").parquet(f"{root}/observations")
+    return nb.duplicate_keys_in_files(spark, root)
+
+
 # small tables
 
 
@@ -236,14 +286,15 @@ def state_files(spark, d):
     return tables.state(spark, root).select("station_id", "watermark", "last_attempt_at", "rows_fetched_total", "consecutive_failures")
 
 
-@query(sql("SELECT station_id, network_name, native_id, v.name, v.standard_name FROM stations, variables v", "stations", "variables"))
+@query(sql("SELECT 'station' AS kind, CAST(station_id AS INTEGER) AS id, network_name AS of, native_id AS name FROM stations UNION ALL SELECT 'variable', CAST(variable_id AS INTEGER), standard_name, name FROM variables", "stations", "variables"))
 def dimension_files(spark, d):
     """Dimensions written, one with geometry, and read without it."""
     root = v.scratch(spark, "dimensions")
     sinks.write_spatial(v.stations(spark, d), f"{root}/stations")
     sinks.write_dimension(v.variables(spark, d), f"{root}/variables")
-    st_, va = tables.dimension(spark, root, "stations"), tables.dimension(spark, root, "variables")
-    return st_.select("station_id", "network_name", "native_id").crossJoin(F.broadcast(va.select("name", "standard_name")))  # seven variables
+    stations = tables.dimension(spark, root, "stations").select(F.lit("station").alias("kind"), F.col("station_id").alias("id"), F.col("network_name").alias("of"), F.col("native_id").alias("name"))
+    variables = tables.dimension(spark, root, "variables").select(F.lit("variable").alias("kind"), F.col("variable_id").cast("int").alias("id"), F.col("standard_name").alias("of"), "name")
+    return tables.union_all([stations, variables])
 
 
 @query(sql("SELECT station_id, 21 AS bytes, '0101000000' AS head, lon AS xmin, lat AS ymin, lon AS xmax, lat AS ymax FROM stations", "stations"))
@@ -295,6 +346,17 @@ def full_plan(spark, d):
     return pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1e6, 1.06, written_ends=ends)
 
 
+@query(sql("@ SELECT coalesce(l.period, w.period) AS period, CAST(l.bytes AS BIGINT) AS planned_bytes, w.period IS NOT NULL AS written, l.period IS NULL AS orphan FROM layout l FULL OUTER JOIN (SELECT DISTINCT CAST(year(obs_time) AS VARCHAR) AS period FROM obs) w ON l.period = w.period", "histories").replace(" @ ", f", {_PLAN} "))
+def layout_report(spark, d):
+    """What a plan says of an archive whose periods are years: bytes of each period, and labels that it does not have."""
+    measured = pl.measured_year_rows(v.observations(spark, d)).where("year < 1999")
+    ends = spark.createDataFrame([(1996,)], "year int")
+    plan = pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1e6, 1.06, written_ends=ends)
+    planned = lo.planned_bytes(plan, pl.planned_sizes(v.histories(spark, d), measured, 1994, 2003, 1.06))
+    written = v.observations(spark, d).select(F.year("obs_time").cast("string").alias("period"))
+    return pl.layout_report(plan, planned, written)
+
+
 # state that comes in late, and streams
 
 _LATE = f"""late AS (SELECT * FROM attempts WHERE event_id % 4 <> 0), {_FOLD.replace("FROM attempts", "FROM late")},
@@ -325,6 +387,28 @@ def stream_lww(spark, d):
     return fold.merge_stream(spark, f"{root}/deltas", f"{root}/out", f"{root}/checkpoint")
 
 
+@query(sql("""@ SELECT station_id, variable_id, obs_time, value, ingested_at, 'late' AS kind FROM judged WHERE late
+    UNION ALL SELECT station_id, variable_id, obs_time, value, ingested_at, 'merged' FROM (SELECT *, row_number() OVER (PARTITION BY station_id, variable_id, obs_time ORDER BY ingested_at DESC, value DESC) AS r FROM judged WHERE NOT late) WHERE r = 1""", "deltas").replace(" @ ", """, read AS (SELECT *, CAST(epoch(ingested_at) AS BIGINT) % 4 AS k FROM deltas),
+    judged AS (SELECT *, coalesce(ingested_at < max(ingested_at) OVER (PARTITION BY station_id ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 600 SECOND, false) AS late FROM read) """))
+def stream_late(spark, d):
+    """Four batches of deltas; what is older than the window of its station goes to the table of late rows."""
+    root = v.scratch(spark, "stream-late")
+    rows = v.deltas(spark, d).withColumn("k", F.unix_seconds(F.col("ingested_at").cast("timestamp")) % 4)
+    for k in range(4):
+        rows.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(f"{root}/deltas")
+    merged, late_ = late.revision_stream(spark, f"{root}/deltas", f"{root}/out", f"{root}/checkpoint", window=dt.timedelta(seconds=600), files_a_batch=1)
+    return tables.union_all([merged.drop("period").withColumn("kind", F.lit("merged")), late_.withColumn("kind", F.lit("late"))])
+
+
+@query(ORACLE_SQL["csv_payload_job"])
+def payload_files(spark, d):
+    """events as files of wide payloads, one a user, read in short ranges of bytes; users of % 10 = 3 have a broken payload."""
+    root = v.scratch(spark, "landed")
+    payload_contents(spark, d).select("network_name", "native_id", "content").write.partitionBy("network_name", "native_id").text(root)
+    cells, _ = payloads.cells_of_lines(payloads.read_payload_lines(spark, root, "*.txt", range_bytes=1000))
+    return cells.where(F.col("value").isNotNull()).select(F.col("native_id").cast("int").alias("station_id"), "name", "obs_time", "value")
+
+
 @query(sql("SELECT station_id, watermark, last_attempt_at, last_success_at, rows_fetched_total, consecutive_failures, CASE WHEN consecutive_failures > 0 THEN error END AS last_error FROM folded", "attempts").replace(" SELECT station_id, watermark, last", f", {_FOLD} SELECT station_id, watermark, last", 1))
 def stream_state(spark, d):
     """Files that land one after the other, in the order in which attempts are made: a file a week and a file a batch."""

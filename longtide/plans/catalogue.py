@@ -129,19 +129,23 @@ def null_tokens(spark, d):
     return cells.groupBy("event_type").agg(F.count("*").alias("cells"), F.count("v").alias("numbers"), F.sum("v").alias("total"))
 
 
-@query("SELECT CAST(user_id AS INTEGER) AS station_id, event_type AS name, date_trunc('second', ts)::TIMESTAMP AS obs_time, max(value) AS value FROM events WHERE user_id % 10 <> 3 GROUP BY 1, 2, 3")
-def csv_payload_job(spark, d):
-    """events as wide payloads, one a user, read back into long rows; users of % 10 = 3 have a broken payload."""
+def payload_contents(spark, d):
+    """events as wide payloads, one a user; users of % 10 = 3 have a broken one."""
     e = v.table(spark, d, "events").select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t"), "value")
     kinds = [r.event_type for r in e.select("event_type").distinct().orderBy("event_type").collect()]  # the event types, five
     wide = e.groupBy("user_id", "t").pivot("event_type", kinds).agg(F.max("value"))
     line = F.concat_ws(", ", "t", *[F.coalesce(F.col(k).cast("string"), F.lit("None")) for k in kinds])
     head = F.when(F.col("user_id") % 10 == 3, "Error {}").otherwise(payloads.SEQUENCE)
-    content = wide.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body")).select(
+    return wide.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body")).select(
         F.concat(F.lit("u/"), F.col("user_id").cast("string")).alias("path"), F.lit("u").alias("network_name"), F.col("user_id").cast("string").alias("native_id"),
         F.concat(head, F.lit("\n" + ", ".join(["time", *kinds]) + "\n"), "body").alias("content"),
     )
-    cells, _ = payloads.long_cells(payloads.triage(content))
+
+
+@query("SELECT CAST(user_id AS INTEGER) AS station_id, event_type AS name, date_trunc('second', ts)::TIMESTAMP AS obs_time, max(value) AS value FROM events WHERE user_id % 10 <> 3 GROUP BY 1, 2, 3")
+def csv_payload_job(spark, d):
+    """Payloads in columns, read back into long rows."""
+    cells, _ = payloads.long_cells(payloads.triage(payload_contents(spark, d)))
     return cells.where(F.col("value").isNotNull()).select(F.col("native_id").cast("int").alias("station_id"), "name", "obs_time", "value")
 
 

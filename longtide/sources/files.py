@@ -33,7 +33,7 @@ def opened(path: str):
         yield f
 
 
-def _listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+def listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """path, length of the files below root, dealt out by name: the reader of a whole file is not asked for its content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select("path", "length")
@@ -41,7 +41,7 @@ def _listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """path, file_bytes, period of every file below root; contents are not read."""
-    return _listed(spark, root, pattern).select("path", F.col("length").alias("file_bytes"), path_period(F.col("path")).alias("period"))
+    return listed(spark, root, pattern).select("path", F.col("length").alias("file_bytes"), path_period(F.col("path")).alias("period"))
 
 
 def sha256_of(file) -> str:
@@ -63,7 +63,7 @@ def checksums(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
                     hashes.append(MULTIHASH_SHA256 + sha256_of(f))
             yield pa.record_batch([batch.column("path"), batch.column("length"), pa.array(hashes, pa.string())], ["path", "file_bytes", "multihash"])
 
-    return _listed(spark, root, pattern).mapInArrow(read, "path string, file_bytes bigint, multihash string")
+    return listed(spark, root, pattern).mapInArrow(read, "path string, file_bytes bigint, multihash string")
 
 
 def footer_rows(path: str, size: int, file) -> list[tuple]:
@@ -94,5 +94,5 @@ def footers(spark: SparkSession, root: str, of: DataFrame | None = None) -> Data
                 if rows:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    listed = _listed(spark, root, "*.parquet") if of is None else of.select("path", F.col("file_bytes").alias("length"))
-    return listed.mapInArrow(read, FOOTERS)
+    found = listed(spark, root, "*.parquet") if of is None else of.select("path", F.col("file_bytes").alias("length"))
+    return found.mapInArrow(read, FOOTERS)

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import NULL_TOKENS
 from ..functions.times import strict_time
 from ..operators.analytics import small
+from . import files
 
 #: Fixed value: the first line of a payload.
 SEQUENCE = "station_observations"
+#: Bytes of a payload that one task reads at a time.
+RANGE_BYTES = 64 << 20
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """path, network_name, native_id, content of files <network>/<native_id>.csv, a row a file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path, wholetext=True)
     where = F.col("_metadata.file_path")
     return files.select(where.alias("path"), F.regexp_extract(where, r"([^/]+)/[^/]+$", 1).alias("network_name"), F.regexp_extract(where, r"([^/]+)\.csv$", 1).alias("native_id"), F.col("value").alias("content"))
 
@@ -41,6 +45,95 @@ def triage(payloads: DataFrame) -> DataFrame:
     return found.withColumn("status", status).withColumn("body", F.when(status == "ok", body)).drop("__lines")
 
 
+def read_payload_lines(spark: SparkSession, path: str, pattern: str = "*.csv", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """path, network_name, native_id, status, error, header, at, line of payload files, read in ranges of bytes.
+
+    A file may have any size: its ranges are dealt out, each reads the file's
+    first two lines for the header and then the lines that begin in it, wherever they
+    end. at is where a line begins. Each file has one row without a line that
+    says its status, as triage does ('ok', 'empty', 'error'); only files that are
+    ok have lines. Names come from folder and file, or from network_name= and
+    native_id= in the path. Blank lines are skipped; bytes that are no UTF-8 are replaced.
+    """
+    listed = files.listed(spark, path, pattern)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
+    ranges = listed.select("path", "length", F.explode(starts).alias("start")).repartition("path", "start")  # rows of a few numbers
+
+    def read(batches):
+        for batch in batches:
+            for name, length, start in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "start")), strict=True):
+                with files.opened(name) as f:
+                    status, error, header, body = _head(f, length)
+                    found = _lines(f, max(start, body), start > body, min(start + range_bytes, length), length) if status == "ok" else iter(())
+                    if start == 0:
+                        block = next(found, [])
+                        if status == "ok" and not block and range_bytes >= length:
+                            status = "empty"
+                        yield _line_batch(name, status, error, header, [(None, None), *block])
+                    for block in found:
+                        yield _line_batch(name, status, error, header, block)
+
+    found = ranges.mapInArrow(read, "path string, status string, error string, header array<string>, at long, line string")
+    named = lambda key, last: F.coalesce(F.nullif(F.regexp_extract("path", f"{key}=([^/]+)", 1), F.lit("")), F.regexp_extract("path", last, 1))
+    return found.select("path", named("network_name", r"([^/]+)/[^/]+$").alias("network_name"), named("native_id", r"([^/]+)\.[^./]+$").alias("native_id"), "status", "error", "header", "at", "line")
+
+
+def _head(f, length: int) -> tuple[str, str | None, list[str] | None, int]:
+    """status, error, header of an open payload, and where its rows begin."""
+    held, at, seen = b"", 0, []
+    while len(seen) < 2:
+        end = held.find(b"\n", at)
+        if end < 0 and len(held) < length:
+            f.seek(len(held))
+            held += f.read(files.CHUNK_BYTES)
+            continue
+        line = held[at : end if end >= 0 else len(held)].decode("utf-8", "replace").replace("\r", "").strip(" ")
+        at = end + 1 if end >= 0 else len(held)
+        if line:
+            seen.append(line)
+        if seen and seen[0] != SEQUENCE:
+            return "error", f"not a sequence: {seen[0][:200]}", None, at
+        if end < 0:
+            break
+    if len(seen) < 2:
+        return "empty", None, None, at
+    header = [c.strip(" ") for c in seen[1].split(",")]
+    return ("ok", None, header, at) if "time" in header else ("error", "no time column", header, at)
+
+
+def _lines(f, start: int, inside: bool, end: int, length: int):
+    """Blocks of (place, line) of the lines that begin in [start, end); inside: start may be in the middle of a line."""
+    at = start - 1 if inside else start
+    f.seek(at)
+    left, skip, block = b"", inside, []
+    while at < end:
+        chunk = f.read(files.CHUNK_BYTES)
+        left += chunk
+        last = not chunk
+        while at < end and (cut := left.find(b"\n")) >= 0 or (last and left and at < end):
+            line, size = (left[:cut], cut + 1) if cut >= 0 else (left, len(left))
+            if not skip and line.strip(b" \r"):
+                block.append((at, line.decode("utf-8", "replace").replace("\r", "")))
+            skip, at, left = False, at + size, left[size:]
+        if block:
+            yield block
+            block = []
+        if last:
+            return
+
+
+def _line_batch(name: str, status: str, error: str | None, header: list[str] | None, block: list[tuple]) -> pa.RecordBatch:
+    n = len(block)
+    whole = [pa.array([x] * n, k) for x, k in ((name, pa.string()), (status, pa.string()), (error, pa.string()), (header, pa.list_(pa.string())))]
+    return pa.record_batch([*whole, pa.array([a for a, _ in block], pa.int64()), pa.array([x for _, x in block], pa.string())], ["path", "status", "error", "header", "at", "line"])
+
+
+def cells_of_lines(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cells, rejects) of read_payload_lines, as long_cells gives them; line is where a rejected line begins."""
+    trimmed = F.transform(F.split("line", ","), lambda c: F.trim(c))
+    return _cells_and_rejects(found.where("line is not null").select("path", "network_name", "native_id", "header", F.col("at").alias("line"), trimmed.alias("cells")))
+
+
 def long_cells(triaged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cells, rejects) of payloads that are ok.
 
@@ -48,7 +141,10 @@ def long_cells(triaged: DataFrame) -> tuple[DataFrame, DataFrame]:
     rejects: path, line, reason of lines with another number of cells than the
     header, without a time, or with a cell that is no number.
     """
-    lines = triaged.where("status = 'ok'").select("path", "network_name", "native_id", "header", F.posexplode("body").alias("line", "cells"))
+    return _cells_and_rejects(triaged.where("status = 'ok'").select("path", "network_name", "native_id", "header", F.posexplode("body").alias("line", "cells")))
+
+
+def _cells_and_rejects(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     fits = F.size("cells") == F.size("header")
     lines = lines.withColumn("time_cell", F.when(fits, F.try_element_at("cells", F.array_position("header", "time").cast("int"))))
     lines = lines.withColumn("obs_time", strict_time(F.col("time_cell")))

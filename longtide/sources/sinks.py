@@ -36,34 +36,40 @@ def files_per_period(period_rows: DataFrame, bytes_per_row: float, target: int =
     return period_rows.select("period", F.greatest(F.lit(1), F.floor(F.col("rows") * float(bytes_per_row) / target)).cast("int").alias("files"))
 
 
-#: Quantiles of time at which a series that lies across file bounds can be cut.
-QUANTILES = 1000
 _FIRST_TIME = "0001-01-01 00:00:00"
+#: Files of more rows than this are cut between hours of a series, smaller ones between seconds.
+HOURLY_ROWS = 100_000
 
 
 def file_plan(rows: DataFrame, bytes_per_row: float, target: int = TARGET_BYTES, floor: int = MIN_BYTES, ceiling: int = MAX_BYTES) -> DataFrame:
     """period, files, cuts, first_file: a row a period. cuts are the keys (station, variable, time) at which a new file begins.
 
     A period's files have equal numbers of rows in key order. Rows are counted by
-    series, so a bound lies at the start of a series or at a quantile of the
-    times of the one across it: a station or series of any size spans files.
+    series, and those of a series that lies across a bound by hour too, so a bound
+    is at the start of a series or of an hour: a station or series of any size
+    spans any number of files.
     """
     series = rows.groupBy("period", "station_id", "variable_id").agg(F.count("*").alias("n"))
     counted = files_per_period(series.groupBy("period").agg(F.sum("n").alias("rows")), bytes_per_row, target, floor, ceiling)
     before = W.partitionBy("period").orderBy("station_id", "variable_id").rowsBetween(W.unboundedPreceding, -1)
     placed = series.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(W.partitionBy("period"))).join(F.broadcast(counted), "period")
-    share = F.col("total") / F.col("files")
-    first, last = F.greatest(F.lit(1), F.ceil(F.col("before") / share).cast("int")), F.least(F.col("files") - 1, (F.ceil((F.col("before") + F.col("n")) / share) - 1).cast("int"))
-    cut = placed.withColumn("lo", first).withColumn("hi", last).where("lo <= hi").withColumn("share", share)  # no more than there are files
-    inside = cut.where("lo * share > before or lo < hi").select("period", "station_id", "variable_id")
-    shares = [k / QUANTILES for k in range(1, QUANTILES)]
-    times = rows.join(F.broadcast(inside), ["period", "station_id", "variable_id"]).groupBy("period", "station_id", "variable_id").agg(F.percentile_approx(F.unix_micros(F.col("obs_time").cast("timestamp")), shares, 10 * QUANTILES).alias("q"))
-    bounds = cut.join(times, ["period", "station_id", "variable_id"], "left").withColumn("file", F.explode(F.sequence("lo", "hi")))
-    at = F.floor((F.col("file") * F.col("share") - F.col("before")) / F.col("n") * QUANTILES).cast("int")
-    time = F.when(at > 0, F.timestamp_micros(F.get("q", at - 1)).cast("timestamp_ntz")).otherwise(F.lit(_FIRST_TIME).cast("timestamp_ntz"))
-    cuts = bounds.groupBy("period").agg(F.array_sort(F.collect_list(F.struct("station_id", "variable_id", time.alias("obs_time")))).alias("cuts"))
-    earlier = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
-    return counted.join(cuts, "period", "left").withColumn("first_file", F.coalesce(F.sum("files").over(earlier), F.lit(0)).cast("int"))
+    placed = placed.withColumn("share", F.col("total") / F.col("files"))
+    first, last = F.greatest(F.lit(1), F.ceil(F.col("before") / F.col("share")).cast("int")), F.least(F.col("files") - 1, (F.ceil((F.col("before") + F.col("n")) / F.col("share")) - 1).cast("int"))
+    cut = placed.withColumn("lo", first).withColumn("hi", last).where("lo <= hi")  # no more than there are files
+    series_key = ["period", "station_id", "variable_id"]
+    at_start = cut.where("lo * share <= before").select(*series_key, F.lit(_FIRST_TIME).cast("timestamp_ntz").alias("obs_time"))
+    inside = cut.where("lo * share > before or lo < hi").select(*series_key, "before", "share", "lo", "hi")
+    unit = "hour" if target / bytes_per_row > HOURLY_ROWS else "second"
+    times = rows.join(F.broadcast(inside.select(*series_key)), series_key).groupBy(*series_key, F.date_trunc(unit, "obs_time").cast("timestamp_ntz").alias("obs_time")).agg(F.count("*").alias("n"))
+    earlier = W.partitionBy(*series_key).orderBy("obs_time")
+    reached = times.withColumn("reached", F.coalesce(F.sum("n").over(earlier.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("before_that", F.lag("reached").over(earlier))
+    # the bounds that lie in the hour before, of which this one is the end
+    bound = reached.where("before_that is not null").join(F.broadcast(inside), series_key)
+    k1, k2 = F.greatest("lo", F.floor((F.col("before") + F.col("before_that")) / F.col("share")) + 1), F.least("hi", F.floor((F.col("before") + F.col("reached")) / F.col("share")))
+    cuts = at_start.unionByName(bound.where(k1 <= k2).select(*series_key, "obs_time"))
+    cuts = cuts.groupBy("period").agg(F.array_sort(F.collect_set(F.struct("station_id", "variable_id", "obs_time"))).alias("cuts"))
+    of_earlier = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
+    return counted.join(cuts, "period", "left").withColumn("first_file", F.coalesce(F.sum("files").over(of_earlier), F.lit(0)).cast("int"))
 
 
 def cuts_up_to(cuts: Column, key: Column) -> Column:

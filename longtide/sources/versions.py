@@ -145,6 +145,36 @@ def observations(spark: SparkSession, root: str, version: int | None = None, val
     return read_files(spark, root, names, value)
 
 
+_BITS = "name string, bucket bigint, bits binary"
+
+
+def indexed(spark: SparkSession, root: str) -> DataFrame:
+    """name, bucket, bits: which stations each file has that any version has named."""
+    found = [str(f.getPath().toString()) for f in children(spark, f"{root}/_versions/stations")]
+    return spark.read.schema(schema.struct(_BITS)).parquet(*found) if found else spark.createDataFrame([], schema.struct(_BITS))
+
+
+def files_of_stations(spark: SparkSession, root: str, stations: list[int], time_lo=None, time_hi=None) -> list[str]:
+    """The names of the newest version's files that have a row of one of these stations and may have one at a time in [lo, hi)."""
+    wanted = spark.createDataFrame([(s,) for s in stations], "station_id int")
+    asked = wanted.groupBy(F.bitmap_bucket_number("station_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("station_id")).alias("asked"))
+    files = listed(spark, root)
+    if time_lo is not None:
+        files = files.where(F.col("obs_time_max") >= F.lit(time_lo).cast("timestamp_ntz"))
+    if time_hi is not None:
+        files = files.where(F.col("obs_time_min") < F.lit(time_hi).cast("timestamp_ntz"))
+    both = indexed(spark, root).join(F.broadcast(asked), "bucket").join(files.select("name"), "name")  # a row for 32,768 stations asked for
+    held = both.select("name", "bucket", F.explode(F.array("bits", "asked")).alias("b")).groupBy("name", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("b")).alias("n"))
+    return sorted(r.name for r in held.where("n > 0").select("name").distinct().collect())  # the names of the files that are read
+
+
+def read_stations(spark: SparkSession, root: str, stations: list[int], time_lo, time_hi) -> DataFrame:
+    """Observations of some stations, however far apart their ids, at times in [lo, hi): only files that have them are opened."""
+    rows = read_files(spark, root, files_of_stations(spark, root, stations, time_lo, time_hi))
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (time_lo, time_hi))
+    return rows.where(F.col("station_id").isin(stations) & (F.col("obs_time") >= lo) & (F.col("obs_time") < hi))
+
+
 class Change:
     """One operation on an archive: what it writes is staged, moved into place unread, and published with the next version.
 
@@ -221,6 +251,12 @@ def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
         if str(f.getPath().getName()) not in lists:
             path, fs = _path(spark, str(f.getPath().toString()))
             fs.delete(path, True)
+    alive = indexed(spark, root).select("name", F.regexp_extract(F.col("_metadata.file_path"), r"/stations/([^/]+)/", 1).alias("id")).join(named.distinct(), "name", "left_semi") if children(spark, f"{root}/_versions/stations") else None
+    used = set() if alive is None else {r.id for r in alive.select("id").distinct().collect()}  # an id a version
+    for f in children(spark, f"{root}/_versions/stations"):
+        if str(f.getPath().getName()) not in used:
+            path, fs = _path(spark, str(f.getPath().toString()))
+            fs.delete(path, True)
     # pointers last: what they name of others' files as removed is gone by then
     for n in old:
         path, fs = _path(spark, f"{root}/_versions/{n:012d}.json")

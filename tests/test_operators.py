@@ -480,3 +480,29 @@ def test_point_grid(spark):
     same = spark.createDataFrame([(1.0, 1.0)] * 3, "lon double, lat double")
     assert [tuple(r) for r in an.point_grid(same).collect()] == [(0, 0, 3)]
     assert an.point_grid(points.limit(0)).isEmpty()
+
+
+def test_one_series_of_very_many_files(spark):
+    """A series' rows are cut into any number of files of equal size."""
+    second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id"))
+    rows = spark.range(30_000).select(F.lit(7).alias("station_id"), F.lit(1).cast("smallint").alias("variable_id"), (F.lit("2000-01-01").cast("timestamp_ntz") + second).alias("obs_time"), F.lit(1.0).alias("value"), F.lit("2000").alias("period"))
+    plan = sinks.file_plan(rows, 10.0, 107, 50, 1000).first()
+    assert plan.files > 2800 and len(plan.cuts) == plan.files - 1
+    at = [(c.obs_time - T(2000, 1, 1)).total_seconds() for c in plan.cuts]
+    sizes = [b - a for a, b in zip([0, *at], [*at, 30_000], strict=True)]
+    assert min(sizes) >= 9 and max(sizes) <= 12
+    # larger files are cut between hours
+    hourly = sinks.file_plan(rows, 1.0, 1 << 20, 1 << 19, 1 << 30).first()
+    assert hourly.files == 1 and not hourly.cuts
+
+
+def test_layout_run(spark):
+    """A plan that keeps the written cuts, its bytes by the files' own rate, and labels that it does not have."""
+    histories = spark.createDataFrame([(T(2000, 1, 1), T(2004, 1, 1), "daily", [1, 2])], "min_obs_time timestamp_ntz, max_obs_time timestamp_ntz, freq string, variable_ids array<int>")
+    manifest = spark.createDataFrame([("a", "2000-2001", 100, 1000, T(2001, 5, 1)), ("b", "1990", 50, 500, T(1990, 2, 1))], "path string, period string, rows long, file_bytes long, obs_time_max timestamp_ntz")
+    measured = spark.createDataFrame([(2000, 60), (2001, 40)], "year int, rows long")
+    plan, report = pl.layout_run(histories, manifest, measured, 2000, 2003, 900.0)
+    assert [(r.period, r.bytes) for r in plan.orderBy("start_year").collect()][0] == ("2000-2001", 1000.0)
+    found = {r.period: (r.planned_bytes, r.written, r.orphan) for r in report.collect()}
+    assert found["1990"] == (None, True, True) and found["2000-2001"] == (1000, True, False)
+    assert sum(x[0] or 0 for x in found.values()) == sum(r.bytes for r in plan.collect())

@@ -152,6 +152,29 @@ def test_one_station_rewrites_one_file(spark, tmp_path):
     assert all(a.last_key < b.first_key for a, b in zip(keys, keys[1:], strict=False))
 
 
+def test_files_of_far_apart_stations(spark, tmp_path):
+    root = str(tmp_path)
+    layout = archive(spark, root, [("2000", 2000, 2000), ("2001", 2001, 2001)], stations=30)
+    cp.adopt(spark, root)
+    asked = [2, 15, 29]
+
+    def holding():
+        rows_of = tables.observations(spark, root).select("station_id", F.regexp_extract(F.col("_metadata.file_path"), "observations/(.+)$", 1).alias("name"))
+        return sorted(r.name for r in rows_of.where(F.col("station_id").isin(asked) & F.col("name").startswith("period=2001")).select("name").distinct().collect())
+
+    found = versions.files_of_stations(spark, root, asked, "2001-01-01", "2002-01-01")
+    assert found == holding() and 3 <= len(found) <= 6 < versions.listed(spark, root).count() / 3
+    read = versions.read_stations(spark, root, asked, "2001-01-01", "2002-01-01")
+    assert read.count() == 3 * 40 and len(read.inputFiles()) == len(found)
+    # new files have their stations too, ids of any size
+    delta(spark, root, [(15, 1, T(2001, 6, 1), 1.0), (2_000_000_000, 1, T(2001, 6, 1), 1.0)])
+    cp.compact_archive(spark, root, layout, **SMALL)
+    asked += [2_000_000_000]
+    assert versions.files_of_stations(spark, root, asked, "2001-01-01", "2002-01-01") == holding()
+    assert versions.read_stations(spark, root, [2_000_000_000], "2001-01-01", "2002-01-01").count() == 1
+    assert versions.files_of_stations(spark, root, [77]) == []
+
+
 def test_two_writers(spark, tmp_path):
     """Of two operations on one version the second finds a conflict and changes nothing."""
     root = str(tmp_path)
@@ -206,7 +229,7 @@ def test_unsound_files_are_not_published(spark, tmp_path):
 def test_manifest_reads_changed_files_only(spark, tmp_path):
     """Unchanged files' contents are spoilt, with size and time as they were: nothing reads them."""
     root = str(tmp_path)
-    archive(spark, root, stations=4, n=10)
+    archive(spark, root, stations=12, n=10)
     cp.rebuild_manifest(spark, root, NOW)
     first = {r.path: tuple(r) for r in tables.manifest(spark, root).collect()}
     paths = sorted(first)
