@@ -81,8 +81,12 @@ def unknown_references(rows: DataFrame, dimension: DataFrame, key: str) -> DataF
     return rows.groupBy(key).agg(F.count("*").alias("rows")).join(dimension.select(key).distinct(), key, "left_anti")
 
 
-def verify(footers: DataFrame, manifest: DataFrame, rows: DataFrame, floor: int = MIN_BYTES, most_rows: int = ROW_GROUP_ROWS) -> DataFrame:
-    """check, subject, detail of every problem; no rows: all is well."""
+def verify(footers: DataFrame, manifest: DataFrame, rows: DataFrame | None, floor: int = MIN_BYTES, most_rows: int = ROW_GROUP_ROWS, duplicates: DataFrame | None = None) -> DataFrame:
+    """check, subject, detail of every problem; no rows: all is well.
+
+    Repeated keys are counted in rows (with period) by key, unless duplicates
+    (period, extra_rows) are known already.
+    """
     said = lambda d, check, subject, detail: d.select(F.lit(check).alias("check"), F.col(subject).cast("string").alias("subject"), detail.cast("string").alias("detail"))
     drift = schema_signatures(footers)
     parts = [
@@ -90,6 +94,6 @@ def verify(footers: DataFrame, manifest: DataFrame, rows: DataFrame, floor: int
         said(large_row_groups(footers, most_rows), "row_group", "path", F.col("rows")),
         said(drift.withColumn("kinds", F.count("*").over(W.partitionBy(F.lit(1)))).where("kinds > 1"), "schema", "signature", F.col("files")),
         said(unsorted_files(footers), "unsorted", "path", F.lit("row groups overlap")),
-        said(duplicate_keys(rows, ["period"]), "duplicate_keys", "period", F.col("extra_rows")),
+        said(duplicate_keys(rows, ["period"]) if duplicates is None else duplicates, "duplicate_keys", "period", F.col("extra_rows")),
     ]
     return reduce(DataFrame.unionByName, parts)

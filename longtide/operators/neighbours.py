@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions.labels import path_period
 from ..schema import KEYS
+from ..sources import files as fl
 from ..sources.scratch import scratch
+from . import manifest as mf
 
 #: Where a row says which file it is in; others say it by a hash.
 _NAMED = 4096
@@ -111,6 +113,13 @@ def key_bounds(segments: DataFrame) -> DataFrame:
     )
 
 
+def _written(spark: SparkSession, segments: DataFrame) -> DataFrame:
+    """segments as a table: a row a task and file."""
+    path = scratch(spark, "segments")
+    segments.write.parquet(path)
+    return spark.read.schema(SEGMENTS).parquet(path)
+
+
 def duplicate_keys_in_files(spark: SparkSession, root: str, segments: DataFrame | None = None, files: list[str] | None = None) -> DataFrame:
     """period, extra_rows: rows beyond the first of each key, as merge.duplicate_keys by period gives them, of periods that have any.
 
@@ -119,10 +128,7 @@ def duplicate_keys_in_files(spark: SparkSession, root: str, segments: DataFrame
     dealt out by key only from files that are out of order or whose keys lie
     across each other's.
     """
-    if segments is None:
-        path = scratch(spark, "segments")
-        key_segments(spark, root, files).write.parquet(path)  # a row a task and file
-        segments = spark.read.schema(SEGMENTS).parquet(path)
+    segments = _written(spark, key_segments(spark, root, files)) if segments is None else segments
     own = segments.withColumn("period", path_period(F.col("path"))).withColumn("sorted", F.col("down") == 0)
     # an unsorted stretch's ends do not bound its keys, so all of its period is dealt out by key
     order = W.partitionBy("period").orderBy("first", "last", "file", "first_at")
@@ -145,3 +151,14 @@ def _by_value(rows: DataFrame, tangled: DataFrame) -> DataFrame:
     own = rows.join(tangled, "file").where((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi")))
     repeated = own.groupBy("of_period", "island", *KEYS).agg(F.count("*").alias("n")).where("n > 1")
     return repeated.select(F.col("of_period").alias("period"), (F.col("n") - 1).alias("extra_rows"))
+
+
+def verify_files(spark: SparkSession, root: str, floor: int = mf.MIN_BYTES, most_rows: int = mf.ROW_GROUP_ROWS) -> DataFrame:
+    """manifest.verify of the files below root/observations, and null_keys and falling_keys by file: one pass over the key columns, and the files' tails."""
+    footers = fl.footers(spark, f"{root}/observations")
+    segments = _written(spark, key_segments(spark, root))
+    found = mf.verify(footers, mf.build_manifest(footers, None), None, floor, most_rows, duplicate_keys_in_files(spark, root, segments))
+    bounds = key_bounds(segments)
+    for check, count in (("null_keys", "nulls"), ("falling_keys", "down")):
+        found = found.unionByName(bounds.where(F.col(count) > 0).select(F.lit(check).alias("check"), F.col("path").alias("subject"), F.col(count).cast("string").alias("detail")))
+    return found

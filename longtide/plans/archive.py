@@ -116,6 +116,24 @@ def written_summary(spark, d):
     return spark.read.parquet(archive(spark, d) + "/_summary_by_period").select("period", "rows")
 
 
+@query(_keyed("SELECT period, CAST(greatest(1, floor(count(*) * 1.4::DOUBLE / 65536)) AS BIGINT) AS n_files, count(*) AS n_rows, true AS agrees FROM keyed GROUP BY period"))
+def written_inventory(spark, d):
+    """The inventory by the written manifest; its sizes against those of the files."""
+    root = archive(spark, d)
+    sizes = files.list_files(spark, f"{root}/observations").groupBy("period").agg(F.sum("file_bytes").alias("bytes"))
+    found = an.inventory(tables.manifest(spark, root)).join(sizes, "period")
+    agrees = (F.col("size_mib") == F.round(F.col("bytes") / float(1 << 20), 1)) & (F.col("row_bytes") == F.round(F.col("bytes") / F.col("n_rows"), 2))
+    return found.select("period", "n_files", "n_rows", agrees.alias("agrees"))
+
+
+@query(_keyed("SELECT count(*) AS rows, min(obs_time) AS first_time, max(obs_time) AS last_time, true AS agrees FROM keyed"))
+def written_totals(spark, d):
+    """The archive's summary by the written manifest; its bytes against those of the files."""
+    root = archive(spark, d)
+    size = files.list_files(spark, f"{root}/observations").agg(F.sum("file_bytes")).first()[0]  # one number
+    return mf.summarize(tables.manifest(spark, root)).select("rows", "first_time", "last_time", (F.col("bytes") == size).alias("agrees"))
+
+
 @query(_keyed("SELECT period, CAST(greatest(1, floor(count(*) * 1.4::DOUBLE / 65536)) AS BIGINT) AS files FROM keyed GROUP BY period"))
 def listed_files(spark, d):
     return files.list_files(spark, archive(spark, d) + "/observations").where("file_bytes > 0").groupBy("period").agg(F.count("*").alias("files"))
@@ -140,24 +158,40 @@ def file_checksums(spark, d):
     return both.groupBy("period").agg(F.count("*").alias("files"), F.count_if(F.col("multihash") == F.col("whole")).alias("same"))
 
 
+def _defects(spark, d):
+    """rows, and the root of their files with every defect planted: raw rows with repeated keys, falling order, large row groups, and a period of one file with a renamed column."""
+    root = v.scratch(spark, "defects")
+    rows = v.observations(spark, d).withColumn("period", F.year("obs_time").cast("string"))
+    years = rows.select("period").distinct().count()
+    ordered = rows.repartitionByRange(years, "period").sortWithinPartitions("period", F.desc("station_id"), "variable_id", "obs_time")
+    ordered.write.option("parquet.block.row.count.limit", "1000").partitionBy("period").parquet(f"{root}/observations")
+    odd = v.variables(spark, d).limit(1).select(F.col("variable_id").cast("int").alias("renamed"))
+    odd.coalesce(1).write.parquet(f"{root}/observations/period=9999")
+    return rows, root
+
+
 @query(sql("""@ SELECT 'duplicate_keys' AS check, count(*) AS problems FROM (SELECT DISTINCT year FROM repeated) HAVING count(*) > 0
     UNION ALL SELECT 'row_group', CAST(sum(n // 1000 + CASE WHEN n % 1000 > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM years
     UNION ALL SELECT 'schema', 2 UNION ALL SELECT 'under_floor', count(*) + 1 FROM years
     UNION ALL SELECT 'unsorted', count(*) FROM years WHERE n > 1000 HAVING count(*) > 0""", "obs").replace(" @ ", ", years AS (SELECT year(obs_time) AS year, count(*) AS n FROM obs GROUP BY 1), repeated AS (SELECT year(obs_time) AS year FROM obs GROUP BY year(obs_time), station_id, variable_id, obs_time HAVING count(*) > 1) "))
 def verify_archive(spark, d):
-    """Every defect planted: raw rows with repeated keys, falling order, large row groups, and a period of one file with a renamed column."""
-    root = v.scratch(spark, "defects") + "/observations"
-    rows = v.observations(spark, d).withColumn("period", F.year("obs_time").cast("string"))
-    years = rows.select("period").distinct().count()
-    ordered = rows.repartitionByRange(years, "period").sortWithinPartitions("period", F.desc("station_id"), "variable_id", "obs_time")
-    ordered.write.option("parquet.block.row.count.limit", "1000").partitionBy("period").parquet(root)
-    odd = v.variables(spark, d).limit(1).select(F.col("variable_id").cast("int").alias("renamed"))
-    odd.coalesce(1).write.parquet(f"{root}/period=9999")
-    found = files.footers(spark, root)
+    rows, root = _defects(spark, d)
+    found = files.footers(spark, f"{root}/observations")
     problems = mf.verify(found, mf.build_manifest(found, NOW), rows, floor=1 << 40, most_rows=100)
     return problems.groupBy("check").agg(F.count("*").alias("problems"))
 
 
+@query(sql("""@ SELECT 'duplicate_keys' AS check, count(*) AS problems FROM (SELECT DISTINCT year FROM repeated) HAVING count(*) > 0
+    UNION ALL SELECT 'row_group', CAST(sum(n // 1000 + CASE WHEN n % 1000 > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM years
+    UNION ALL SELECT 'schema', 2 UNION ALL SELECT 'under_floor', count(*) + 1 FROM years
+    UNION ALL SELECT 'unsorted', count(*) FROM years WHERE n > 1000 HAVING count(*) > 0""", "obs").replace(" @ ", ", years AS (SELECT year(obs_time) AS year, count(*) AS n FROM obs GROUP BY 1), repeated AS (SELECT year(obs_time) AS year FROM obs GROUP BY year(obs_time), station_id, variable_id, obs_time HAVING count(*) > 1) "))
+def verify_files(spark, d):
+    """The same by one pass along the files; nulls and falling keys, which it also finds, are another query's."""
+    _, root = _defects(spark, d)
+    problems = nb.verify_files(spark, root, floor=1 << 40, most_rows=100).where(~F.col("check").isin("null_keys", "falling_keys"))
+    return problems.groupBy("check").agg(F.count("*").alias("problems"))
+
+
 @query(_keyed("SELECT count(*) AS rows, 0::BIGINT AS problems FROM keyed"))
 def verify_sound_archive(spark, d):
     root = archive(spark, d)
@@ -346,7 +380,7 @@ def full_plan(spark, d):
     return pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1e6, 1.06, written_ends=ends)
 
 
-@query(sql("@ SELECT coalesce(l.period, w.period) AS period, CAST(l.bytes AS BIGINT) AS planned_bytes, w.period IS NOT NULL AS written, l.period IS NULL AS orphan FROM layout l FULL OUTER JOIN (SELECT DISTINCT CAST(year(obs_time) AS VARCHAR) AS period FROM obs) w ON l.period = w.period", "histories").replace(" @ ", f", {_PLAN} "))
+@query(sql("@ SELECT coalesce(l.period, w.period) AS period, CAST(coalesce(l.bytes, 0) AS BIGINT) AS planned_bytes, w.period IS NOT NULL AS written, l.period IS NULL AS orphan FROM layout l FULL OUTER JOIN (SELECT DISTINCT CAST(year(obs_time) AS VARCHAR) AS period FROM obs) w ON l.period = w.period", "histories").replace(" @ ", f", {_PLAN} "))
 def layout_report(spark, d):
     """What a plan says of an archive whose periods are years: bytes of each period, and labels that it does not have."""
     measured = pl.measured_year_rows(v.observations(spark, d)).where("year < 1999")
@@ -354,7 +388,7 @@ def layout_report(spark, d):
     plan = pl.full_plan(v.histories(spark, d), measured, 1994, 2003, 1e6, 1.06, written_ends=ends)
     planned = lo.planned_bytes(plan, pl.planned_sizes(v.histories(spark, d), measured, 1994, 2003, 1.06))
     written = v.observations(spark, d).select(F.year("obs_time").cast("string").alias("period"))
-    return pl.layout_report(plan, planned, written)
+    return pl.layout_report(plan, planned, written).na.fill(0, ["planned_bytes"])
 
 
 # state that comes in late, and streams

@@ -64,7 +64,7 @@ def read_payload_lines(spark: SparkSession, path: str, pattern: str = "*.csv", r
             for name, length, start in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "start")), strict=True):
                 with files.opened(name) as f:
                     status, error, header, body = _head(f, length)
-                    found = _lines(f, max(start, body), start > body, min(start + range_bytes, length), length) if status == "ok" else iter(())
+                    found = _lines(f, max(start, body), start > body, min(start + range_bytes, length)) if status == "ok" else iter(())
                     if start == 0:
                         block = next(found, [])
                         if status == "ok" and not block and range_bytes >= length:
@@ -101,24 +101,25 @@ def _head(f, length: int) -> tuple[str, str | None, list[str] | None, int]:
     return ("ok", None, header, at) if "time" in header else ("error", "no time column", header, at)
 
 
-def _lines(f, start: int, inside: bool, end: int, length: int):
+def _lines(f, start: int, inside: bool, end: int):
     """Blocks of (place, line) of the lines that begin in [start, end); inside: start may be in the middle of a line."""
     at = start - 1 if inside else start
     f.seek(at)
-    left, skip, block = b"", inside, []
+    left, skip = b"", inside
     while at < end:
         chunk = f.read(files.CHUNK_BYTES)
-        left += chunk
-        last = not chunk
-        while at < end and (cut := left.find(b"\n")) >= 0 or (last and left and at < end):
-            line, size = (left[:cut], cut + 1) if cut >= 0 else (left, len(left))
+        pieces = (left + chunk).split(b"\n")
+        left = pieces.pop() if chunk else b""
+        block = []
+        for line in pieces:
+            if at >= end:
+                break
             if not skip and line.strip(b" \r"):
                 block.append((at, line.decode("utf-8", "replace").replace("\r", "")))
-            skip, at, left = False, at + size, left[size:]
+            skip, at = False, at + len(line) + 1
         if block:
             yield block
-            block = []
-        if last:
+        if not chunk:
             return
 
 

@@ -61,12 +61,12 @@ def file_plan(rows: DataFrame, bytes_per_row: float, target: int = TARGET_BYTES,
     inside = cut.where("lo * share > before or lo < hi").select(*series_key, "before", "share", "lo", "hi")
     unit = "hour" if target / bytes_per_row > HOURLY_ROWS else "second"
     times = rows.join(F.broadcast(inside.select(*series_key)), series_key).groupBy(*series_key, F.date_trunc(unit, "obs_time").cast("timestamp_ntz").alias("obs_time")).agg(F.count("*").alias("n"))
-    earlier = W.partitionBy(*series_key).orderBy("obs_time")
-    reached = times.withColumn("reached", F.coalesce(F.sum("n").over(earlier.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("before_that", F.lag("reached").over(earlier))
-    # the bounds that lie in the hour before, of which this one is the end
-    bound = reached.where("before_that is not null").join(F.broadcast(inside), series_key)
-    k1, k2 = F.greatest("lo", F.floor((F.col("before") + F.col("before_that")) / F.col("share")) + 1), F.least("hi", F.floor((F.col("before") + F.col("reached")) / F.col("share")))
-    cuts = at_start.unionByName(bound.where(k1 <= k2).select(*series_key, "obs_time"))
+    earlier = W.partitionBy(*series_key).orderBy("obs_time").rowsBetween(W.unboundedPreceding, -1)
+    reached = times.withColumn("reached", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(F.broadcast(inside), series_key)
+    # a bound that lies in an hour is at its start
+    from_row, to_row = F.col("before") + F.col("reached"), F.col("before") + F.col("reached") + F.col("n")
+    k1, k2 = F.greatest("lo", F.floor(F.col("before") / F.col("share")) + 1, F.ceil(from_row / F.col("share"))), F.least(F.col("hi"), F.ceil(to_row / F.col("share")) - 1)
+    cuts = at_start.unionByName(reached.where(k1 <= k2).select(*series_key, "obs_time"))
     cuts = cuts.groupBy("period").agg(F.array_sort(F.collect_set(F.struct("station_id", "variable_id", "obs_time"))).alias("cuts"))
     of_earlier = W.orderBy("period").rowsBetween(W.unboundedPreceding, -1)  # a row a period
     return counted.join(cuts, "period", "left").withColumn("first_file", F.coalesce(F.sum("files").over(of_earlier), F.lit(0)).cast("int"))
