@@ -48,7 +48,8 @@ def index_stations(spark: SparkSession, root: str, names: list[str], as_: str) -
     """Write which stations these files have: a bitmap of each file and each 32,768 ids, beside the lists."""
     rows = versions.read_files(spark, root, names).select("station_id", F.regexp_extract(F.col("_metadata.file_path"), r"/observations/(.+)$", 1).alias("name")) if names else None
     if rows is not None:
-        bits = rows.where(F.col("station_id").isNotNull()).groupBy("name", F.bitmap_bucket_number("station_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("station_id")).alias("bits"))
+        # first the stations, by hash along the sorted files: bitmaps are made by sorting, and so of few rows
+        bits = rows.where(F.col("station_id").isNotNull()).distinct().groupBy("name", F.bitmap_bucket_number("station_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("station_id")).alias("bits"))
         bits.orderBy("bucket", "name").write.option("compression", "zstd").parquet(f"{root}/_versions/stations/{as_}")
 
 
@@ -121,11 +122,8 @@ def _routed(rows: DataFrame, before: DataFrame, whole: list[str]) -> tuple[DataF
         cuts.setdefault(r.period, [])
         if r.stretch:
             cuts[r.period].append(tuple(r.first_key))
-    known = rows.sparkSession.createDataFrame(list(cuts.items()), f"of string, cuts array<{_KEY}>")
     key = F.struct(F.col("station_id").cast("long").alias("station_id"), F.col("variable_id").cast("long").alias("variable_id"), F.unix_micros(F.col("obs_time").cast("timestamp")).alias("obs_time"))
-    own = rows.join(F.broadcast(known), F.col("period") == F.col("of"), "left")  # a row a period
-    stretch = F.coalesce(sinks.cuts_up_to(F.col("cuts"), key), F.lit(0)).cast("int")
-    return own.withColumn("stretch", stretch).drop("of", "cuts"), [(r.period, r.stretch, r.name) for r in found]
+    return sinks.with_cuts_up_to(rows, cuts, _KEY, key, "stretch"), [(r.period, r.stretch, r.name) for r in found]
 
 
 def compact_archive(spark: SparkSession, root: str, layout: DataFrame, periods: list[str] | None = None, include_deltas: bool = True, now=None, keep_versions: int = 1, **sizes) -> DataFrame:

@@ -34,14 +34,15 @@ def merged(base: DataFrame, deltas: DataFrame | None, years: tuple[int, int] | N
 
     Deltas may be limited to years; base rows are never. Nothing is deleted.
     """
+    plain = lambda rows: rows.select(F.col("station_id").cast("int").alias("station_id"), F.col("variable_id").cast("smallint").alias("variable_id"), "obs_time", "value")
+    if deltas is None:  # all stamps are one: the largest value, by hash instead of by sorting
+        return plain(base.groupBy(*KEYS).agg(F.max("value").alias("value")))
     old = base.select(*KEYS, "value").withColumn("ingested_at", F.lit(BASE_STAMP).cast("timestamp_ntz"))
-    if deltas is not None:
-        new = deltas.select(*KEYS, "value", "ingested_at")
-        if years:
-            lo, hi = start_of_year(F.lit(years[0])), start_of_year(F.lit(years[1] + 1))
-            new = new.where((F.col("obs_time") >= lo) & (F.col("obs_time") < hi))
-        old = old.unionByName(new)
-    return latest(old).select(F.col("station_id").cast("int").alias("station_id"), F.col("variable_id").cast("smallint").alias("variable_id"), "obs_time", "value")
+    new = deltas.select(*KEYS, "value", "ingested_at")
+    if years:
+        lo, hi = start_of_year(F.lit(years[0])), start_of_year(F.lit(years[1] + 1))
+        new = new.where((F.col("obs_time") >= lo) & (F.col("obs_time") < hi))
+    return plain(latest(old.unionByName(new)))
 
 
 def touched_periods(deltas: DataFrame, layout: DataFrame) -> DataFrame:

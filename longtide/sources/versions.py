@@ -243,9 +243,11 @@ def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
     for n in gone:
         path, fs = _path(spark, f"{root}/observations/{n}")
         fs.delete(path, False)
-        folder = path.getParent()
-        if not [f for f in fs.listStatus(folder) if not str(f.getPath().getName()).startswith(".")]:
-            fs.delete(folder, True)
+    # a folder is listed once, not for each of its files
+    for folder in sorted({n.rpartition("/")[0] for n in gone} - {""}):
+        if not [f for f in children(spark, f"{root}/observations/{folder}") if not str(f.getPath().getName()).startswith(".")]:
+            path, fs = _path(spark, f"{root}/observations/{folder}")
+            fs.delete(path, True)
     lists = {docs[n]["list"] for n in kept}
     for f in [*children(spark, f"{root}/_versions/lists"), *children(spark, f"{root}/_staged"), *[x for x in children(spark, f"{root}/_versions") if str(x.getPath().getName()).startswith("staged-")]]:
         if str(f.getPath().getName()) not in lists:
