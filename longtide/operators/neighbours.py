@@ -89,6 +89,11 @@ def _rows(spark: SparkSession, root: str, files: list[str] | None) -> DataFrame:
     return found.select(*KEYS, F.xxhash64(path).alias("file"), F.col("_metadata.row_index").alias("at"), F.when(F.col("_metadata.row_index") % _NAMED == 0, path).alias("path"))
 
 
+def _few_tasks(rows: DataFrame) -> DataFrame:
+    """rows of a scan, several of its splits to a task where there are many: of small files a split has a few only."""
+    return rows.coalesce(max(4 * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8))
+
+
 def key_segments(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
     """A row a stretch of a file that one task reads, of the files given or all below root/observations.
 
@@ -99,9 +104,9 @@ def key_segments(spark: SparkSession, root: str, files: list[str] | None = None)
     """
     if files is not None and not files:
         return spark.createDataFrame([], SEGMENTS)
-    found = _rows(spark, root, files).mapInArrow(_walked, SEGMENTS)
-    named = found.groupBy("file").agg(F.max("path").alias("of"))
-    return found.join(named, "file").withColumn("path", F.col("of")).drop("of")
+    found = _few_tasks(_rows(spark, root, files)).mapInArrow(_walked, SEGMENTS)
+    # only stretches are exchanged, and files are walked once
+    return found.withColumn("path", F.max("path").over(W.partitionBy("file")))
 
 
 def key_bounds(segments: DataFrame) -> DataFrame:

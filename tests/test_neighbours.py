@@ -65,3 +65,18 @@ def test_bounds(spark, tmp_path):
     assert (first.first_key.station_id, first.extra, first.down, first.nulls) == (1, 0, 0, 0) and first.last_key.obs_time - first.first_key.obs_time == 19 * 86_400_000_000
     assert (second.first_key.station_id, second.extra, second.down, second.nulls) == (2, 1, 2, 1)
     assert nb.key_segments(spark, str(tmp_path), []).count() == 0
+
+
+def test_files_are_walked_once_by_few_tasks(spark, tmp_path):
+    written(spark, str(tmp_path), [("2000", [(k, 1, 1)]) for k in range(40)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # what opening a file counts for: a split a file
+    try:
+        found = nb.key_segments(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+        splits = nb._rows(spark, str(tmp_path), None).rdd.getNumPartitions()
+        assert nb._few_tasks(nb._rows(spark, str(tmp_path), None)).rdd.getNumPartitions() <= max(16, splits // 8) < splits
+        assert sorted(r.first.station_id for r in found.where("rows > 0").collect()) == list(range(40))
+        assert found.where("path is null").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
