@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -26,13 +27,36 @@ def opened(path: str):
         with pa.OSFile("/" + path.removeprefix("file:").lstrip("/")) as f:
             yield f
         return
-    from pyarrow import fs
-
-    store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("abfss://", "abfs://", 1))
+    store, inner = _store(path)
     with store.open_input_file(inner) as f:
         yield f
 
 
+def _store(path: str):
+    """The filesystem of a path, and the path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("abfss://", "abfs://", 1))
+
+
+def make_folder(path: str) -> None:
+    store, inner = _store(path)
+    store.create_dir(inner, recursive=True)
+
+
+def put(path: str, content: bytes) -> None:
+    """A file that appears whole: written beside under a hidden name and renamed."""
+    store, inner = _store(path)
+    folder = inner.rpartition("/")[0]
+    store.create_dir(folder, recursive=True)
+    beside = f"{folder}/.{uuid.uuid4().hex}"
+    with store.open_output_stream(beside) as f:
+        f.write(content)
+    store.move(beside, inner)
+
+
 def listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """path, length of the files below root, dealt out by name: the reader of a whole file is not asked for its content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)

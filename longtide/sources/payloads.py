@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+from operator import itemgetter
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,21 @@ from . import files
 SEQUENCE = "station_observations"
 #: Bytes of a payload that one task reads at a time.
 RANGE_BYTES = 64 << 20
+#: Bytes that are read at first where the end of a line is looked for.
+LINE_BYTES = 1 << 10
+#: Lines that go on in one batch.
+BATCH_LINES = 10_000
+
+
+def land(contents: DataFrame, path: str) -> None:
+    """network_name, native_id, content as files <network>/<native_id>.txt below path, a row a file; each appears whole."""
+    files.make_folder(path)
+
+    def write(rows):
+        for r in rows:
+            files.put(f"{path}/{r.network_name}/{r.native_id}.txt", (r.content or "").encode())
+
+    contents.select("network_name", "native_id", "content").foreachPartition(write)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -57,21 +75,37 @@ def read_payload_lines(spark: SparkSession, path: str, pattern: str = "*.csv", r
     """
     listed = files.listed(spark, path, pattern)
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
-    ranges = listed.select("path", "length", F.explode(starts).alias("start")).repartition("path", "start")  # rows of a few numbers
-
-    def read(batches):
-        for batch in batches:
-            for name, length, start in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "start")), strict=True):
-                with files.opened(name) as f:
-                    status, error, header, body = _head(f, length)
+    ranges = listed.select("path", "length", F.explode(starts).alias("start"))  # rows of a few numbers
+    # a number of tasks is given, as by the size of these rows they would be one; ranges side by side go to one task
+    tasks, stripe = 4 * spark.sparkContext.defaultParallelism, F.floor(F.col("start") / max(range_bytes, RANGE_BYTES))
+    ranges = ranges.repartition(tasks, "path", stripe).sortWithinPartitions("path", "start")
+
+    def blocks(batches):
+        wanted = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "start")), strict=True))
+        for name, own in groupby(wanted, itemgetter(0)):
+            with files.opened(name) as f:
+                head = None
+                for _, length, start in own:
+                    status, error, header, body = head = head or _head(f, length)
                     found = _lines(f, max(start, body), start > body, min(start + range_bytes, length)) if status == "ok" else iter(())
                     if start == 0:
                         block = next(found, [])
                         if status == "ok" and not block and range_bytes >= length:
                             status = "empty"
-                        yield _line_batch(name, status, error, header, [(None, None), *block])
+                        yield name, status, error, header, [(None, None), *block]
                     for block in found:
-                        yield _line_batch(name, status, error, header, block)
+                        yield name, status, error, header, block
+
+    def read(batches):
+        held, lines, size = [], 0, 0
+        for part in blocks(batches):
+            held.append(part)
+            lines, size = lines + len(part[-1]), size + sum(len(x or "") for _, x in part[-1])
+            if lines >= BATCH_LINES or size >= files.CHUNK_BYTES:
+                yield _line_batch(held)
+                held, lines, size = [], 0, 0
+        if held:
+            yield _line_batch(held)
 
     found = ranges.mapInArrow(read, "path string, status string, error string, header array<string>, at long, line string")
     named = lambda key, last: F.coalesce(F.nullif(F.regexp_extract("path", f"{key}=([^/]+)", 1), F.lit("")), F.regexp_extract("path", last, 1))
@@ -85,7 +119,7 @@ def _head(f, length: int) -> tuple[str, str | None, list[str] | None, int]:
         end = held.find(b"\n", at)
         if end < 0 and len(held) < length:
             f.seek(len(held))
-            held += f.read(files.CHUNK_BYTES)
+            held += f.read(min(files.CHUNK_BYTES, max(LINE_BYTES, len(held))))
             continue
         line = held[at : end if end >= 0 else len(held)].decode("utf-8", "replace").replace("\r", "").strip(" ")
         at = end + 1 if end >= 0 else len(held)
@@ -107,7 +141,8 @@ def _lines(f, start: int, inside: bool, end: int):
     f.seek(at)
     left, skip = b"", inside
     while at < end:
-        chunk = f.read(files.CHUNK_BYTES)
+        # up to the end, and then by little more until the last line's
+        chunk = f.read(min(files.CHUNK_BYTES, max(end - at - len(left), LINE_BYTES, len(left))))
         pieces = (left + chunk).split(b"\n")
         left = pieces.pop() if chunk else b""
         block = []
@@ -123,10 +158,12 @@ def _lines(f, start: int, inside: bool, end: int):
             return
 
 
-def _line_batch(name: str, status: str, error: str | None, header: list[str] | None, block: list[tuple]) -> pa.RecordBatch:
-    n = len(block)
-    whole = [pa.array([x] * n, k) for x, k in ((name, pa.string()), (status, pa.string()), (error, pa.string()), (header, pa.list_(pa.string())))]
-    return pa.record_batch([*whole, pa.array([a for a, _ in block], pa.int64()), pa.array([x for _, x in block], pa.string())], ["path", "status", "error", "header", "at", "line"])
+def _line_batch(parts: list[tuple]) -> pa.RecordBatch:
+    """One batch of (name, status, error, header, block)."""
+    same = lambda x, n, kind: pa.nulls(n, kind) if x is None else pa.repeat(pa.scalar(x, kind), n)
+    whole = [pa.concat_arrays([same(p[i], len(p[-1]), kind) for p in parts]) for i, kind in enumerate((pa.string(), pa.string(), pa.string(), pa.list_(pa.string())))]
+    lines = [x for p in parts for x in p[-1]]
+    return pa.record_batch([*whole, pa.array([a for a, _ in lines], pa.int64()), pa.array([x for _, x in lines], pa.string())], ["path", "status", "error", "header", "at", "line"])
 
 
 def cells_of_lines(found: DataFrame) -> tuple[DataFrame, DataFrame]:
