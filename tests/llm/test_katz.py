@@ -131,3 +131,46 @@ def test_query(spark):
     same([r[2:] for r in got], [want[r.doc_id] for r in got])
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and np.isfinite([r.score for r in got]).all()
+
+
+def test_frequent_contexts_do_not_meet_in_a_bucket(spark):
+    """Words whose names say the same bucket, each with a third of one."""
+    alike = [w for w in (f"w{i}" for i in range(400)) if katz.names(katz.pa.array([w.encode()])).view(np.int64)[0] % 8 == 3][:24]
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"{w} x{rng.random()}" for w in rng.sample(alike, 24)), True) for k in range(60)]
+    docs = katz.materialise(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"), "docs")
+    counted = katz.Counted(docs, 360, 10**6)
+    assert counted.buckets == 9
+    sizes = {r.bucket: r.n for r in counted.pairs.groupBy("bucket").agg(F.sum(F.aggregate("n", F.lit(0), lambda a, x: a + x)).alias("n")).collect()}
+    assert sum(sizes.values()) == 60 * 49 and max(sizes.values()) < 2 * 360
+
+
+def test_a_task_adds_up_its_buckets(spark, monkeypatch):
+    """However many buckets there are, a text's sums are written once a task; the scores are the same."""
+    monkeypatch.setattr(katz, "GROUPS", 2)
+    rng = random.Random(4)
+    rows = [(k, drawn(rng, 60), rng.random() < 0.8) for k in range(100)]
+    docs = katz.materialise(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"), "docs")
+    got = sorted(katz.katz_scores(docs, F.col("learn"), bucket_tokens=100).collect())
+    same([r[1:] for r in got], plain_scores([r[1:] for r in rows]))
+    sums = spark.read.parquet([f for f in katz.materialise.__globals__["scope"]().folders if "pair-sums" in f][-1])
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    assert sums.select(F.sum(F.size("doc"))).first()[0] <= tasks * len(rows) and sums.where("chunk is null").count() > 50
+
+
+def test_sums_passed_on_early(monkeypatch):
+    """A task that holds too many texts passes on what it has: the same sums in more rows."""
+    n = 5
+    row = lambda k: {"doc": np.arange(0, n, k), "n_known": np.ones(len(range(0, n, k))), "base": np.full(len(range(0, n, k)), 0.5), "score": np.full(len(range(0, n, k)), 2.0), "small": np.ones(5 * len(range(0, n, k)))}
+    head = [katz.pa.array([0, 1, 0], katz.pa.int64()), katz.pa.array([n] * 3, katz.pa.int32()), katz.pa.nulls(3, katz.pa.list_(katz.pa.int64())), katz.pa.nulls(3, katz.pa.list_(katz.pa.int32()))]
+    batches = [katz._sums_batch([row(1), row(2), row(3)], head)] * 2
+    found = []
+    for most in (katz.MOST_HELD, 4):
+        monkeypatch.setattr(katz, "MOST_HELD", most)
+        total = Counter()
+        rows = [r for b in katz._added_up(iter(batches)) for r in b.to_pylist()]
+        for r in rows:
+            for k, i in enumerate(r["doc"]):
+                total.update({(r["chunk"], i, "known"): r["n_known"][k], (r["chunk"], i, "score"): r["score"][k], (r["chunk"], i, "small"): sum(r["small"][5 * k : 5 * k + 5])})
+        found.append((len(rows), total))
+    assert found[0][0] == 2 < found[1][0] and found[0][1] == found[1][1] and found[0][1][0, 0, "score"] == 8
