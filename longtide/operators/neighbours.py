@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from . import manifest as mf
 
 #: Where a row says which file it is in; others say it by a hash.
 _NAMED = 4096
+#: Rows of small files that are walked in one batch, and those of a large one.
+_BATCH_ROWS = 1 << 16
+_ROWS = "station_id int, variable_id smallint, obs_time timestamp_ntz, file bigint, at bigint, path string"
 _KEY = "struct<station_id: bigint, variable_id: bigint, obs_time: bigint>"
 SEGMENTS = f"file bigint, path string, first_at bigint, rows bigint, first {_KEY}, last {_KEY}, extra bigint, down bigint, nulls bigint"
 
@@ -82,7 +86,46 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([*done, walk])
 
 
-def _rows(spark: SparkSession, root: str, files: list[str] | None) -> DataFrame:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of files (path, file), one after the other, many small ones to a batch."""
+    held: list[tuple[pa.Table, str, int, int]] = []
+    n = 0
+
+    def out() -> list[pa.RecordBatch]:
+        rows = pa.concat_tables([t for t, *_ in held]).combine_chunks()
+        sizes = np.array([t.num_rows for t, *_ in held])
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(rows.num_rows) - np.repeat(first - np.array([a for *_, a in held]), sizes)
+        named = np.zeros(rows.num_rows, np.int64)
+        named[first[sizes > 0]] = np.arange(len(held))[sizes > 0] + 1  # where a piece begins
+        path = pa.array([None, *[p for _, p, *_ in held]], pa.string()).take(pa.array(named))
+        file = np.repeat(np.array([f for _, _, f, _ in held], np.int64), sizes)
+        return pa.Table.from_arrays([*rows.columns, pa.array(file), pa.array(at), path], [*KEYS, "file", "at", "path"]).to_batches()
+
+    kinds = pa.schema([("station_id", pa.int32()), ("variable_id", pa.int16()), ("obs_time", pa.timestamp("us"))])
+    for batch in batches:
+        for path, file in zip(batch.column("path").to_pylist(), batch.column("file").to_pylist(), strict=True):
+            with fl.opened(path) as f:
+                parquet, at = pq.ParquetFile(f), 0
+                pieces = [parquet.read(KEYS, use_threads=False)] if parquet.metadata.num_rows <= _BATCH_ROWS else map(lambda b: pa.Table.from_batches([b]), parquet.iter_batches(_BATCH_ROWS, columns=KEYS, use_threads=False))
+                for piece in pieces:
+                    held.append((piece.select(KEYS).cast(kinds), path, file, at))
+                    at, n = at + piece.num_rows, n + piece.num_rows
+                    if n >= _BATCH_ROWS:
+                        yield from out()
+                        held, n = [], 0
+    if held:
+        yield from out()
+
+
+def _dealt(files: DataFrame) -> DataFrame:
+    """path, file of files, to a given number of tasks: by the size of these rows they would be few."""
+    return files.select("path", F.xxhash64("path").alias("file")).repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "file")
+
+
+def _rows(spark: SparkSession, root: str, files: list[str] | DataFrame | None) -> DataFrame:
+    if isinstance(files, DataFrame):
+        return _dealt(files).mapInArrow(_read, _ROWS)
     read = spark.read.schema(schema.observations())
     found = read.option("basePath", f"{root}/observations").parquet(*files) if files is not None else read.parquet(f"{root}/observations")
     path = F.col("_metadata.file_path")
@@ -94,14 +137,19 @@ def _few_tasks(rows: DataFrame) -> DataFrame:
     return rows.coalesce(max(4 * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8))
 
 
-def key_segments(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
+def key_segments(spark: SparkSession, root: str, files: list[str] | DataFrame | None = None) -> DataFrame:
     """A row a stretch of a file that one task reads, of the files given or all below root/observations.
 
+    Of a table of files (path) a task opens its own itself, each whole, so nobody
+    lists them and small ones may be many.
+
     file (a hash of the path), path, first_at, rows, first and last key as whole
     numbers, extra (rows whose key is that of the row before), down (rows whose
     key is below it) and nulls (rows with a null in their key). Only the key columns are
     read, and no row leaves the task that reads it.
     """
+    if isinstance(files, DataFrame):
+        return _dealt(files).mapInArrow(lambda batches: _walked(_read(batches)), SEGMENTS)
     if files is not None and not files:
         return spark.createDataFrame([], SEGMENTS)
     found = _few_tasks(_rows(spark, root, files)).mapInArrow(_walked, SEGMENTS)
@@ -125,7 +173,7 @@ def _written(spark: SparkSession, segments: DataFrame) -> DataFrame:
     return spark.read.schema(SEGMENTS).parquet(path)
 
 
-def duplicate_keys_in_files(spark: SparkSession, root: str, segments: DataFrame | None = None, files: list[str] | None = None) -> DataFrame:
+def duplicate_keys_in_files(spark: SparkSession, root: str, segments: DataFrame | None = None, files: list[str] | DataFrame | None = None) -> DataFrame:
     """period, extra_rows: rows beyond the first of each key, as merge.duplicate_keys by period gives them, of periods that have any.
 
     In sorted files equal keys are neighbours, so a task counts those inside its

@@ -32,6 +32,18 @@ def opened(path: str):
         yield f
 
 
+@contextmanager
+def created(path: str):
+    """A new file to write to, in a folder that is there."""
+    if path.startswith("file:") or "://" not in path:
+        with pa.OSFile("/" + path.removeprefix("file:").lstrip("/"), "w") as f:
+            yield f
+        return
+    store, inner = _store(path)
+    with store.open_output_stream(inner) as f:
+        yield f
+
+
 def _store(path: str):
     """The filesystem of a path, and the path in it."""
     from pyarrow import fs

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from longtide import schema
 from longtide.operators import merge as mg
 from longtide.operators import neighbours as nb
+from longtide.plans import archive
+from longtide.plans import views as v
+from longtide.sources import sinks
 
 
 def written(spark, root, files):
@@ -80,3 +83,47 @@ def test_files_are_walked_once_by_few_tasks(spark, tmp_path):
         assert found.where("path is null").isEmpty()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_files_of_a_table(spark, tmp_path, seed, monkeypatch):
+    """Files named by a table are opened by the tasks: sorted, unsorted, across each other, empty, with nulls, of several pieces."""
+    rng = random.Random(10 + seed)
+    files = [(p, sorted((rng.randint(0, 3), 1, rng.randint(1, 28)) for _ in range(rng.randint(0, 12)))) for p in ("2000", "2001") for _ in range(6)]
+    files += [("2002", [(2, 1, 5), (1, 1, 5), (1, 1, 5), (None, 1, 6)]), ("2003", [(1, 1, 1)] * 3), ("2003", [(1, 1, 1)] * 2), ("2003", [(1, 1, 1), (1, 1, 2)])]
+    written(spark, str(tmp_path), files)
+    named = nb.fl.list_files(spark, f"{tmp_path}/observations").select("path")
+    assert {r.period: r.extra_rows for r in nb.duplicate_keys_in_files(spark, str(tmp_path), files=named).collect()} == counted(spark, str(tmp_path))
+    paths = [r.path for r in named.collect()]
+    batch = nb.pa.record_batch([nb.pa.array(paths), nb.pa.array(range(len(paths)), nb.pa.int64())], ["path", "file"])
+    whole = [r for b in nb._walked(nb._read(iter([batch]))) for r in b.to_pylist()]
+    monkeypatch.setattr(nb, "_BATCH_ROWS", 2)  # large files go on in pieces
+    pieces = list(nb._read(iter([batch])))
+    assert [r for b in nb._walked(iter(pieces)) for r in b.to_pylist()] == whole and max(b.num_rows for b in pieces) <= 3
+
+
+def test_files_written_in_order(spark, tmp_path):
+    """As many rows a file as asked for, in the order of the rows, without a commit of Spark's for each; only files in the table count."""
+    rows = spark.range(1000).selectExpr("cast(id div 7 as int) as station_id", "cast(1 as smallint) as variable_id", "timestamp_ntz'2000-01-01' + make_dt_interval(cast(id as int)) as obs_time", "cast(id as double) as value")
+    rows = rows.withColumn("period", F.when(F.col("value") < 990, F.year("obs_time").cast("string")))
+    kept = rows.repartitionByRange(3, "period", *schema.KEYS).sortWithinPartitions("period", *schema.KEYS)
+    found = sinks.write_in_order(kept, f"{tmp_path}/observations", 9, f"{tmp_path}/written").collect()
+    assert sum(r.rows for r in found) == 1000 and max(r.rows for r in found) == 9 and sum(r.rows < 9 for r in found) <= 4 + 3
+    back = spark.read.schema(schema.observations()).parquet(*[r.path for r in found])
+    assert sorted(back.select(*schema.KEYS, "value").collect()) == sorted(rows.select(*schema.KEYS, "value").collect())
+    for r in found:
+        values = [x.value for x in spark.read.parquet(r.path).select("value").collect()] if r.rows < 9 else None
+        assert values is None or values == sorted(values)
+    assert {r.path.split("period=")[1][:4] for r in found} == {"2000", "2001", "2002", "__HI"}
+
+
+def test_no_writer_of_spark_for_each_file(spark, monkeypatch):
+    """The query's files are opened and written by tasks: 97 rows each, by no writer with a limit of rows."""
+    seen = []
+    write = sinks.write_in_order
+    monkeypatch.setattr(sinks, "write_in_order", lambda rows, path, most, listed: seen.append(write(rows, path, most, listed)) or seen[-1])
+    got = {r.period: r.extra_rows for r in archive.duplicate_keys_in_files(spark, "/root/testdata/sf0.001").collect()}
+    rows = v.observations(spark, "/root/testdata/sf0.001").withColumn("period", F.year("obs_time").cast("string"))
+    assert got == {r.period: r.extra_rows for r in mg.duplicate_keys(rows, ["period"]).collect()}
+    sizes = [r.rows for r in seen[0].collect()]
+    assert sum(sizes) == rows.count() and max(sizes) == 97
